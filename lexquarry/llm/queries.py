@@ -10,6 +10,7 @@ from lexquarry.llm.exact_dedup import exact_dedup
 from lexquarry.llm.line_dedup import _STEPS, LEAST_PAGES, RATIO, line_dedup
 from lexquarry.llm.mixing import mix
 from lexquarry.llm.sharding import kd_shards
+from lexquarry.llm.simhash_golay import simhash_golay
 from lexquarry.llm.token_counts import token_counts
 
 
@@ -25,6 +26,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_golay(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
