@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lexquarry.llm import ann, unigram_sp
 from lexquarry.llm._util import table
 from lexquarry.llm.exact_dedup import exact_dedup
 from lexquarry.llm.line_dedup import _STEPS, LEAST_PAGES, RATIO, line_dedup
@@ -18,6 +19,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "pages"))
 
@@ -30,6 +35,10 @@ def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay(table(spark, sf_dir, "documents"))
 
 
+def op7_unigram_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram_sp.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
