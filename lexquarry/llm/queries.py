@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from lexquarry.llm import ann, unigram_sp
 from lexquarry.llm._util import table
 from lexquarry.llm.exact_dedup import exact_dedup
+from lexquarry.llm.kn_quality import quality
 from lexquarry.llm.line_dedup import _STEPS, LEAST_PAGES, RATIO, line_dedup
 from lexquarry.llm.mixing import mix
+from lexquarry.llm.pii import find_pii
 from lexquarry.llm.sharding import kd_shards
 from lexquarry.llm.simhash_golay import simhash_golay
 from lexquarry.llm.token_counts import token_counts
@@ -31,6 +33,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay(table(spark, sf_dir, "documents"))
 
@@ -39,6 +45,10 @@ def op7_unigram_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram_sp.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
