@@ -1,4 +1,4 @@
-"""Registry of the engine's own queries and their SQL."""
+"""Registry of the engine's own queries and the SQL that they are held against."""
 
 from __future__ import annotations
 
