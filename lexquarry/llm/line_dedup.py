@@ -21,19 +21,14 @@ from lexquarry.llm._util import BROADCAST_ROWS, materialise
 RATIO, LEAST_PAGES = 0.3, 3
 #: (pattern, replacement), applied in order. All are read alike by Java and RE2.
 _STEPS = (
-    (r"(?is)<!--.*?-->", ""),
-    (r"(?is)<script\b[^>]*>.*?</script\s*>", ""),
-    (r"(?is)<style\b[^>]*>.*?</style\s*>", ""),
+    (r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", ""),
     (r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|nav|article|section|main|header|footer|aside|title|head|body|html|blockquote|pre)\b[^>]*>", "\n"),
     (r"<[^>]*>", ""),
-    (r"&nbsp;", " "),
-    (r"&lt;", "<"),
-    (r"&gt;", ">"),
-    (r"&quot;", '"'),
-    (r"&#39;", "'"),
-    (r"&amp;", "&"),
-    (r"[\x20\x09\x0B-\x0D]+", " "),
 )
+#: Literal replacements, in order.
+_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+#: Runs of blanks that aren't a single space.
+_BLANKS = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 
 
 def page_lines(html: Column) -> Column:
@@ -41,6 +36,9 @@ def page_lines(html: Column) -> Column:
     text = F.coalesce(html.cast("string"), F.lit(""))
     for pattern, by in _STEPS:
         text = F.regexp_replace(text, F.lit(pattern), F.lit(by))
+    for entity, by in _ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(by))
+    text = F.regexp_replace(text, F.lit(_BLANKS), F.lit(" "))
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 

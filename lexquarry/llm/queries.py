@@ -9,7 +9,7 @@ from lexquarry.llm import ann, unigram_sp
 from lexquarry.llm._util import table
 from lexquarry.llm.exact_dedup import exact_dedup
 from lexquarry.llm.kn_quality import quality
-from lexquarry.llm.line_dedup import _STEPS, LEAST_PAGES, RATIO, line_dedup
+from lexquarry.llm.line_dedup import _BLANKS, _ENTITIES, _STEPS, LEAST_PAGES, RATIO, line_dedup
 from lexquarry.llm.mixing import mix
 from lexquarry.llm.pii import find_pii
 from lexquarry.llm.sharding import kd_shards
@@ -66,6 +66,9 @@ def _lines_sql() -> str:
     text = "coalesce(html, '')"
     for pattern, by in _STEPS:
         text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
+    for entity, by in _ENTITIES:
+        text = f"replace({text}, {_quoted(entity)}, {_quoted(by)})"
+    text = f"regexp_replace({text}, {_quoted(_BLANKS)}, ' ', 'g')"
     return f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
 
 
