@@ -84,7 +84,7 @@ def _grade(g: Column, weak: bool = False) -> Column:
 
 def chain_strength_first(grades: Column) -> Column:
     """The class of the first grade in the list that has one."""
-    return F.coalesce(F.get(F.filter(F.transform(grades, _grade), lambda g: g.isNotNull()), F.lit(0)), F.lit("unknown"))
+    return F.coalesce(F.get(F.filter(F.transform(grades, lambda g: _grade(g)), lambda g: g.isNotNull()), F.lit(0)), F.lit("unknown"))
 
 
 def chain_strength_any(grades: Column) -> Column:
