@@ -129,7 +129,7 @@ def citations_count(text: Column) -> Column:
 
 
 def format_passages(n: Column) -> Column:
-    millions = F.regexp_replace(F.regexp_replace(F.format_string("%.1f", n / 1e6), "0+$", ""), r"\.$", "")
+    millions = F.regexp_replace(F.regexp_replace(F.format_string("%.1f", F.bround(n / 1e6, 1)), "0+$", ""), r"\.$", "")
     return F.when(n >= 1_000_000, F.concat(millions, F.lit("M+"))).when(n >= 1_000, F.concat(F.floor(n / 1000).cast("string"), F.lit("K+"))).otherwise(n.cast("string"))
 
 
