@@ -132,6 +132,6 @@ def test_dates(spark):
 def test_small_formats(spark):
     for n, s in ((999, "999"), (1000, "1K+"), (133789, "133K+"), (24_000_000, "24M+"), (1_250_000, "1.2M+")):
         assert one(spark, n, G.format_passages, "bigint") == s
-    assert one(spark, "Al-Kamil fi al-Tarikh (vol. 1), the complete history", G.source_slug) == "al_kamil_fi_al_tarikh__vol__1___the_com"
+    assert one(spark, "Al-Kamil fi al-Tarikh (vol. 1), the complete history", G.source_slug) == "al_kamil_fi_al_tarikh__vol__1___the_comp"
     assert [G.clamp_n(n) for n in (None, 0, -3, 7, 99)] == [5, 5, 1, 7, 20]
     assert one(spark, '<b data-stat="x">1</b>', lambda c: G.inject_stats(c, {"x": F.lit("$1\\")})) == '<b data-stat="x">$1\\</b>'
