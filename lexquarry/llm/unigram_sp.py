@@ -9,7 +9,7 @@ wins, as the first one found.
 
 Where no piece has the marker after another character, as in usual models, the best segmentation
 of a text is that of its words, so each distinct word is searched once while a bounded memo of
-the worker holds it.
+the worker holds it. Where besides no piece mixes letters, digits and signs, words end there too.
 
 Decoding joins the pieces, turns markers to spaces and byte pieces to bytes, and drops the space
 in front. A marker character that the text itself holds is written in bytes, so every text comes
@@ -32,12 +32,23 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
-MEMO, MEMO_CHARS = 300_000, 48
-_WORD = re.compile(" *[^ ]+| +")
+MEMO, MEMO_CHARS = 400_000, 48
+#: Blanks with what follows: letters and anything beyond ASCII, digits, or signs; or up to the next blank.
+_FINE = re.compile(r" *[A-Za-z\x80-\U0010ffff]+| *[0-9]+| *[\x00-\x1f!-/:-@\[-`{-\x7f]+| +")
+_COARSE = re.compile(" *[^ ]+| +")
 #: A space is the marker; a marker in the text is a character that no piece holds.
 _MARKED = {0x20: MARK, 0x2581: "￾"}
 
 
+def _splitter(pieces: list[str]):
+    """The finest way to split a text so that no piece crosses a cut; None if there is none."""
+    kind = lambda c: 0 if c == MARK else 1 if c.isascii() and c.isdigit() else 2 if c.isascii() and not c.isalpha() else 3
+    met = {(kind(a), kind(b)) for p in pieces for a, b in zip(p, p[1:])}
+    if all(a in (0, b) for a, b in met):
+        return _FINE.findall
+    return _COARSE.findall if all(a == 0 or b != 0 for a, b in met) else None
+
+
 class DoubleArray:
     """A trie in two arrays: the child of state s by code c is base[s] + c if check there is s."""
 
@@ -74,20 +85,6 @@ class DoubleArray:
                 todo.append((node[k], at + k))
         self.codes, self.base, self.check, self.value = codes, base, check, value
 
-    def prefixes(self, text: list[int], start: int) -> Iterator[tuple[int, int]]:
-        """(end, value) of the words that begin at ``start``, shortest first; text in codes, -1 for unknown."""
-        base, check, value, state = self.base, self.check, self.value, 0
-        for end in range(start, len(text)):
-            c = text[end]
-            if c < 0:
-                return
-            to = base[state] + c
-            if to >= len(check) or check[to] != state:
-                return
-            state = to
-            if value[state] >= 0:
-                yield end + 1, value[state]
-
 
 class Unigram:
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: list[int]):
@@ -95,12 +92,13 @@ class Unigram:
         self.scores, self.byte_ids = scores, byte_ids
         self.trie = DoubleArray({p: i for i, p in enumerate(pieces) if p})
         self.unknown = min(s for p, s in zip(pieces, scores) if p) - UNKNOWN_COST
-        self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces if p)
+        self.split = _splitter([p for p in pieces if p])
         self.raw = [p.replace(MARK, " ").encode() if p else b"" for p in pieces]
         for b, i in enumerate(byte_ids):
             self.raw[i] = bytes([b])
         self.fallback = frozenset(byte_ids)
         self._memo: dict[str, tuple[int, ...]] = {}
+        self._missed = 0
 
     @classmethod
     def load(cls, path: str) -> Unigram:
@@ -112,41 +110,58 @@ class Unigram:
         return cls([sp.id_to_piece(i) if plain[i] else None for i in range(n)], [sp.get_score(i) for i in range(n)], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
     def viterbi(self, word: str) -> tuple[int, ...]:
-        text = [self.trie.codes.get(c, -1) for c in word.translate(_MARKED)]
-        n, scores = len(text), self.scores
-        best, back = [None] * (n + 1), [None] * (n + 1)
+        codes, scores = self.trie.codes, self.scores
+        base, check, value, size = self.trie.base, self.trie.check, self.trie.value, len(self.trie.check)
+        text = [codes.get(c, -1) for c in word.translate(_MARKED)]
+        n, unseen = len(text), float("-inf")
+        best, start, with_piece = [unseen] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         for i in range(n):
-            here, single = best[i], False
-            for end, piece in self.trie.prefixes(text, i):
-                single |= end == i + 1
-                if best[end] is None or here + scores[piece] > best[end]:
-                    best[end], back[end] = here + scores[piece], (i, piece)
-            if not single and (best[i + 1] is None or here + self.unknown > best[i + 1]):
-                best[i + 1], back[i + 1] = here + self.unknown, (i, -1)
+            here, state, single, end = best[i], 0, False, i
+            while end < n:
+                c = text[end]
+                to = base[state] + c
+                if c < 0 or to >= size or check[to] != state:
+                    break
+                state, end = to, end + 1
+                piece = value[state]
+                if piece >= 0:
+                    single |= end == i + 1
+                    if here + scores[piece] > best[end]:
+                        best[end], start[end], with_piece[end] = here + scores[piece], i, piece
+            if not single and here + self.unknown > best[i + 1]:
+                best[i + 1], start[i + 1], with_piece[i + 1] = here + self.unknown, i, -1
         out, at = [], n
         while at:
-            start, piece = back[at]
-            out.extend([piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(word[start].encode())])
-            at = start
+            piece, at = with_piece[at], start[at]
+            out.extend([piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(word[at].encode())])
         return tuple(reversed(out))
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self._memo.get(word)
-        if ids is None:
-            ids = self.viterbi(word)
-            if len(word) <= MEMO_CHARS:
-                if len(self._memo) >= MEMO:
-                    self._memo.clear()
-                self._memo[word] = ids
-        return ids
+    def _fill(self, words: list[str], ids: list) -> None:
+        """Searches the words that the memo lacks. A full memo takes no more until it has missed several times its size."""
+        memo = self._memo
+        for i, known in enumerate(ids):
+            if known is None:
+                ids[i] = memo.get(words[i]) or self.viterbi(words[i])
+                if len(words[i]) <= MEMO_CHARS:
+                    if len(memo) < MEMO:
+                        memo[words[i]] = ids[i]
+                    else:
+                        self._missed += 1
+                        if self._missed > 8 * MEMO:
+                            memo.clear()
+                            self._missed = 0
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        if not self.by_word:
+        if self.split is None:
             return list(self.viterbi(" " + text))
-        return list(chain.from_iterable(map(self._word, _WORD.findall(" " + text))))
+        words = self.split(" " + text)
+        ids = list(map(self._memo.get, words))
+        if None in ids:
+            self._fill(words, ids)
+        return list(chain.from_iterable(ids))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
