@@ -29,9 +29,10 @@ from pyspark.sql.window import Window
 
 from lexquarry.llm._util import materialise
 
-#: Rows that the graph and the classifier are fitted on, at most; rows per part aimed at; most parts.
-SAMPLE, PART_ROWS, MOST_PARTS = 6_000, 2_500, 256
-NEIGHBOURS, HIDDEN, AIM, BLOCK = 12, 96, 0.985, 8_192
+#: Rows that the graph and the classifier are fitted on, at most; rows a part has at least; parts of
+#: usual tables; rows a part has at most, before there are more parts; most parts.
+SAMPLE, LEAST_ROWS, PARTS, PART_ROWS, MOST_PARTS = 6_000, 400, 16, 50_000, 128
+NEIGHBOURS, HIDDEN, AIM, BLOCK = 12, 96, 0.95, 8_192
 
 
 def usable(c: Column) -> Column:
@@ -155,7 +156,7 @@ def search(vectors: DataFrame, k: int = 20, query: Column | None = None, id_col:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias(id_col), F.lit(0.0).alias("score"))
     dim, n = lengths[0]
     rows = materialise(rows.where(F.size("v") == dim))
-    parts = int(min(MOST_PARTS, SAMPLE // (2 * k), max(1, n // PART_ROWS)))
+    parts = int(min(max(PARTS, -(-n // PART_ROWS)), MOST_PARTS, max(1, n // LEAST_ROWS)))
     router, probes = None, 1
     if parts > 1:
         sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
