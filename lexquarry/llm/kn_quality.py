@@ -14,7 +14,8 @@ go to every worker.
 
 A document is rejected if its perplexity exceeds a quantile of the held-out trusted documents of
 its language and its length class. Where these are fewer than ``LEAST_HELD``, the quantile of all
-languages in the length class is taken, and where these are too, nothing is rejected.
+languages in the length class is taken; where these are too, the largest such quantile of any length
+class, but for documents under ``LENGTHS[1]`` tokens, which then stay.
 
 Defined results: null and empty texts have no tokens and are kept; a null language is a language
 of its own; repeated rows are scored alike; without trusted text everything is kept; an empty
@@ -375,6 +376,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     by_lang = sure.groupBy(F.col("_lang").alias("l1"), F.col("length").alias("c1")).agg(cut).withColumnRenamed("cut", "cut1")
     by_all = sure.groupBy(F.col("length").alias("c2")).agg(cut).withColumnRenamed("cut", "cut2")
     by_lang, by_all = materialise(by_lang), materialise(by_all)
+    loosest = by_all.agg(F.max("cut2")).first()[0]
     out = scored.join(small_or_shuffled(by_lang, by_lang.count()), (F.col("_lang") == F.col("l1")) & (F.col("length") == F.col("c1")), "left").join(F.broadcast(by_all), F.col("length") == F.col("c2"), "left")
-    threshold = F.coalesce("cut1", "cut2")
+    threshold = F.coalesce("cut1", "cut2", F.when(F.col("n") >= LENGTHS[1], F.lit(loosest).cast("double")))
     return out.select(F.col("id").alias(id_col), "lang", F.col("n").alias("n_tokens"), "perplexity", threshold.alias("threshold"), (F.coalesce(F.col("perplexity") <= threshold, F.lit(True))).alias("kept"))
