@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexquarry.functions.text import let
+
 # The names that are tagged, in order of report.
 KNOWN_NAMES = (
     "Abu Bakr", "Abu Bakr al-Siddiq", "Umar ibn al-Khattab", "Umar ibn Khattab", "Uthman ibn Affan", "Ali ibn Abi Talib",
@@ -53,14 +55,14 @@ def extract_entities(text: Column, names: tuple[str, ...] | list[str] = KNOWN_NA
     Names are substrings, as given, unless ``word_boundary`` asks for whole words. One pass of
     built-in searches a row; the list is a constant of the plan.
     """
-    low = F.lower(text)
     distinct = list(dict.fromkeys(names))
     if word_boundary:
-        hit = lambda n: low.rlike(r"(?<!\p{L})\Q" + n.lower() + r"\E(?!\p{L})")
+        hit = lambda low, n: low.rlike(r"(?<!\p{L})\Q" + n.lower() + r"\E(?!\p{L})")
     else:
-        hit = lambda n: F.contains(low, F.lit(n.lower()))
-    found = F.array_compact(F.array(*[F.when(hit(n), F.lit(n)) for n in distinct]))
-    return F.when(F.size(found) > 0, found)
+        hit = lambda low, n: F.contains(low, F.lit(n.lower()))
+    # the text is lower-cased once, bound by the outer lambda
+    found = let(F.lower(text), lambda low: F.array_compact(F.array(*[F.when(hit(low, n), F.lit(n)) for n in distinct])))
+    return let(found, lambda f: F.when(F.size(f) > 0, f))
 
 
 def extract_entities_ext(text: Column, extra: list[str], names: tuple[str, ...] = KNOWN_NAMES) -> Column:
@@ -69,9 +71,8 @@ def extract_entities_ext(text: Column, extra: list[str], names: tuple[str, ...]
 
 
 def detect_era(text: Column, keywords: dict[str, tuple[str, ...]] = ERA_KEYWORDS) -> Column:
-    low = F.lower(text)
-    any_of = lambda ks: reduce(lambda a, b: a | b, [F.contains(low, F.lit(k)) for k in ks])
-    return F.coalesce(*[F.when(any_of(ks), F.lit(era)) for era, ks in keywords.items()])
+    any_of = lambda low, ks: reduce(lambda a, b: a | b, [F.contains(low, F.lit(k)) for k in ks])
+    return let(F.lower(text), lambda low: F.coalesce(*[F.when(any_of(low, ks), F.lit(era)) for era, ks in keywords.items()]))
 
 
 def _grade(g: Column, weak: bool = False) -> Column:

@@ -1,7 +1,7 @@
 """Text cleaning, readability and chunking as column expressions.
 
 All regular expressions are read alike by Python and Java where the text is ASCII-spaced; Unicode
-white space is covered by ``(?U)``. Arrays are bound once with ``_let`` so that no lambda computes
+white space is covered by ``(?U)``. Arrays are bound once with ``let`` so that no lambda computes
 an array again for each element.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 _S = r"(?U)\s+"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
@@ -34,13 +34,13 @@ def word_count(c: Column) -> Column:
     return F.size(words(c)).cast("long")
 
 
-def n_letters(c: Column) -> Column:
+def nletters(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
 
 
 def alpha_ratio(c: Column) -> Column:
     """Letters per code point; 0 for an empty text."""
-    return F.coalesce(F.try_divide(n_letters(c).cast("double"), F.length(c).cast("double")), F.lit(0.0))
+    return F.coalesce(F.try_divide(nletters(c).cast("double"), F.length(c).cast("double")), F.lit(0.0))
 
 
 def is_readable(c: Column, threshold: float = 0.40) -> Column:
@@ -77,7 +77,7 @@ def strip_gutenberg(c: Column) -> Column:
         at = F.when(F.instr(t, "*** END OF") > 0, F.instr(t, "*** END OF")).otherwise(F.instr(t, "***END OF"))
         return F.when(at > 0, F.left(t, at - 1)).otherwise(t)
 
-    return strip(_let(_let(c, head), tail))
+    return strip(let(let(c, head), tail))
 
 
 def is_noise_line(stripped: Column, repeated: Column | None = None, short: int = 15) -> Column:
@@ -92,7 +92,7 @@ def repeated_lines(lines: Column, least: int = 30, above: int = 5, below: int =
     In sorted order such a line equals the one ``least - 1`` places on: n log n, whatever the text.
     """
     short = F.filter(F.transform(lines, strip), lambda s: (F.length(s) > above) & (F.length(s) < below))
-    return _let(F.array_sort(short), lambda a: F.array_distinct(F.filter(a, lambda x, i: F.coalesce(F.get(a, i + least - 1) == x, F.lit(False)))))
+    return let(F.array_sort(short), lambda a: F.array_distinct(F.filter(a, lambda x, i: F.coalesce(F.get(a, i + least - 1) == x, F.lit(False)))))
 
 
 @dataclass(frozen=True)
@@ -142,16 +142,16 @@ def clean(c: Column, profile: CleanProfile = DJVU) -> Column:
                     bad = bad | (weak if profile.alpha_exempt_len is None else weak & (F.length(s) < profile.alpha_exempt_len))
                 return (s == "") | ~bad
 
-            return _let(strip(line), test)
+            return let(strip(line), test)
 
         shown = F.transform(F.filter(lines, good), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x if profile.keep_indent else strip(x)))
-        once = _let(shown, lambda a: F.filter(a, lambda x, i: (x != "") | ((i > 0) & (F.get(a, i - 1) != ""))))
+        once = let(shown, lambda a: F.filter(a, lambda x, i: (x != "") | ((i > 0) & (F.get(a, i - 1) != ""))))
         return F.array_join(once, "\n")
 
     lines = F.split(c, "\n")
     if profile.repeat_min is None:
         return normalize_whitespace(keep(lines, None))
-    return normalize_whitespace(_let(lines, lambda a: _let(repeated_lines(a, profile.repeat_min), lambda r: keep(a, r))))
+    return normalize_whitespace(let(lines, lambda a: let(repeated_lines(a, profile.repeat_min), lambda r: keep(a, r))))
 
 
 def clean_djvu(c: Column) -> Column:
@@ -173,7 +173,7 @@ def clean_section(c: Column, marker: str) -> Column:
         first = F.array_position(F.transform(a, lambda s: s.rlike(marker)), True)
         return F.when(first > 0, F.slice(a, first.cast("int"), F.size(a))).otherwise(a)
 
-    return F.array_join(_let(lines, cut), "\n")
+    return F.array_join(let(lines, cut), "\n")
 
 
 def sentences(c: Column) -> Column:
@@ -188,7 +188,7 @@ def chunk_words(c: Column, target: int = 500, overlap: int = 50, min_words: int
         cut = F.filter(F.transform(starts, lambda i: F.slice(w, i + 1, target)), lambda x: F.size(x) >= min_words)
         return F.filter(F.transform(cut, lambda x: F.array_join(x, " ")), lambda t: F.length(t) >= min_chars)
 
-    return _let(words(c), windows)
+    return let(words(c), windows)
 
 
 def split_chunks(text: str, target: int = 500, overlap: int = 50, min_words: int = 100) -> list[str]:
