@@ -221,16 +221,16 @@ def vector_topk_ann(spark, d):
     return model.approxNearestNeighbors(v, Vectors.dense([x / norm for x in Q]), 10).select("id", F.round("distCol", 6).alias("distance"))
 
 
-@query("claim_presence_audit", """WITH c AS (SELECT p_partkey % 100 AS figure_id, p_size AS event_id FROM part), seen AS (SELECT DISTINCT l_suppkey % 100 AS figure_id, l_quantity::INT AS event_id FROM lineitem WHERE l_linenumber = 1)
+@query("claim_presence_audit", """WITH c AS (SELECT p_partkey % 100 AS figure_id, p_size AS event_id FROM part), seen AS (SELECT DISTINCT l_suppkey % 100 AS figure_id, l_quantity::INT AS event_id FROM lineitem)
     SELECT c.figure_id, c.event_id, CASE WHEN s.figure_id IS NOT NULL THEN 'CONFIRMED' WHEN c.figure_id IN (SELECT figure_id FROM seen) THEN 'PARTIAL' ELSE 'NOT FOUND' END AS verdict FROM c LEFT JOIN seen s USING (figure_id, event_id)""")
 def claim_presence_audit(spark, d):
     claims = table(spark, d, "part").selectExpr("p_partkey % 100 AS figure_id", "p_size AS event_id")
-    meta = table(spark, d, "lineitem").where("l_linenumber = 1").selectExpr("array(l_suppkey % 100) AS figure_ids", "cast(l_quantity AS int) AS event_id")
+    meta = table(spark, d, "lineitem").selectExpr("array(l_suppkey % 100) AS figure_ids", "cast(l_quantity AS int) AS event_id")
     return R.claim_presence(claims, meta).select("figure_id", "event_id", "verdict")
 
 
-@query("story_overlap", """WITH s AS (SELECT o_custkey AS id, list(DISTINCT o_orderkey % 50) AS f, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders WHERE o_custkey % 40 = 0 GROUP BY 1)
-    SELECT x.id AS id_a, y.id AS id_b FROM s x, s y WHERE x.id < y.id AND list_has_any(x.f, y.f) AND x.a <= y.b AND y.a <= x.b""")
+@query("story_overlap", """WITH s AS (SELECT o_custkey AS id, list(DISTINCT o_orderkey // 40) AS f, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders GROUP BY 1), e AS (SELECT id, a, b, unnest(f) AS f FROM s)
+    SELECT DISTINCT x.id AS id_a, y.id AS id_b FROM e x JOIN e y ON x.f = y.f AND x.id < y.id AND x.a <= y.b AND y.a <= x.b""")
 def story_overlap(spark, d):
-    s = table(spark, d, "orders").where("o_custkey % 40 = 0").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.col("o_orderkey") % 50).alias("figure_ids"), F.min("o_orderdate").alias("date_start"), F.max("o_orderdate").alias("date_end"))
+    s = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.expr("o_orderkey div 40")).alias("figure_ids"), F.min("o_orderdate").alias("date_start"), F.max("o_orderdate").alias("date_end"))
     return R.story_overlap(s)
