@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from lexquarry.llm._util import join_unique, materialise, small_or_shuffled
 
 #: Digests of one shard, hence of one filter and one task.
-SHARD_KEYS = 250_000
+SHARD_KEYS = 50_000
 
 
 def normalised(text: Column) -> Column:
@@ -159,7 +159,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if is_snapshot is None:
         rows = rows.withColumn("old", F.coalesce(F.col("id") < F.lit(middle), F.lit(False)))
     rows = rows.withColumn("old", F.coalesce("old", F.lit(False)))
-    shards = max(4, -(-n // SHARD_KEYS))
+    shards = max(32, -(-n // SHARD_KEYS))
 
     def groups(part: DataFrame) -> DataFrame:
         first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first")
