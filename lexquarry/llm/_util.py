@@ -52,7 +52,7 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, weight: str, total:
     return done.unionByName(rest.select(done.columns))
 
 
-def numbered(df: DataFrame, groups: list[str], spread: list[str], order: list[Column], rows: int, out: str, sums: dict[str, Column] | None = None, block_rows: int = 50_000) -> DataFrame:
+def numbered(df: DataFrame, groups: list[str], spread: list[str], order: list[Column], rows: int, out: str, sums: dict[str, Column] | None = None, block_rows: int = 5_000) -> DataFrame:
     """Number the rows of each group from 0 without gaps, in blocks that no task outgrows.
 
     Rows are ordered inside blocks by ``order`` (which must be total, so that reruns agree);
