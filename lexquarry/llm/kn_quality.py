@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lexquarry.llm._util import materialise, small_or_shuffled
 
-VOCABULARY, QUANTILE, HELD, LEAST_HELD = 16_000, 0.995, 10, 40
+VOCABULARY, QUANTILE, HELD, LEAST_HELD = 16_000, 0.999, 10, 40
 #: Trigram types of a shard, about; tokens gathered before a batch is sent; keys in one row.
 SHARD_TYPES, BATCH_TOKENS, ROW_KEYS = 6_000_000, 1_000_000, 100_000
 #: Length classes by tokens; short documents have widely spread perplexities.
