@@ -5,8 +5,8 @@ held out to set thresholds. Its counts are tables sharded by the middle word of
 trigram, its context, its continuation bigram and that one's context meet in one shard; frequent
 middle words are spread over several shards by their left neighbour, with their bigrams copied.
 Documents are scored by joining their trigrams with these shards: a batch of documents sends each
-shard its sorted trigrams and gets partial sums of log probabilities per document. Counts, joins
-and scores cover all text; what is moved grows with it.
+shard its sorted trigrams and gets back packed partial sums of log probabilities, which are added up
+batch by batch. Counts, joins and scores cover all text; what is moved grows with it.
 
 The vocabulary is closed, as is usual: the ``VOCABULARY`` most frequent words of the trusted text,
 all others by the class of their letters. It and the unigram probabilities are thereby bounded and
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,9 @@ from pyspark.sql import functions as F
 from lexquarry.llm._util import materialise, small_or_shuffled
 
 VOCABULARY, QUANTILE, HELD, LEAST_HELD = 16_000, 0.999, 10, 40
-#: Trigram types of a shard, about; tokens gathered before a batch is sent; keys in one row.
-SHARD_TYPES, BATCH_TOKENS, ROW_KEYS = 6_000_000, 1_000_000, 100_000
+#: Trusted tokens that a shard has the trigrams of; tokens and documents gathered before a batch is
+#: sent; keys in one row.
+SHARD_TOKENS, BATCH_TOKENS, BATCH_DOCS, ROW_KEYS = 16_000_000, 1_000_000, 10_000, 100_000
 #: Length classes by tokens; short documents have widely spread perplexities.
 LENGTHS = (12, 40, 120, 400)
 _BITS, _MASK = 15, (1 << 15) - 1
@@ -46,7 +48,7 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _START, _CLASSES = 0, ("lower", "Title", "UPPER", "0", "sign", "mixed")
 _FIRST = 1 + len(_CLASSES)
 _MODEL3, _MODEL2, _META, _QUERY, _STATS, _UNIGRAM = range(6)
-_SCHEMA = "shard int, kind int, a binary, b binary, c binary, uid long, id {kind}, lang string, n long"
+_SCHEMA = "shard int, kind int, a binary, b binary, batch long, pos int, uid long, id {kind}, lang string, n long"
 
 
 def word_class(w: str) -> int:
@@ -159,24 +161,24 @@ class _Rows:
     """Builds batches of the one row format that all steps exchange."""
 
     def __init__(self, id_type: pa.DataType):
-        self.types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), id_type, pa.string(), pa.int64()]
-        self.names = ["shard", "kind", "a", "b", "c", "uid", "id", "lang", "n"]
+        self.types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), id_type, pa.string(), pa.int64()]
+        self.names = ["shard", "kind", "a", "b", "batch", "pos", "uid", "id", "lang", "n"]
 
     def batch(self, rows: list[tuple]) -> pa.RecordBatch:
-        cols = zip(*rows) if rows else [[]] * 9
+        cols = zip(*rows) if rows else [[]] * len(self.types)
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, self.types)], self.names)
 
     @staticmethod
     def chunks(shard: int, kind: int, a: np.ndarray, b: np.ndarray) -> Iterator[tuple]:
         for at in range(0, len(a), ROW_KEYS):
-            yield (int(shard), kind, pack(a[at : at + ROW_KEYS]), pack(b[at : at + ROW_KEYS]), None, None, None, None, None)
+            yield (int(shard), kind, pack(a[at : at + ROW_KEYS]), pack(b[at : at + ROW_KEYS]), *[None] * 6)
 
 
 def _by_shard(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
-    """Consecutive rows of one shard as tuples (shard, kind, a, b, c, uid, id, lang, n)."""
+    """Consecutive rows of one shard as tuples in the order of the row format."""
     from itertools import groupby
 
-    flat = (r for batch in rows for at in range(batch.num_rows) for r in zip(*[c.to_pylist() for c in batch.slice(at, 1).columns]))
+    flat = (r for batch in rows for at in range(0, batch.num_rows, 16) for r in zip(*[c.to_pylist() for c in batch.slice(at, 16).columns]))
     return groupby(flat, key=lambda r: r[0])
 
 
@@ -230,7 +232,7 @@ def _merge(rows: _Rows, per_shard):
 def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, np.ndarray, dict, Shards]:
     """(model rows by shard, unigram probabilities, discounts by order, the sharding) from a column of trusted texts."""
     rows, coder = _Rows(id_type), Coder(words)
-    shards = Shards(max(12, -(-tokens // SHARD_TYPES)), share)
+    shards = Shards(max(12, -(-tokens // SHARD_TOKENS)), share)
     schema, size = _SCHEMA.format(kind=id_kind), _FIRST + len(words)
 
     def tri(shard, k, c):
@@ -239,7 +241,7 @@ def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id
         home = shards._hash(pairs >> _BITS) % shards.count
         for s in np.unique(home):
             yield from rows.chunks(s, _MODEL2, pairs[home == s], n[home == s])
-        yield (int(shard), _STATS, pack(np.arange(4)), pack(np.array([(c == i).sum() for i in (1, 2, 3, 4)])), None, 3, None, None, None)
+        yield (int(shard), _STATS, pack(np.arange(4)), pack(np.array([(c == i).sum() for i in (1, 2, 3, 4)])), None, None, 3, None, None, None)
 
     def bi(shard, k, c):
         at, to = shards.all_of(k >> _BITS)
@@ -247,7 +249,7 @@ def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id
             yield from rows.chunks(s, _MODEL2, k[at[to == s]], c[at[to == s]])
         last, n = np.unique(k & _MASK, return_counts=True)
         yield from rows.chunks(shard, _UNIGRAM, last, n)
-        yield (int(shard), _STATS, pack(np.arange(4)), pack(np.array([(c == i).sum() for i in (1, 2, 3, 4)])), None, 2, None, None, None)
+        yield (int(shard), _STATS, pack(np.arange(4)), pack(np.array([(c == i).sum() for i in (1, 2, 3, 4)])), None, None, 2, None, None, None)
 
     together = lambda df: df.repartition("shard").sortWithinPartitions("shard", "kind")
     three = materialise(together(texts.mapInArrow(_count_trigrams(coder, shards, rows), schema)).mapInArrow(_merge(rows, tri), schema))
@@ -277,44 +279,44 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray, d: dict, shards:
     schema = _SCHEMA.format(kind=id_kind)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uids, held, n = [], [], 0
+        meta, held, n = [], [], 0
 
         def send():
+            first = meta[0][0]
+            yield rows.batch([(u % shards.count, _META, None, None, first, pos, u, i, lang, len(k)) for pos, ((u, i, lang), k) in enumerate(zip(meta, held))])
             k = np.concatenate(held)
             doc = np.repeat(np.arange(len(held)), [len(h) for h in held])
             order = np.argsort(k, kind="stable")
             k, doc = k[order], doc[order]
-            s, every = shards.of(k), pack(np.array(uids))
-            return rows.batch([(int(i), _QUERY, pack(k[s == i]), pack(doc[s == i]), every, None, None, None, None) for i in np.unique(s)])
+            s = shards.of(k)
+            yield rows.batch([(int(i), _QUERY, pack(k[s == i]), pack(doc[s == i]), first, *[None] * 5) for i in np.unique(s)])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                uid, ids, langs, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
-                meta = []
-                for u, i, lang, text in zip(uid, ids, langs, texts):
-                    keys = coder.keys(text or "")
-                    meta.append((u % shards.count, _META, None, None, None, u, i, lang, len(keys)))
-                    if len(keys):
-                        uids.append(u)
-                        held.append(keys)
-                        n += len(keys)
-                    if n >= BATCH_TOKENS:
-                        yield send()
-                        uids, held, n = [], [], 0
-                yield rows.batch(meta)
-        if n:
-            yield send()
+                for uid, id_, lang, text in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
+                    meta.append((uid, id_, lang))
+                    held.append(coder.keys(text or ""))
+                    n += len(held[-1])
+                    if n >= BATCH_TOKENS or len(held) >= BATCH_DOCS:
+                        yield from send()
+                        meta, held, n = [], [], 0
+        if held:
+            yield from send()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, part in _by_shard(batches):
-            parts, levels = {_MODEL3: ([], []), _MODEL2: ([], [])}, None
-            for _, kind, a, b, c, uid, id_, lang, n in part:
+            parts, levels, meta = {_MODEL3: ([], []), _MODEL2: ([], [])}, None, []
+            for row in part:
+                _, kind, a, b, first, *_ = row
                 if kind in parts:
                     parts[kind][0].append(unpack(a))
                     parts[kind][1].append(unpack(b))
                     continue
                 if kind == _META:
-                    yield pa.RecordBatch.from_arrays([pa.array([uid], pa.int64()), pa.array([id_], id_type), pa.array([lang], pa.string()), pa.array([n], pa.int64()), pa.array([0.0])], ["uid", "id", "lang", "n", "logp"])
+                    meta.append(row)
+                    if len(meta) == 4096:
+                        yield rows.batch(meta)
+                        meta = []
                     continue
                 if levels is None:
                     empty = [np.zeros(0, np.int64)]
@@ -323,15 +325,23 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray, d: dict, shards:
                 keys, back = np.unique(unpack(a), return_inverse=True)
                 pairs = (keys >> 2 * _BITS) << _BITS | keys & _MASK
                 p = levels[0].mix(keys, levels[1].mix(pairs, base[keys & _MASK]))
-                doc, uids = unpack(b), unpack(c)
-                sums = np.bincount(doc, np.log(p)[back], len(uids))
-                met = np.flatnonzero(np.bincount(doc, minlength=len(uids)))
-                yield pa.RecordBatch.from_arrays([pa.array(uids[met]), pa.nulls(len(met), id_type), pa.nulls(len(met), pa.string()), pa.nulls(len(met), pa.int64()), pa.array(sums[met])], ["uid", "id", "lang", "n", "logp"])
+                doc = unpack(b)
+                sums = np.bincount(doc, np.log(p)[back])
+                met = np.flatnonzero(np.bincount(doc))
+                yield rows.batch([(0, _QUERY, pack(met), sums[met].astype(np.float32).tobytes(), first, *[None] * 5)])
+            yield rows.batch(meta)
+
+    def add_up(part: pa.Table) -> pa.Table:
+        docs_, sums = part.filter(pc.equal(part["kind"], _META)), part.filter(pc.equal(part["kind"], _QUERY))
+        total = np.zeros(docs_.num_rows)
+        for a, b in sorted(zip(sums["a"].to_pylist(), sums["b"].to_pylist())):
+            total[unpack(a)] += np.frombuffer(b, np.float32)
+        return docs_.select(["uid", "id", "lang", "n"]).append_column("logp", pa.array(total[docs_["pos"].to_numpy()]))
 
     asked = docs.select("uid", "id", "lang", "text").mapInArrow(ask, schema)
     joined = model.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
-    out = joined.mapInArrow(answer, f"uid long, id {id_kind}, lang string, n long, logp double")
-    return out.groupBy("uid").agg(F.max("id").alias("id"), F.max("lang").alias("lang"), F.max("n").alias("n"), F.sum("logp").alias("logp"))
+    answered = joined.mapInArrow(answer, schema)
+    return answered.groupBy("batch").applyInArrow(add_up, f"uid long, id {id_kind}, lang string, n long, logp double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
