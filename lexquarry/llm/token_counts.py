@@ -65,6 +65,7 @@ class PrefixCounter:
         self._classes = _classes(path)
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
         self._memo: dict[str, int] = {}
+        self._missed = 0
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The plain merge loop, for single tokens and pairs of tokens only."""
@@ -112,11 +113,23 @@ class PrefixCounter:
         if n is None:
             n = self.piece(piece.encode())[-1]
             if len(piece) <= MEMO_CHARS:
-                if len(self._memo) >= MEMO:
-                    self._memo.clear()
-                self._memo[piece] = n
+                if len(self._memo) < MEMO:
+                    self._memo[piece] = n
+                else:  # a full memo takes no more until it has missed several times its size
+                    self._missed += 1
+                    if self._missed > 8 * MEMO:
+                        self._memo.clear()
+                        self._missed = 0
         return n
 
+    def _counts(self, pieces: list[str]) -> list[int]:
+        out = list(map(self._memo.get, pieces))
+        if None in out:
+            for i, n in enumerate(out):
+                if n is None:
+                    out[i] = self._total(pieces[i])
+        return out
+
     def _segments(self, text: str) -> Iterator[tuple[int, int, bool]]:
         """(start, end, whether it is a special string)."""
         at = 0
@@ -138,20 +151,18 @@ class PrefixCounter:
                 continue
             pieces = self._pieces(text[start:end])
             ends.extend(accumulate(map(len, pieces[1:]), initial=start + len(pieces[0])))
-            counts.extend(accumulate(map(self._total, pieces[1:]), initial=counts[-1] + self._total(pieces[0])))
+            own = self._counts(pieces)
+            counts.extend(accumulate(own[1:], initial=counts[-1] + own[0]))
         return ends, counts
 
     def count(self, text: str) -> int:
-        memo, total = self._memo, 0
+        total = 0
         for start, end, special in self._segments(text):
             if special:
                 total += 1
                 continue
             pieces = self._pieces(text if end - start == len(text) else text[start:end])
-            try:
-                total += sum(map(memo.__getitem__, pieces))
-            except KeyError:
-                total += sum(map(self._total, pieces))
+            total += sum(self._counts(pieces))
         return total
 
     def _char_counts(self, piece: str) -> list[int]:
