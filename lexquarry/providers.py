@@ -114,3 +114,67 @@ class ExtractorChain:
 #: A page library's text needs over 100 words, a layout program's over 1,000 characters.
 over_100_words = lambda t: len(t.split()) > 100
 over_1000_chars = lambda t: len(t) > 1000
+
+
+def fetch(candidates: DataFrame, fetcher: Fetcher) -> DataFrame:
+    """(key, priority, url, content): what each of a source's addresses gives; null where it fails.
+
+    Taking the first usable one per source is ``operators.ingest.first_usable``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = []
+            for url in b.column(2).to_pylist():
+                try:
+                    got.append(fetcher.fetch(url) if url else None)
+                except OSError:
+                    got.append(None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], ["source", "priority", "url", "content"])
+
+    cols = candidates.selectExpr("cast(source AS string) source", "cast(priority AS int) priority", "cast(url AS string) url")
+    return cols.mapInArrow(run, "source string, priority int, url string, content binary")
+
+
+def translate(df: DataFrame, translator: Translator, id_col: str = "id", text_col: str = "content") -> DataFrame:
+    """(id, content): a text that can't be translated is null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = []
+            for text in b.column(1).to_pylist():
+                try:
+                    got.append(translator.translate(text) if text else text)
+                except (OSError, RuntimeError):
+                    got.append(None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.string())], ["id", "content"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(df[id_col].alias("id"), df[text_col].alias("t")).mapInArrow(run, f"id {kind}, content string")
+
+
+class Ocr(Protocol):
+    def run(self, data: bytes, languages: str, timeout: float) -> tuple[int, bytes]: ...
+
+
+#: Return codes of the OCR program: done; the file has text already and is kept as it is.
+OCR_DONE, OCR_HAS_TEXT = 0, 6
+
+
+def ocr(df: DataFrame, program: Ocr, languages: str, timeout: float = 1800) -> DataFrame:
+    """(path, status, content): DONE, COPIED, FAILED or TIMEOUT; content is null for the last two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            status, out = [], []
+            for data in b.column(1).to_pylist():
+                try:
+                    code, made = program.run(data, languages, timeout)
+                except TimeoutError:
+                    code, made = None, None
+                name = {OCR_DONE: "DONE", OCR_HAS_TEXT: "COPIED", None: "TIMEOUT"}.get(code, "FAILED")
+                status.append(name)
+                out.append(made if name == "DONE" else data if name == "COPIED" else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(status), pa.array(out, pa.binary())], ["path", "status", "content"])
+
+    return df.select("path", "content").mapInArrow(run, "path string, status string, content binary")
