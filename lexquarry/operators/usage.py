@@ -24,9 +24,18 @@ def quota_check(log: DataFrame, month: Column, limit: int, key: str = "api_key",
 
 
 def quota_decisions(log: DataFrame, limit: int, key: str = "api_key", ts: str = "created_at", order: str = "id") -> DataFrame:
-    """Adds ``accepted``: counts start anew each month, a request is accepted while fewer than ``limit`` were."""
-    w = Window.partitionBy(key, F.date_trunc("month", ts)).orderBy(ts, order)
-    return log.withColumn("accepted", F.row_number().over(w) <= limit)
+    """Adds ``accepted``: counts start anew each month, a request is accepted while fewer than ``limit`` were.
+
+    Only the first ``limit`` requests of a key and month are ranked, a limit that is applied before
+    the exchange; all rows are compared with the last of these, so no task sorts a busy key.
+    """
+    month = F.date_trunc("month", ts)
+    first = log.select(F.col(key).alias("_key"), month.alias("_month"), F.struct(F.col(ts).alias("t"), F.col(order).alias("o")).alias("_at"))
+    first = first.withColumn("_rn", F.row_number().over(Window.partitionBy("_key", "_month").orderBy("_at"))).where(F.col("_rn") <= limit)
+    last = first.groupBy("_key", "_month").agg(F.count(F.lit(1)).alias("_n"), F.max("_at").alias("_last")).where(F.col("_n") == limit)
+    joined = log.join(last, F.col(key).eqNullSafe(F.col("_key")) & month.eqNullSafe(F.col("_month")), "left")
+    inside = F.col("_last").isNull() | (F.struct(F.col(ts).alias("t"), F.col(order).alias("o")) <= F.col("_last"))
+    return joined.withColumn("accepted", inside if limit > 0 else F.lit(False)).drop("_key", "_month", "_n", "_last")
 
 
 def rate_limit_violations(log: DataFrame, limit: int, minutes: int = 1, key: str = "api_key", ts: str = "created_at") -> DataFrame:
@@ -53,12 +62,17 @@ def telemetry_row(turns: DataFrame, text: str = "text") -> DataFrame:
     return turns.withColumns({"pii_flagged": flag, "query_hash": F.hex(G.query_hash(F.col(text))), "query_text": F.when(~flag, F.col(text)), "citations_count": G.citations_count(F.col(text))})
 
 
-def telemetry_sweep(log: DataFrame, as_of: Column, ts: str = "created_at") -> DataFrame:
-    """Retention: texts of unique questions go after 90 days, all texts after 18 months."""
-    alone = F.count(F.lit(1)).over(Window.partitionBy("query_hash")) == 1
+def telemetry_sweep(log: DataFrame, as_of: Column, ts: str = "created_at", id_col: str = "id") -> DataFrame:
+    """Retention: texts of unique questions go after 90 days, all texts after 18 months.
+
+    Unique questions are found by a partial aggregation and met again by the row's own id, so a
+    question that many ask doesn't gather in one task.
+    """
+    single = log.groupBy("query_hash").agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("_alone")).where("n = 1").select("_alone")
+    joined = log.join(single, F.col(id_col) == F.col("_alone"), "left")
     old = F.col(ts) < F.add_months(as_of, -ALL_MONTHS)
-    stale = alone & (F.col(ts) < F.date_sub(as_of, UNIQUE_DAYS))
-    return log.withColumn("query_text", F.when(~(old | stale), F.col("query_text")))
+    stale = F.col("_alone").isNotNull() & (F.col(ts) < F.date_sub(as_of, UNIQUE_DAYS))
+    return joined.withColumn("query_text", F.when(~(old | stale), F.col("query_text"))).drop("_alone")
 
 
 def deactivate(keys: DataFrame, email: str) -> DataFrame:
