@@ -159,7 +159,10 @@ def search(vectors: DataFrame, k: int = 20, query: Column | None = None, id_col:
     parts = int(min(max(PARTS, -(-n // PART_ROWS)), MOST_PARTS, max(1, n // LEAST_ROWS)))
     router, probes = None, 1
     if parts > 1:
-        sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+        # twice the sample by a hash, so that the tasks don't each send a whole one
+        share = min(1 << 30, -(-2 * SAMPLE * (1 << 30) // n))
+        drawn = rows.select("id", "v").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
+        sample = drawn.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
         router, probes = fit(np.array([r["v"] for r in sample]), parts, k)
 
     def home(batches):

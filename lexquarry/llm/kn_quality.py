@@ -344,6 +344,21 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray, d: dict, shards:
     return answered.groupBy("batch").applyInArrow(add_up, f"uid long, id {id_kind}, lang string, n long, logp double")
 
 
+def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The ``most`` words (w, n) of largest count.
+
+    Powers of two of the counts, some sixty rows, tell which words can be among them, so that the
+    tasks don't each send that many candidates.
+    """
+    power = F.floor(F.log2("n")).cast("int")
+    least, seen = 0, 0
+    for r in sorted(counted.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        least, seen = r["p"], seen + r["k"]
+        if seen >= most:
+            break
+    return counted.where(F.col("n") >= 2**least).orderBy(F.desc("n"), "w").limit(most)
+
+
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: id, lang, n_tokens, perplexity (null without tokens), threshold (null if none), kept."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -369,7 +384,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     total = counted.agg(F.sum("n")).first()[0] or 0
     if total == 0:
         return rows.select(F.col("id").alias(id_col), "lang", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
-    top = counted.orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
+    top = _most_frequent(counted, VOCABULARY).collect()
     words = [r["w"] for r in top]
     share = np.r_[np.ones(_FIRST), [r["n"] for r in top]] / total
     share[1:_FIRST] = max(0.0, 1 - share[_FIRST:].sum()) / 2

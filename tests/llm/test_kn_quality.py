@@ -89,6 +89,14 @@ def test_perplexities_against_dictionaries(spark, documents, sf_dir, monkeypatch
         assert got[i][0] == n and (got[i][1] == pytest.approx(p, rel=1e-5) if n else got[i][1] is None)
 
 
+def test_most_frequent_words(spark):
+    rows = [(f"w{i}", n) for i, n in enumerate([9, 9, 8, 5, 4, 4, 3, 2, 1, 1])]
+    df = spark.createDataFrame(rows, "w string, n long")
+    for k in (1, 2, 4, 6, 20):
+        want = [w for w, _ in sorted(rows, key=lambda x: (-x[1], x[0]))[:k]]
+        assert [r["w"] for r in K._most_frequent(df, k).collect()] == want
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     keys, counts = np.unique(rng.integers(0, 6, 400) << 15 | rng.integers(0, 20, 400), return_counts=True)
