@@ -31,8 +31,8 @@ from lexquarry.llm._util import materialise
 
 #: Rows that the graph and the classifier are fitted on, at most; rows a part has at least; parts of
 #: usual tables; rows a part has at most, before there are more parts; most parts.
-SAMPLE, LEAST_ROWS, PARTS, PART_ROWS, MOST_PARTS = 6_000, 400, 16, 50_000, 128
-NEIGHBOURS, HIDDEN, AIM, BLOCK = 12, 96, 0.95, 8_192
+SAMPLE, LEAST_ROWS, PARTS, PART_ROWS, MOST_PARTS = 4_000, 400, 16, 50_000, 128
+NEIGHBOURS, HIDDEN, AIM, BLOCK = 12, 96, 0.97, 8_192
 
 
 def usable(c: Column) -> Column:
