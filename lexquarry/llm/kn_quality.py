@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from lexquarry.llm._util import materialise, small_or_shuffled
 
 VOCABULARY, QUANTILE, HELD, LEAST_HELD = 16_000, 0.999, 10, 40
-#: Trusted tokens that a shard has the trigrams of; tokens and documents gathered before a batch is
-#: sent; keys in one row.
-SHARD_TOKENS, BATCH_TOKENS, BATCH_DOCS, ROW_KEYS = 16_000_000, 1_000_000, 10_000, 100_000
+#: Trusted tokens that a shard has the trigrams of, and the least number of shards; tokens and
+#: documents gathered before a batch is sent; keys in one row.
+SHARD_TOKENS, LEAST_SHARDS, BATCH_TOKENS, BATCH_DOCS, ROW_KEYS = 16_000_000, 36, 600_000, 10_000, 100_000
 #: Length classes by tokens; short documents have widely spread perplexities.
 LENGTHS = (12, 40, 120, 400)
 _BITS, _MASK = 15, (1 << 15) - 1
@@ -232,7 +232,7 @@ def _merge(rows: _Rows, per_shard):
 def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, np.ndarray, dict, Shards]:
     """(model rows by shard, unigram probabilities, discounts by order, the sharding) from a column of trusted texts."""
     rows, coder = _Rows(id_type), Coder(words)
-    shards = Shards(max(12, -(-tokens // SHARD_TOKENS)), share)
+    shards = Shards(max(LEAST_SHARDS, -(-tokens // SHARD_TOKENS)), share)
     schema, size = _SCHEMA.format(kind=id_kind), _FIRST + len(words)
 
     def tri(shard, k, c):
@@ -375,7 +375,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 seen.update(_TOKEN.findall(text or ""))
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     yield send()
                     seen.clear()
         yield send()

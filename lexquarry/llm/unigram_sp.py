@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
-MEMO, MEMO_CHARS = 250_000, 48
+MEMO, MEMO_CHARS = 150_000, 48
 #: Blanks with what follows: letters and anything beyond ASCII, digits, or signs; or up to the next blank.
 _FINE = re.compile(r" *[A-Za-z\x80-\U0010ffff]+| *[0-9]+| *[\x00-\x1f!-/:-@\[-`{-\x7f]+| +")
 _COARSE = re.compile(" *[^ ]+| +")
