@@ -36,7 +36,7 @@ _LATIN = re.compile(
 _BEYOND = re.compile("[^\x00-ɏ]")
 _SPACE = re.compile(r"[\s\x85\xa0]+")
 #: Distinct pieces remembered by a worker, and the length up to which they are.
-MEMO, MEMO_CHARS = 400_000, 64
+MEMO, MEMO_CHARS = 1_000_000, 64
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -54,16 +54,17 @@ class PrefixCounter:
             spec = json.load(f)
         of = _byte_alphabet()
         to_bytes = lambda s: bytes(of[c] for c in s)
-        self.vocab = {to_bytes(k) for k in spec["model"]["vocab"] if all(c in of for c in k)}
+        self.tokens = [to_bytes(k) for k in spec["model"]["vocab"] if all(c in of for c in k)]
+        self.vocab = {t: i for i, t in enumerate(self.tokens)}
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.rank = {(to_bytes(a), to_bytes(b)): i for i, (a, b) in enumerate(merges)}
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         self._special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
         self.longest: dict[int, int] = {}
-        for t in self.vocab:
+        for t in self.tokens:
             self.longest[t[-1]] = max(self.longest.get(t[-1], 0), len(t))
         self._classes = _classes(path)
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._memo: dict[str, int] = {}
         self._missed = 0
 
@@ -86,22 +87,27 @@ class PrefixCounter:
             parts = done
         return parts
 
-    def _valid(self, before: bytes, token: bytes) -> bool:
-        known = self._pairs.get((before, token))
-        if known is None:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            known = self._pairs[before, token] = self.merge(before + token) == ([before, token] if before else [token])
-        return known
+    def _valid(self, before: int, token: int) -> bool:
+        """Whether the merges make just these two tokens of their bytes; ``before`` is -1 at the start of a piece."""
+        if len(self._pairs) > 1_000_000:
+            self._pairs.clear()
+        parts = [self.tokens[token]] if before < 0 else [self.tokens[before], self.tokens[token]]
+        ok = self._pairs[before + 1 << 20 | token] = self.merge(b"".join(parts)) == parts
+        return ok
 
     def piece(self, piece: bytes) -> list[int]:
         """count[i] for the first i bytes of one piece."""
-        count, last = [0] * (len(piece) + 1), [b""] * (len(piece) + 1)
+        count, last = [0] * (len(piece) + 1), [-1] * (len(piece) + 1)
+        token_of, known, longest = self.vocab.get, self._pairs.get, self.longest
         for i in range(1, len(piece) + 1):
-            for n in range(min(i, self.longest[piece[i - 1]]), 0, -1):
-                token = piece[i - n : i]
-                if token in self.vocab and self._valid(last[i - n], token):
-                    count[i], last[i] = count[i - n] + 1, token
+            for start in range(max(0, i - longest[piece[i - 1]]), i):
+                token = token_of(piece[start:i])
+                if token is None:
+                    continue
+                before = last[start]
+                ok = known(before + 1 << 20 | token)
+                if ok or (ok is None and self._valid(before, token)):
+                    count[i], last[i] = count[start] + 1, token
                     break
         return count
 
