@@ -8,9 +8,13 @@ Documents are scored by joining their trigrams with these shards: a batch of doc
 shard its sorted trigrams and gets back packed partial sums of log probabilities, which are added up
 batch by batch. Counts, joins and scores cover all text; what is moved grows with it.
 
-The vocabulary is closed, as is usual: the ``VOCABULARY`` most frequent words of the trusted text,
-all others by the class of their letters. It and the unigram probabilities are thereby bounded and
-go to every worker.
+The vocabulary is open: every word has its own counts in all three orders. The ``VOCABULARY`` most
+frequent words of the trusted text are listed and have short numbers, and their unigrams go to every
+worker; any other word has a number by a hash of ``_HASH`` bits, and its unigram is in a sharded table
+that grows with the text. A bigram that was seen carries the unigram of its last word. Of one that
+wasn't, the unigram is a factor, whose logarithm the shard of the last word adds. What the unigrams
+leave over is shared evenly by all numbers, so a word that the trusted text lacks is as unlikely as
+one of 2**_HASH spellings.
 
 A document is rejected if its perplexity exceeds a quantile of the held-out trusted documents of
 its language and its length class. Where these are fewer than ``LEAST_HELD``, the quantile of all
@@ -31,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,33 +50,62 @@ SHARD_TOKENS, LEAST_SHARDS, BATCH_TOKENS, BATCH_DOCS, ROW_KEYS = 16_000_000, 36,
 LENGTHS = (12, 40, 120, 400)
 _BITS, _MASK = 15, (1 << 15) - 1
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_START, _CLASSES = 0, ("lower", "Title", "UPPER", "0", "sign", "mixed")
-_FIRST = 1 + len(_CLASSES)
-_MODEL3, _MODEL2, _META, _QUERY, _STATS, _UNIGRAM = range(6)
+#: The start of a text; numbers other than those of listed words; where numbers by hash begin.
+_START, _HASH = 0, 31
+_FIRST, _RARE = 1 + (1 << _HASH), 1 << _BITS
+_MODEL3, _MODEL2, _MODEL1, _META, _QUERY, _QUERY1, _STATS, _UNIGRAM = range(8)
 _SCHEMA = "shard int, kind int, a binary, b binary, batch long, pos int, uid long, id {kind}, lang string, n long"
 
 
 def word_class(w: str) -> int:
-    if w.isdigit():
-        return 4
-    if not (w[0].isalnum() or w[0] == "_"):
-        return 5
-    if w.isalpha():
-        return 1 if w.islower() else 3 if w.isupper() else 2 if w.istitle() else 6
-    return 6
-
-
-def pack(x: np.ndarray) -> bytes:
-    """Differences of a column, byte plane by byte plane, compressed."""
-    d = np.diff(x.astype(np.int64), prepend=np.int64(0))
+    """The number of a word that isn't listed, from 1."""
+    return 1 + (xxhash.xxh3_64_intdigest(w.encode()) & (1 << _HASH) - 1)
+
+
+def pack(x: np.ndarray, sorted_: bool = True) -> bytes:
+    """Differences of a sorted column, or another column itself, byte plane by byte plane, compressed."""
+    d = np.diff(x.astype(np.int64), prepend=np.int64(0)) if sorted_ else x.astype(np.int64)
     wide = next(w for w in (1, 2, 4, 8) if len(d) == 0 or (d.min() >= -(1 << 8 * w - 1) and d.max() < 1 << 8 * w - 1))
     planes = np.ascontiguousarray(d.astype(f"i{wide}").view(np.uint8).reshape(-1, wide).T)
-    return bytes([wide]) + zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return bytes([wide if sorted_ else wide | 16]) + zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unpack(b: bytes) -> np.ndarray:
-    wide, raw = b[0], np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8)
-    return np.cumsum(np.ascontiguousarray(raw.reshape(wide, -1).T).view(f"i{wide}").ravel().astype(np.int64))
+    wide, raw = b[0] & 15, np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8)
+    d = np.ascontiguousarray(raw.reshape(wide, -1).T).view(f"i{wide}").ravel().astype(np.int64)
+    return d if b[0] & 16 else np.cumsum(d)
+
+
+def pack_all(first: np.ndarray, *others: np.ndarray) -> bytes:
+    """A sorted column and others, each after its length."""
+    parts = [pack(first), *[pack(x, False) for x in others]]
+    return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+
+
+def unpack_all(b: bytes) -> list[np.ndarray]:
+    at, out = 0, []
+    while at < len(b):
+        n = int.from_bytes(b[at : at + 4], "little")
+        out.append(unpack(b[at + 4 : at + 4 + n]))
+        at += 4 + n
+    return out
+
+
+def pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Two numbers of at most 32 bits in one of 64."""
+    return x << 32 | y
+
+
+def halves(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (k.view(np.uint64) >> np.uint64(32)).astype(np.int64), k & 0xFFFFFFFF
+
+
+def trigram(context: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of a pair and a word; trigrams of one shard are too few to share one."""
+    x = context.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) + last.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
 class Shards:
@@ -85,29 +119,40 @@ class Shards:
         x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64)
 
+    def _spread(self, mid: np.ndarray) -> np.ndarray:
+        return np.where(mid < len(self.spread), self.spread[np.minimum(mid, len(self.spread) - 1)], 1)
+
     def of(self, keys: np.ndarray) -> np.ndarray:
-        mid, left = keys >> 2 * _BITS, keys >> _BITS & _MASK
-        return (self._hash(mid) + left % self.spread[mid]) % self.count
+        """Of listed words (middle, left, last), packed."""
+        return self.at(keys >> 2 * _BITS, keys >> _BITS & _MASK)
+
+    def at(self, mid: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return (self._hash(mid) + left % self._spread(mid)) % self.count
+
+    def home(self, word: np.ndarray) -> np.ndarray:
+        return self._hash(word) % self.count
 
     def all_of(self, mid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions in ``mid``, shards) of every shard that may hold a middle word."""
-        at = np.repeat(np.arange(len(mid)), self.spread[mid])
-        step = np.arange(len(at)) - np.repeat(np.cumsum(self.spread[mid]) - self.spread[mid], self.spread[mid])
+        spread = self._spread(mid)
+        at = np.repeat(np.arange(len(mid)), spread)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(spread) - spread, spread)
         return at, (self._hash(mid[at]) + step) % self.count
 
 
 class Coder:
-    """Texts to trigram keys (middle word, left word, last word)."""
+    """Texts to trigrams."""
 
     def __init__(self, words: list[str]):
-        self.ids = {w: i for i, w in enumerate(words, _FIRST)}
+        self.ids = {w: i for i, w in enumerate(words, 1)}
 
     def keys(self, text: str) -> np.ndarray:
+        """Rows: pairs (middle word, left word), last words."""
         get = self.ids.get
         words = _TOKEN.findall(text)
-        w = np.fromiter((get(x) or word_class(x) for x in words), np.int64, len(words))
+        w = np.fromiter((get(x) or _RARE + word_class(x) for x in words), np.int64, len(words))
         padded = np.r_[_START, _START, w]
-        return padded[1:-1] << 2 * _BITS | padded[:-2] << _BITS | w
+        return np.stack([pair(padded[1:-1], padded[:-2]), w])
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -123,38 +168,52 @@ def _minus(c: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """One order of the model: sorted keys, whose upper bits are the context, with their counts."""
+    """One order of the model: keys with their contexts (by default their upper bits) and counts."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, d: np.ndarray, contexts: np.ndarray | None = None):
+        order = np.argsort(keys)
+        self.keys, self.order, self.top = keys[order], order, (counts - _minus(counts, d))[order]
+        self.contexts, at = np.unique(keys >> _BITS if contexts is None else contexts, return_inverse=True)
+        self.total = np.bincount(at, counts, len(self.contexts))
+        self.left = np.bincount(at, _minus(counts, d), len(self.contexts)) / self.total
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, d: np.ndarray):
-        self.keys, self.top = keys, counts - _minus(counts, d)
-        context = keys >> _BITS
-        starts = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(keys) else np.zeros(0, int)
-        self.contexts = context[starts]
-        self.total = np.add.reduceat(counts, starts).astype(float) if len(keys) else np.zeros(0)
-        self.left = np.add.reduceat(_minus(counts, d), starts) / self.total if len(keys) else np.zeros(0)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which keys are there, their places in the keys given first)."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), int)
+        i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[i] == keys, self.order[i]
 
-    def mix(self, keys: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    def mix(self, keys: np.ndarray, lower: np.ndarray, contexts: np.ndarray | None = None) -> np.ndarray:
         if not len(self.keys):
             return lower
-        at = np.minimum(np.searchsorted(self.contexts, keys >> _BITS), len(self.contexts) - 1)
-        known = self.contexts[at] == keys >> _BITS
+        contexts = keys >> _BITS if contexts is None else contexts
+        at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        known = self.contexts[at] == contexts
         i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         top = np.where(self.keys[i] == keys, self.top[i], 0.0)
         return np.where(known, top / self.total[at] + self.left[at] * lower, lower)
 
 
-def unigrams(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
-    total = max(counts.sum(), 1)
+def unigrams(counts: np.ndarray, d: np.ndarray, total: int | None = None, rest: float | None = None) -> np.ndarray:
+    """Probabilities by counts; ``total`` and what is left for each word are given where there are other words."""
+    total = total or max(counts.sum(), 1)
     top = np.where(counts > 0, counts - _minus(np.maximum(counts, 1), d), 0.0)
-    return top / total + (1 - top.sum() / total) / len(counts)
+    return top / total + ((1 - top.sum() / total) / len(counts) if rest is None else rest)
 
 
-def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, int)
-    return k[starts], np.add.reduceat(c, starts) if len(k) else c
+def _sum_by_key(keys: list[list[np.ndarray]], counts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sums by keys of one or two columns."""
+    k, c = [np.concatenate(x) for x in zip(*keys)], np.concatenate(counts)
+    order = np.lexsort([k[-1], k[0].view(np.uint64)] if len(k) > 1 else [k[0].view(np.uint64)])
+    k, c = [x[order] for x in k], c[order]
+    if not len(c):
+        return k, c
+    new = np.zeros(len(c) - 1, bool)
+    for x in k:
+        new |= x[1:] != x[:-1]
+    starts = np.flatnonzero(np.r_[True, new])
+    return [x[starts] for x in k], np.add.reduceat(c, starts)
 
 
 class _Rows:
@@ -169,9 +228,20 @@ class _Rows:
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, self.types)], self.names)
 
     @staticmethod
-    def chunks(shard: int, kind: int, a: np.ndarray, b: np.ndarray) -> Iterator[tuple]:
-        for at in range(0, len(a), ROW_KEYS):
-            yield (int(shard), kind, pack(a[at : at + ROW_KEYS]), pack(b[at : at + ROW_KEYS]), *[None] * 6)
+    def chunks(shard: int, kind: int, keys: list[np.ndarray], b: np.ndarray) -> Iterator[tuple]:
+        for at in range(0, len(b), ROW_KEYS):
+            yield (int(shard), kind, pack_all(*[x[at : at + ROW_KEYS] for x in keys]), pack(b[at : at + ROW_KEYS], False), *[None] * 6)
+
+    @staticmethod
+    def stats(level: int, counts: np.ndarray) -> tuple:
+        """How many keys were counted 1 to 4 times, all keys, and the sum of their counts."""
+        return (0, _STATS, pack_all(np.arange(6)), pack(np.array([*[(counts == i).sum() for i in (1, 2, 3, 4)], len(counts), counts.sum()]), False), None, None, level, None, None, None)
+
+    def dealt(self, shard: np.ndarray, kind: int, keys: list[np.ndarray], b: np.ndarray) -> Iterator[tuple]:
+        order = np.argsort(shard, kind="stable")
+        of, starts = np.unique(shard[order], return_index=True)
+        for s, i in zip(of, np.split(order, starts[1:])):
+            yield from self.chunks(s, kind, [x[i] for x in keys], b[i])
 
 
 def _by_shard(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
@@ -187,14 +257,13 @@ def _count_trigrams(coder: Coder, shards: Shards, rows: _Rows):
         held, n = [], 0
 
         def send():
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            s = shards.of(k)
-            return rows.batch([r for i in np.unique(s) for r in rows.chunks(i, _MODEL3, k[s == i], c[s == i])])
+            k, c = _sum_by_key(held, [np.ones(n, np.int64)])
+            return rows.batch(list(rows.dealt(shards.at(*halves(k[0])), _MODEL3, k, c)))
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 held.append(coder.keys(text or ""))
-                n += len(held[-1])
+                n += held[-1].shape[1]
                 if n >= BATCH_TOKENS:
                     yield send()
                     held, n = [], 0
@@ -211,10 +280,10 @@ def _merge(rows: _Rows, per_shard):
         for shard, part in _by_shard(batches):
             keys, counts, n = [], [], 0
             for r in part:
-                keys.append(unpack(r[2]))
+                keys.append(unpack_all(r[2]))
                 counts.append(unpack(r[3]))
-                n += len(keys[-1])
-                if n > 2 * len(keys[0]) + 2_000_000:
+                n += len(counts[-1])
+                if n > 2 * len(counts[0]) + 2_000_000:
                     k, c = _sum_by_key(keys, counts)
                     keys, counts, n = [k], [c], len(k)
             k, c = _sum_by_key(keys, counts)
@@ -229,27 +298,31 @@ def _merge(rows: _Rows, per_shard):
     return run
 
 
-def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, np.ndarray, dict, Shards]:
-    """(model rows by shard, unigram probabilities, discounts by order, the sharding) from a column of trusted texts."""
+def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, dict, dict, Shards]:
+    """(model rows by shard, unigram probabilities of listed words and figures of the others, discounts by order, the sharding) from a column of trusted texts."""
     rows, coder = _Rows(id_type), Coder(words)
     shards = Shards(max(LEAST_SHARDS, -(-tokens // SHARD_TOKENS)), share)
-    schema, size = _SCHEMA.format(kind=id_kind), _FIRST + len(words)
+    schema = _SCHEMA.format(kind=id_kind)
 
     def tri(shard, k, c):
         yield from rows.chunks(shard, _MODEL3, k, c)
-        pairs, n = np.unique((k >> 2 * _BITS) << _BITS | k & _MASK, return_counts=True)
-        home = shards._hash(pairs >> _BITS) % shards.count
-        for s in np.unique(home):
-            yield from rows.chunks(s, _MODEL2, pairs[home == s], n[home == s])
-        yield (int(shard), _STATS, pack(np.arange(4)), pack(np.array([(c == i).sum() for i in (1, 2, 3, 4)])), None, None, 3, None, None, None)
+        mid, _ = halves(k[0])
+        (pairs,), n = _sum_by_key([[pair(mid, k[1])]], [np.ones(len(c), np.int64)])
+        mid, last = halves(pairs)
+        # all bigrams of a last word that isn't listed meet, so that its unigram is counted there
+        yield from rows.dealt(shards.home(np.where(last < _RARE, mid, last)), _MODEL2, [pairs], n)
+        yield rows.stats(3, c)
 
     def bi(shard, k, c):
-        at, to = shards.all_of(k >> _BITS)
-        for s in np.unique(to):
-            yield from rows.chunks(s, _MODEL2, k[at[to == s]], c[at[to == s]])
-        last, n = np.unique(k & _MASK, return_counts=True)
-        yield from rows.chunks(shard, _UNIGRAM, last, n)
-        yield (int(shard), _STATS, pack(np.arange(4)), pack(np.array([(c == i).sum() for i in (1, 2, 3, 4)])), None, None, 2, None, None, None)
+        mid, last = halves(k[0])
+        word, back, n = np.unique(last, return_inverse=True, return_counts=True)
+        listed = word < _RARE
+        at, to = shards.all_of(mid)
+        yield from rows.dealt(to, _MODEL2, [k[0][at], np.where(last < _RARE, 0, n[back])[at]], c[at])
+        yield from rows.chunks(shard, _UNIGRAM, [word[listed]], n[listed])
+        yield from rows.dealt(shards.home(word[~listed]), _MODEL1, [word[~listed]], n[~listed])
+        yield rows.stats(2, c)
+        yield rows.stats(1, n[~listed])
 
     together = lambda df: df.repartition("shard").sortWithinPartitions("shard", "kind")
     three = materialise(together(texts.mapInArrow(_count_trigrams(coder, shards, rows), schema)).mapInArrow(_merge(rows, tri), schema))
@@ -258,45 +331,73 @@ def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id
     def loose(batches):
         for batch in batches:
             for a, b, level in zip(*[c.to_pylist() for c in batch.columns]):
-                k = unpack(a)
+                k = unpack_all(a)[0]
                 yield pa.RecordBatch.from_arrays([pa.array([level] * len(k), pa.int64()), pa.array(k), pa.array(unpack(b))], ["level", "k", "c"])
 
-    small = three.unionByName(two).where(F.col("kind").isin(_STATS, _UNIGRAM)).select("a", "b", F.coalesce("uid", F.lit(1)).alias("level")).mapInArrow(loose, "level long, k long, c long")
-    sums = small.groupBy("level", "k").agg(F.sum("c").alias("c")).collect()  # at most the vocabulary and eight more
-    of = {level: {r["k"]: r["c"] for r in sums if r["level"] == level} for level in (1, 2, 3)}
-    seen = np.zeros(size, np.int64)
-    for k, c in of[1].items():
+    small = three.unionByName(two).where(F.col("kind").isin(_STATS, _UNIGRAM)).select("a", "b", F.coalesce("uid", F.lit(0)).alias("level")).mapInArrow(loose, "level long, k long, c long")
+    sums = small.groupBy("level", "k").agg(F.sum("c").alias("c")).collect()  # at most the listed words and some twenty more
+    of = {level: {r["k"]: r["c"] for r in sums if r["level"] == level} for level in (0, 1, 2, 3)}
+    seen = np.zeros(1 + len(words), np.int64)
+    for k, c in of[0].items():
         seen[k] = c
-    d = {level: discounts([of[level].get(i, 0) for i in range(4)]) for level in (2, 3)}
-    d[1] = discounts([(seen == i).sum() for i in (1, 2, 3, 4)])
-    model = three.where(F.col("kind") == _MODEL3).unionByName(two.where(F.col("kind") == _MODEL2))
-    return model, unigrams(seen, d[1]), d, shards
-
-
-def score(docs: DataFrame, model: DataFrame, base: np.ndarray, d: dict, shards: Shards, words: list[str], id_kind: str, id_type: pa.DataType) -> DataFrame:
+    times = {level: np.array([of[level].get(i, 0) for i in range(6)]) for level in (1, 2, 3)}
+    d = {level: discounts(times[level][:4]) for level in (2, 3)}
+    met, rare = seen[seen > 0], times[1]
+    d[1] = discounts([(seen == i).sum() + rare[i - 1] for i in (1, 2, 3, 4)])
+    total = max(int(met.sum() + rare[5]), 1)
+    spared = _minus(met, d[1]).sum() + rare[:2] @ d[1][:2] + (rare[4] - rare[:2].sum()) * d[1][2] if len(met) or rare[4] else total
+    unigram = {"d": d[1], "total": total, "rest": float(spared / total / (_FIRST + len(words)))}
+    model = three.where(F.col("kind") == _MODEL3).unionByName(two.where(F.col("kind").isin(_MODEL2, _MODEL1)))
+    return model, unigram | {"listed": unigrams(seen, **unigram)}, d, shards
+
+
+def _place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which are among the sorted keys, their places)."""
+    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[i] == wanted, i
+
+
+def _levels(parts: dict, d: dict) -> tuple[list[Level], tuple[np.ndarray, np.ndarray]]:
+    """(trigrams and bigrams, words that aren't listed with their counts) of a shard."""
+    none = np.zeros(0, np.int64)
+    (context, last), c = _sum_by_key(parts[_MODEL3][0] or [[none, none]], parts[_MODEL3][1] or [none])
+    three = Level(trigram(context, last), c, d[3], context)
+    (two, ends), c = [np.concatenate(x) for x in zip(*(parts[_MODEL2][0] or [[none, none]]))], np.concatenate(parts[_MODEL2][1] or [none])
+    level = Level(two, c, d[2], halves(two)[0])
+    level.ends = ends
+    (word,), n = _sum_by_key(parts[_MODEL1][0] or [[none - 1]], parts[_MODEL1][1] or [none])
+    return [three, level], (word, n) if len(word) else (np.array([-1]), np.array([0]))
+
+
+def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards, words: list[str], id_kind: str, id_type: pa.DataType) -> DataFrame:
     """(uid, id, lang, n, logp) per row of docs (uid, id, lang, text)."""
     rows, coder = _Rows(id_type), Coder(words)
-    schema = _SCHEMA.format(kind=id_kind)
+    schema, rare = _SCHEMA.format(kind=id_kind), {k: v for k, v in base.items() if k != "listed"}
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meta, held, n = [], [], 0
 
         def send():
             first = meta[0][0]
-            yield rows.batch([(u % shards.count, _META, None, None, first, pos, u, i, lang, len(k)) for pos, ((u, i, lang), k) in enumerate(zip(meta, held))])
-            k = np.concatenate(held)
-            doc = np.repeat(np.arange(len(held)), [len(h) for h in held])
-            order = np.argsort(k, kind="stable")
-            k, doc = k[order], doc[order]
-            s = shards.of(k)
-            yield rows.batch([(int(i), _QUERY, pack(k[s == i]), pack(doc[s == i]), first, *[None] * 5) for i in np.unique(s)])
+            yield rows.batch([(u % shards.count, _META, None, None, first, pos, u, i, lang, k.shape[1]) for pos, ((u, i, lang), k) in enumerate(zip(meta, held))])
+            context, last = np.concatenate(held, axis=1)
+            doc = np.repeat(np.arange(len(held)), [h.shape[1] for h in held])
+            yield from asked(_QUERY, shards.at(*halves(context)), context, [last], doc, first)
+            rare = last >= _RARE
+            yield from asked(_QUERY1, shards.home(last[rare]), last[rare], [], doc[rare], first)
+
+        def asked(kind, shard, key, others, doc, first):
+            order = np.argsort(key.view(np.uint64), kind="stable")
+            order = order[np.argsort(shard[order].astype(np.int32), kind="stable")]
+            of, starts = np.unique(shard[order], return_index=True)
+            yield rows.batch([(int(s), kind, pack_all(key[i], *[x[i] for x in others]), pack(doc[i], False), first, *[None] * 5) for s, i in zip(of, np.split(order, starts[1:]))])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for uid, id_, lang, text in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
                     meta.append((uid, id_, lang))
                     held.append(coder.keys(text or ""))
-                    n += len(held[-1])
+                    n += held[-1].shape[1]
                     if n >= BATCH_TOKENS or len(held) >= BATCH_DOCS:
                         yield from send()
                         meta, held, n = [], [], 0
@@ -305,11 +406,11 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray, d: dict, shards:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, part in _by_shard(batches):
-            parts, levels, meta = {_MODEL3: ([], []), _MODEL2: ([], [])}, None, []
+            parts, levels, meta = {k: ([], []) for k in (_MODEL3, _MODEL2, _MODEL1)}, None, []
             for row in part:
                 _, kind, a, b, first, *_ = row
                 if kind in parts:
-                    parts[kind][0].append(unpack(a))
+                    parts[kind][0].append(unpack_all(a))
                     parts[kind][1].append(unpack(b))
                     continue
                 if kind == _META:
@@ -319,14 +420,25 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray, d: dict, shards:
                         meta = []
                     continue
                 if levels is None:
-                    empty = [np.zeros(0, np.int64)]
-                    levels = [Level(*_sum_by_key(parts[k][0] or empty, parts[k][1] or empty), d[o]) for k, o in ((_MODEL3, 3), (_MODEL2, 2))]
+                    levels, own = _levels(parts, d)
                     parts = {}
-                keys, back = np.unique(unpack(a), return_inverse=True)
-                pairs = (keys >> 2 * _BITS) << _BITS | keys & _MASK
-                p = levels[0].mix(keys, levels[1].mix(pairs, base[keys & _MASK]))
-                doc = unpack(b)
-                sums = np.bincount(doc, np.log(p)[back])
+                asked_, doc = unpack_all(a), unpack(b)
+                if kind == _QUERY1:
+                    there, i = _place(own[0], asked_[0])
+                    logs = np.log(unigrams(np.where(there, own[1][i], 0), **rare))
+                else:
+                    _, at, back = np.unique(trigram(*asked_), return_index=True, return_inverse=True)
+                    context, last = asked_[0][at], asked_[1][at]
+                    mid, _ = halves(context)
+                    two = pair(mid, last)
+                    there, i = levels[1].find(two)
+                    # of other words that were seen here the unigram is known, and is added again where it is looked up
+                    lower = np.where(last < _RARE, base["listed"][np.minimum(last, len(base["listed"]) - 1)], 1.0)
+                    known = there & (last >= _RARE)
+                    lower[known] = unigrams(levels[1].ends[i[known]], **rare)
+                    p = levels[0].mix(trigram(context, last), levels[1].mix(two, lower, mid), context)
+                    logs = (np.log(p) - np.where(known, np.log(lower), 0.0))[back]
+                sums = np.bincount(doc, logs)
                 met = np.flatnonzero(np.bincount(doc))
                 yield rows.batch([(0, _QUERY, pack(met), sums[met].astype(np.float32).tobytes(), first, *[None] * 5)])
             yield rows.batch(meta)
@@ -386,9 +498,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
         return rows.select(F.col("id").alias(id_col), "lang", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
     top = _most_frequent(counted, VOCABULARY).collect()
     words = [r["w"] for r in top]
-    share = np.r_[np.ones(_FIRST), [r["n"] for r in top]] / total
-    share[1:_FIRST] = max(0.0, 1 - share[_FIRST:].sum()) / 2
-    share[_START] = 0.02
+    share = np.r_[0.02, np.array([r["n"] for r in top]) / total]
     model, base, d, shards = train(texts, words, share, total, kind, id_type)
     scored = score(rows, model, base, d, shards, words, kind, id_type)
     length = F.lit(0)

@@ -129,3 +129,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert K.quality(no_docs, labels).count() == 0
     none = K.quality(odd_docs, labels.where("quality = 0"))
     assert none.count() == 10 and none.where("not kept").isEmpty()
+
+
+def test_random_letters_are_rejected(spark):
+    """Unknown words in a row are no likelier for it, though half of the trusted words aren't listed either."""
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = ["".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(60_000)]
+    clean = lambda: " ".join(words[int(len(words) ** x) - 1] for x in rng.random(200))
+    noise = lambda: " ".join("".join(rng.choice(letters, 7)) for _ in range(200))
+    rows = [(i, noise() if i % 20 == 1 else clean(), "en") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 2000, 2)], LABELS)
+    out = K.quality(docs, labels).collect()
+    assert not any(r["kept"] for r in out if r["doc_id"] % 20 == 1)
+    assert sum(not r["kept"] for r in out if r["doc_id"] % 20 != 1) <= 40
