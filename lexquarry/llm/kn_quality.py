@@ -17,9 +17,12 @@ leave over is shared evenly by all numbers, so a word that the trusted text lack
 one of 2**_HASH spellings.
 
 A document is rejected if its perplexity exceeds a quantile of the held-out trusted documents of
-its language and its length class. Where these are fewer than ``LEAST_HELD``, the quantile of all
-languages in the length class is taken; where these are too, the largest such quantile of any length
-class, but for documents under ``LENGTHS[1]`` tokens, which then stay.
+its language and its length class. Where these are fewer than ``LEAST_HELD``, the language decides
+over all lengths: by the quantile of the distances of its log perplexities from their median, which
+are taken to shrink with the square root of the tokens up to ``LENGTHS[1]``. Where the language has
+fewer than ``LEAST_HELD`` too, its own median stays and the distances are those of all languages from
+their medians; a language without any takes the median of all. Only if fewer than ``LEAST_HELD`` were
+held out altogether, there is no threshold and all stay.
 
 Defined results: null and empty texts have no tokens and are kept; a null language is a language
 of its own; repeated rows are scored alike; without trusted text everything is kept; an empty
@@ -507,11 +510,21 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     scored = scored.select("id", "lang", "n", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce("lang", F.lit("")).alias("_lang"))
     scored = materialise(scored)
     sure = scored.where(held & (F.col("n") > 0)).join(small_or_shuffled(good, n_good), F.col("id") == F.col("good"), "left_semi")
-    cut = F.when(F.count(F.lit(1)) >= LEAST_HELD, F.percentile_approx("perplexity", quantile, 10_000)).alias("cut")
-    by_lang = sure.groupBy(F.col("_lang").alias("l1"), F.col("length").alias("c1")).agg(cut).withColumnRenamed("cut", "cut1")
-    by_all = sure.groupBy(F.col("length").alias("c2")).agg(cut).withColumnRenamed("cut", "cut2")
-    by_lang, by_all = materialise(by_lang), materialise(by_all)
-    loosest = by_all.agg(F.max("cut2")).first()[0]
-    out = scored.join(small_or_shuffled(by_lang, by_lang.count()), (F.col("_lang") == F.col("l1")) & (F.col("length") == F.col("c1")), "left").join(F.broadcast(by_all), F.col("length") == F.col("c2"), "left")
-    threshold = F.coalesce("cut1", "cut2", F.when(F.col("n") >= LENGTHS[1], F.lit(loosest).cast("double")))
+    wide = F.sqrt(F.least("n", F.lit(LENGTHS[1])) / F.lit(LENGTHS[1]))
+    top = lambda c: F.percentile_approx(c, quantile, 10_000)
+    enough = F.count(F.lit(1)) >= LEAST_HELD
+    sure = materialise(sure.select(F.col("_lang").alias("l1"), F.col("length").alias("c1"), "n", "perplexity", F.log("perplexity").alias("log")))
+    cells = materialise(sure.groupBy("l1", "c1").agg(F.when(enough, top("perplexity")).alias("cut")))
+    medians = materialise(sure.groupBy(F.col("l1").alias("l2")).agg(F.percentile_approx("log", 0.5, 10_000).alias("median")))
+    n_langs = medians.count()
+    far = sure.join(small_or_shuffled(medians, n_langs), F.col("l1") == F.col("l2")).select("l2", "median", "log", ((F.col("log") - F.col("median")) * wide).alias("far"), wide.alias("wide"))
+    far = materialise(far)
+    langs = materialise(far.groupBy("l2").agg(F.first("median").alias("median"), F.when(enough, top("far")).alias("most")))
+    middle = far.agg(F.percentile_approx("log", 0.5, 10_000)).first()[0]
+    known, unknown = far.agg(F.when(enough, top("far")), F.when(enough, top((F.col("log") - F.lit(middle).cast("double")) * F.col("wide")))).first()
+    out = scored.join(small_or_shuffled(cells, cells.count()), (F.col("_lang") == F.col("l1")) & (F.col("length") == F.col("c1")), "left").join(small_or_shuffled(langs, n_langs), F.col("_lang") == F.col("l2"), "left")
+    most = F.coalesce("most", F.when(F.col("median").isNotNull(), F.lit(known).cast("double")).otherwise(F.lit(unknown).cast("double")))
+    # a little more, so that the document which sets a threshold is within it
+    by_lang = F.when(F.col("n") > 0, F.exp(F.coalesce("median", F.lit(middle).cast("double")) + most / wide) * (1 + 1e-9))
+    threshold = F.coalesce("cut", by_lang)
     return out.select(F.col("id").alias(id_col), "lang", F.col("n").alias("n_tokens"), "perplexity", threshold.alias("threshold"), (F.coalesce(F.col("perplexity") <= threshold, F.lit(True))).alias("kept"))

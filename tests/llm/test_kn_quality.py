@@ -144,3 +144,17 @@ def test_random_letters_are_rejected(spark):
     out = K.quality(docs, labels).collect()
     assert not any(r["kept"] for r in out if r["doc_id"] % 20 == 1)
     assert sum(not r["kept"] for r in out if r["doc_id"] % 20 != 1) <= 40
+
+
+def test_a_language_with_little_held_out_text_has_its_own_threshold(spark):
+    """Text far from its language goes, though it is as likely as the many texts of another; short text too."""
+    rng = np.random.default_rng(6)
+    rich, poor = [[f"{c}{i}" for i in range(n)] for c, n in (("a", 3000), ("b", 40))]
+    text = lambda words, n: " ".join(rng.choice(words, n))
+    rows = [(i, text(rich, 60), "en") for i in range(1500)] + [(2000 + i, text(poor, 60), "xx") for i in range(200)]
+    rows += [(3000 + i, text(rich, 60 if i % 2 else 15), "xx") for i in range(20)] + [(4000 + i, text(poor, 60), "xx") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, *_ in rows if i < 3000], LABELS)
+    kept = {r["doc_id"] for r in K.quality(docs, labels).where("kept").collect()}
+    assert not kept & set(range(3000, 3020)) and set(range(4000, 4020)) <= kept
+    assert len(kept & set(range(1500))) >= 1490
