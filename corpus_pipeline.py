@@ -10,7 +10,8 @@ All stages but the last return the columns of documents:
 * mixing: documents are left out or repeated as the target weights of their sources ask;
 * unigram_sp: whole texts become piece ids that decode to the text exactly.
 
-Null texts count as empty; an empty table passes through; other columns of documents are carried
+Decisions of the first three stages hold for rows, told apart by digests of their ids and texts, so
+null and repeated ids are no matter. Null texts count as empty; an empty table passes through; other columns of documents are carried
 along.
 """
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexquarry.llm._util import materialise, small_or_shuffled, table
@@ -30,31 +31,49 @@ from lexquarry.llm.simhash_golay import simhash_golay
 from lexquarry.llm.unigram_sp import encode
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose doc_id is none of ``ids``; these are broadcast if counted to be few."""
-    gone = materialise(ids.select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(small_or_shuffled(gone, gone.count()), docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+def _sha(c: Column) -> Column:
+    return F.coalesce(F.sha2(c.cast("string"), 256), F.lit("-"))
+
+
+def _key(*digests: Column) -> Column:
+    return F.unhex(F.sha2(F.concat_ws("/", *digests), 256))
+
+
+def _without(docs: DataFrame, key: Column, gone: DataFrame, again: DataFrame | None = None) -> DataFrame:
+    """Documents whose key is none of ``gone``, and one document only of each key in ``again``.
+
+    Both have a column ``key`` and are broadcast if counted to be few.
+    """
+    columns = docs.columns
+    docs = docs.withColumn("_key", key)
+
+    def those(keys: DataFrame, kind: str) -> DataFrame:
+        keys = materialise(keys.select(F.col("key").alias("_of")).distinct())
+        return docs.join(small_or_shuffled(keys, keys.count()), docs["_key"] == keys["_of"], kind)
+
+    docs = those(gone, "left_anti")
+    if again is not None and not (again := materialise(again)).isEmpty():
+        docs = those(again, "left_anti").unionByName(those(again, "left_semi").dropDuplicates(["_key"]))
+    return docs.select(*columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, quality(docs, table(spark, sf_dir, "labels")).where("not kept"))
+    key = _key(_sha(docs["doc_id"]), _sha(docs["lang"]), _sha(docs["text"]))
+    return _without(docs, key, quality(docs, table(spark, sf_dir, "labels"), key=key).where("not kept"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdict = materialise(exact_dedup(docs).where("not kept").select("doc_id", "keep_id", "text_sha256"))
-    left = _without(docs, verdict.where("not (doc_id <=> keep_id)"))
-    again = verdict.where("doc_id <=> keep_id").select("doc_id", "text_sha256").distinct()
-    if again.isEmpty():
-        return left
+    verdict = exact_dedup(docs).where("not kept").select("doc_id", "keep_id", "text_sha256")
+    verdict = materialise(verdict.select(_key(_sha(F.col("doc_id")), F.col("text_sha256")).alias("key"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("same")))
     # rows that repeat both id and text of the one that stays: all but one of them go
-    one = left.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    same = one.join(again, one["doc_id"].eqNullSafe(again["doc_id"]) & (one["_sha"] == again["text_sha256"]), "left_semi").dropDuplicates(["doc_id", "_sha"])
-    rest = one.join(again, one["doc_id"].eqNullSafe(again["doc_id"]) & (one["_sha"] == again["text_sha256"]), "left_anti")
-    return rest.unionByName(same).drop("_sha")
+    return _without(docs, _key(_sha(docs["doc_id"]), F.sha2(normalised(docs["text"]), 256)), verdict.where("not same"), verdict.where("same"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, simhash_golay(docs).where("not (doc_id <=> component_id)"))
+    key = _key(_sha(docs["doc_id"]), _sha(docs["text"]))
+    verdict = materialise(simhash_golay(docs, key=key).select("key", "first"))
+    again = verdict.where("first").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return _without(docs, key, verdict.where("not first"), again)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.llm._util import materialise, small_or_shuffled
@@ -57,7 +57,7 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _START, _HASH = 0, 31
 _FIRST, _RARE = 1 + (1 << _HASH), 1 << _BITS
 _MODEL3, _MODEL2, _MODEL1, _META, _QUERY, _QUERY1, _STATS, _UNIGRAM = range(8)
-_SCHEMA = "shard int, kind int, a binary, b binary, batch long, pos int, uid long, id {kind}, lang string, n long"
+_SCHEMA = "shard int, kind int, a binary, b binary, batch long, pos int, uid long, id {kind}, lang string, n long, key binary"
 
 
 def word_class(w: str) -> int:
@@ -223,8 +223,8 @@ class _Rows:
     """Builds batches of the one row format that all steps exchange."""
 
     def __init__(self, id_type: pa.DataType):
-        self.types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), id_type, pa.string(), pa.int64()]
-        self.names = ["shard", "kind", "a", "b", "batch", "pos", "uid", "id", "lang", "n"]
+        self.types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), id_type, pa.string(), pa.int64(), pa.binary()]
+        self.names = ["shard", "kind", "a", "b", "batch", "pos", "uid", "id", "lang", "n", "key"]
 
     def batch(self, rows: list[tuple]) -> pa.RecordBatch:
         cols = zip(*rows) if rows else [[]] * len(self.types)
@@ -233,12 +233,12 @@ class _Rows:
     @staticmethod
     def chunks(shard: int, kind: int, keys: list[np.ndarray], b: np.ndarray) -> Iterator[tuple]:
         for at in range(0, len(b), ROW_KEYS):
-            yield (int(shard), kind, pack_all(*[x[at : at + ROW_KEYS] for x in keys]), pack(b[at : at + ROW_KEYS], False), *[None] * 6)
+            yield (int(shard), kind, pack_all(*[x[at : at + ROW_KEYS] for x in keys]), pack(b[at : at + ROW_KEYS], False), *[None] * 7)
 
     @staticmethod
     def stats(level: int, counts: np.ndarray) -> tuple:
         """How many keys were counted 1 to 4 times, all keys, and the sum of their counts."""
-        return (0, _STATS, pack_all(np.arange(6)), pack(np.array([*[(counts == i).sum() for i in (1, 2, 3, 4)], len(counts), counts.sum()]), False), None, None, level, None, None, None)
+        return (0, _STATS, pack_all(np.arange(6)), pack(np.array([*[(counts == i).sum() for i in (1, 2, 3, 4)], len(counts), counts.sum()]), False), None, None, level, *[None] * 4)
 
     def dealt(self, shard: np.ndarray, kind: int, keys: list[np.ndarray], b: np.ndarray) -> Iterator[tuple]:
         order = np.argsort(shard, kind="stable")
@@ -373,7 +373,7 @@ def _levels(parts: dict, d: dict) -> tuple[list[Level], tuple[np.ndarray, np.nda
 
 
 def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards, words: list[str], id_kind: str, id_type: pa.DataType) -> DataFrame:
-    """(uid, id, lang, n, logp) per row of docs (uid, id, lang, text)."""
+    """(uid, id, lang, n, key, logp) per row of docs (uid, id, lang, text, key)."""
     rows, coder = _Rows(id_type), Coder(words)
     schema, rare = _SCHEMA.format(kind=id_kind), {k: v for k, v in base.items() if k != "listed"}
 
@@ -382,7 +382,7 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards
 
         def send():
             first = meta[0][0]
-            yield rows.batch([(u % shards.count, _META, None, None, first, pos, u, i, lang, k.shape[1]) for pos, ((u, i, lang), k) in enumerate(zip(meta, held))])
+            yield rows.batch([(u % shards.count, _META, None, None, first, pos, u, i, lang, k.shape[1], key) for pos, ((u, i, lang, key), k) in enumerate(zip(meta, held))])
             context, last = np.concatenate(held, axis=1)
             doc = np.repeat(np.arange(len(held)), [h.shape[1] for h in held])
             yield from asked(_QUERY, shards.at(*halves(context)), context, [last], doc, first)
@@ -393,12 +393,12 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards
             order = np.argsort(key.view(np.uint64), kind="stable")
             order = order[np.argsort(shard[order].astype(np.int32), kind="stable")]
             of, starts = np.unique(shard[order], return_index=True)
-            yield rows.batch([(int(s), kind, pack_all(key[i], *[x[i] for x in others]), pack(doc[i], False), first, *[None] * 5) for s, i in zip(of, np.split(order, starts[1:]))])
+            yield rows.batch([(int(s), kind, pack_all(key[i], *[x[i] for x in others]), pack(doc[i], False), first, *[None] * 6) for s, i in zip(of, np.split(order, starts[1:]))])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                for uid, id_, lang, text in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
-                    meta.append((uid, id_, lang))
+                for uid, id_, lang, text, key in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
+                    meta.append((uid, id_, lang, key))
                     held.append(coder.keys(text or ""))
                     n += held[-1].shape[1]
                     if n >= BATCH_TOKENS or len(held) >= BATCH_DOCS:
@@ -443,7 +443,7 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards
                     logs = (np.log(p) - np.where(known, np.log(lower), 0.0))[back]
                 sums = np.bincount(doc, logs)
                 met = np.flatnonzero(np.bincount(doc))
-                yield rows.batch([(0, _QUERY, pack(met), sums[met].astype(np.float32).tobytes(), first, *[None] * 5)])
+                yield rows.batch([(0, _QUERY, pack(met), sums[met].astype(np.float32).tobytes(), first, *[None] * 6)])
             yield rows.batch(meta)
 
     def add_up(part: pa.Table) -> pa.Table:
@@ -451,12 +451,12 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards
         total = np.zeros(docs_.num_rows)
         for a, b in sorted(zip(sums["a"].to_pylist(), sums["b"].to_pylist())):
             total[unpack(a)] += np.frombuffer(b, np.float32)
-        return docs_.select(["uid", "id", "lang", "n"]).append_column("logp", pa.array(total[docs_["pos"].to_numpy()]))
+        return docs_.select(["uid", "id", "lang", "n", "key"]).append_column("logp", pa.array(total[docs_["pos"].to_numpy()]))
 
-    asked = docs.select("uid", "id", "lang", "text").mapInArrow(ask, schema)
+    asked = docs.select("uid", "id", "lang", "text", "key").mapInArrow(ask, schema)
     joined = model.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
     answered = joined.mapInArrow(answer, schema)
-    return answered.groupBy("batch").applyInArrow(add_up, f"uid long, id {id_kind}, lang string, n long, logp double")
+    return answered.groupBy("batch").applyInArrow(add_up, f"uid long, id {id_kind}, lang string, n long, key binary, logp double")
 
 
 def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
@@ -474,11 +474,15 @@ def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
     return counted.where(F.col("n") >= 2**least).orderBy(F.desc("n"), "w").limit(most)
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: id, lang, n_tokens, perplexity (null without tokens), threshold (null if none), kept."""
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", key: Column | None = None) -> DataFrame:
+    """One row per document: id, lang, n_tokens, perplexity (null without tokens), threshold (null if none), kept.
+
+    A binary ``key`` of the rows, if given, is a column of the result.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs[id_col].alias("id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs[id_col].alias("id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"), (F.lit(None).cast("binary") if key is None else key).alias("key"))
+    own = [] if key is None else ["key"]
     good = labels.groupBy(labels["doc_id"].alias("good")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("good")
     good = materialise(good)
     n_good, held = good.count(), F.pmod(F.xxhash64("id"), F.lit(HELD)) == 0
@@ -498,7 +502,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     counted = materialise(texts.mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")))
     total = counted.agg(F.sum("n")).first()[0] or 0
     if total == 0:
-        return rows.select(F.col("id").alias(id_col), "lang", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
+        return rows.select(F.col("id").alias(id_col), "lang", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"), *own)
     top = _most_frequent(counted, VOCABULARY).collect()
     words = [r["w"] for r in top]
     share = np.r_[0.02, np.array([r["n"] for r in top]) / total]
@@ -507,7 +511,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     length = F.lit(0)
     for at in LENGTHS:
         length = length + (F.col("n") >= at).cast("int")
-    scored = scored.select("id", "lang", "n", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce("lang", F.lit("")).alias("_lang"))
+    scored = scored.select("id", "lang", "n", "key", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce("lang", F.lit("")).alias("_lang"))
     scored = materialise(scored)
     sure = scored.where(held & (F.col("n") > 0)).join(small_or_shuffled(good, n_good), F.col("id") == F.col("good"), "left_semi")
     wide = F.sqrt(F.least("n", F.lit(LENGTHS[1])) / F.lit(LENGTHS[1]))
@@ -527,4 +531,4 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     # a little more, so that the document which sets a threshold is within it
     by_lang = F.when(F.col("n") > 0, F.exp(F.coalesce("median", F.lit(middle).cast("double")) + most / wide) * (1 + 1e-9))
     threshold = F.coalesce("cut", by_lang)
-    return out.select(F.col("id").alias(id_col), "lang", F.col("n").alias("n_tokens"), "perplexity", threshold.alias("threshold"), (F.coalesce(F.col("perplexity") <= threshold, F.lit(True))).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "lang", F.col("n").alias("n_tokens"), "perplexity", threshold.alias("threshold"), (F.coalesce(F.col("perplexity") <= threshold, F.lit(True))).alias("kept"), *own)

@@ -216,24 +216,29 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def simhash_golay(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, fingerprint (16 hex digits), component_id (the smallest id reachable)."""
+def simhash_golay(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
+    """One row per document: id, fingerprint (16 hex digits), component_id (the smallest id reachable).
+
+    With a binary ``key`` of the rows, also that and ``first``: whether it is the key of the component's
+    smallest id (nulls last), the smallest such key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 fp = np.array([fingerprint(t or "") for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64)), part.column(2)], ["id", "fp", "key"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), (F.lit(None).cast("binary") if key is None else key).alias("key")).mapInArrow(run, f"id {kind}, fp long, key binary")
     rows = materialise(rows)
-    prints = materialise(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
+    prints = materialise(rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"), F.count(F.lit(1)).alias("n")))
     found = components(links(prints))
     rooted = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = materialise(rooted)
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    placed = materialise(rooted.join(lowest, "root").select("fp", "n", "component_id"))
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("keep"))
+    placed = materialise(rooted.join(lowest, "root").select("fp", "n", "keep"))
     out = join_unique(rows, placed, "fp", "n", rows.count())
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    own = [] if key is None else ["key", (F.col("key") == F.col("keep.key")).alias("first")]
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("keep.id").alias("component_id"), *own)

@@ -65,3 +65,25 @@ def test_copies_go_and_clean_text_stays(spark, sf_dir):
     rows = [(i, t, "en", f"s{i % 4}") for i, t in enumerate(texts)] + [(100 + i, t.replace(" ", " \n"), "en", "s1") for i, t in enumerate(texts[:10])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert ids(corpus_pipeline.exact_stage(spark, docs, sf_dir)) == list(range(40))
+
+
+def test_decisions_hold_for_rows_not_ids(spark, sf_dir, tmp_path):
+    """Null and repeated ids: only the rejected row or copy goes, not what shares its id."""
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(400)]
+    a, b, c, d = [" ".join(rng.choice(words, 200)) for _ in range(4)]
+    schema = "doc_id long, text string, lang string, source string"
+    texts = lambda df: sorted(r["text"] for r in df.collect())
+    row = lambda i, t: (i, t, "en", "s")
+    copies = spark.createDataFrame([row(1, a), row(None, a), row(None, b), row(2, c), row(2, d), row(3, d), row(None, b)], schema)
+    assert texts(corpus_pipeline.exact_stage(spark, copies, sf_dir)) == sorted([a, b, c, d])
+    near = lambda t: t + " w7"
+    rows = [row(1, a), row(None, near(a)), row(None, b), row(None, near(b)), row(2, c), row(2, d), row(1, near(d)), row(4, a)]
+    left = texts(corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, schema), sf_dir))
+    assert len(left) == 4 and [sum(t in (x, near(x)) for t in left) for x in (a, b, c, d)] == [1, 1, 1, 1]
+    clean = lambda: " ".join(rng.choice(words, 60))
+    noise = " ".join(f"zz{i}" for i in range(60))
+    rows = [row(i, clean()) for i in range(1000)] + [row(None, a), row(None, noise), row(2000, b), row(2000, noise)]
+    spark.createDataFrame([(i, 1, 0) for i in range(1000)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = texts(corpus_pipeline.quality_stage(spark, spark.createDataFrame(rows, schema), str(tmp_path)))
+    assert a in left and b in left and noise not in left
