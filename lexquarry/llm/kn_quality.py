@@ -1,7 +1,7 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney trigram model.
 
-The model is trained on trusted text (labelled good and not toxic), all of it but a tenth that is
-held out to set thresholds. Its counts are tables sharded by the middle word of a trigram, so the
+The model is trained on trusted text (labelled good and not toxic), all of it but what is held out
+to set thresholds. Its counts are tables sharded by the middle word of a trigram, so the
 trigram, its context, its continuation bigram and that one's context meet in one shard; frequent
 middle words are spread over several shards by their left neighbour, with their bigrams copied.
 Documents are scored by joining their trigrams with these shards: a batch of documents sends each
@@ -14,10 +14,18 @@ worker; any other word has a number by a hash of ``_HASH`` bits, and its unigram
 that grows with the text. A bigram that was seen carries the unigram of its last word. Of one that
 wasn't, the unigram is a factor, whose logarithm the shard of the last word adds. What the unigrams
 leave over is shared evenly by all numbers, so a word that the trusted text lacks is as unlikely as
-one of 2**_HASH spellings.
-
-A document is rejected if its perplexity exceeds a quantile of the held-out trusted documents of
-its language and its length class. Where these are fewer than ``LEAST_HELD``, the language decides
+one of 2**_HASH spellings. A Bloom filter of the unlisted words, of at most ``FILTER_SEGMENTS``
+segments, spares most trigrams whose middle word is unknown the way to a shard, where nothing would
+be found; a word that it lets pass wrongly, and all words once it is full, take that way with the
+same result.
+
+Shards grow with the trusted text and with the documents. Where they would hold more than
+``SALT_BYTES`` of the documents each, batches of documents are dealt to several copies of a shard.
+So a task reads one shard of the model and a bounded share of the documents, whatever their number.
+
+Of each language a tenth of the trusted documents is held out, more (up to half) where that would be
+under ``HELD_DOCS`` documents. A document is rejected if its perplexity exceeds a quantile of the
+held-out trusted documents of its language and its length class. Where these are fewer than ``LEAST_HELD``, the language decides
 over all lengths: by the quantile of the distances of its log perplexities from their median, which
 are taken to shrink with the square root of the tokens up to ``LENGTHS[1]``. Where the language has
 fewer than ``LEAST_HELD`` too, its own median stays and the distances are those of all languages from
@@ -25,8 +33,9 @@ their medians; a language without any takes the median of all. Only if fewer tha
 held out altogether, there is no threshold and all stay.
 
 Defined results: null and empty texts have no tokens and are kept; a null language is a language
-of its own; repeated rows are scored alike; without trusted text everything is kept; an empty
-table gives an empty result; other columns are ignored.
+of its own; repeated rows are scored alike; without trusted text everything is kept; a perplexity
+equal to its threshold is kept; very long texts are scored whole, in a batch of their own; an empty
+table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,13 +51,21 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lexquarry.llm._util import materialise, small_or_shuffled
 
-VOCABULARY, QUANTILE, HELD, LEAST_HELD = 16_000, 0.999, 10, 40
+VOCABULARY, QUANTILE, LEAST_HELD = 16_000, 0.999, 40
+#: Held out of a language: this share of its trusted documents, or so many, but no more than that share.
+HELD, HELD_DOCS, HELD_MOST = 0.1, 100, 0.5
 #: Trusted tokens that a shard has the trigrams of, and the least number of shards; tokens and
 #: documents gathered before a batch is sent; keys in one row.
 SHARD_TOKENS, LEAST_SHARDS, BATCH_TOKENS, BATCH_DOCS, ROW_KEYS = 16_000_000, 36, 600_000, 10_000, 100_000
+#: Bytes of documents that a shard is made for, the most shards made for their sake, and the bytes from
+#: which a shard has several copies.
+SHARD_BYTES, MOST_BY_BYTES, SALT_BYTES = 128 << 20, 4096, 512 << 20
+#: Bits of a segment of the filter, words that it is made for, and the most segments (32 MB).
+SEGMENT_BITS, SEGMENT_WORDS, FILTER_SEGMENTS = 1 << 19, 40_000, 512
 #: Length classes by tokens; short documents have widely spread perplexities.
 LENGTHS = (12, 40, 120, 400)
 _BITS, _MASK = 15, (1 << 15) - 1
@@ -56,6 +73,8 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: The start of a text; numbers other than those of listed words; where numbers by hash begin.
 _START, _HASH = 0, 31
 _FIRST, _RARE = 1 + (1 << _HASH), 1 << _BITS
+#: The number of every word that the filter doesn't know; numbers by hash are larger.
+_UNKNOWN = _RARE
 _MODEL3, _MODEL2, _MODEL1, _META, _QUERY, _QUERY1, _STATS, _UNIGRAM = range(8)
 _SCHEMA = "shard int, kind int, a binary, b binary, batch long, pos int, uid long, id {kind}, lang string, n long, key binary"
 
@@ -143,17 +162,51 @@ class Shards:
         return at, (self._hash(mid[at]) + step) % self.count
 
 
+class Filter:
+    """A Bloom filter of numbers in segments, each filled by one task."""
+
+    def __init__(self, segments: np.ndarray):
+        self.bits, self.count = segments.reshape(-1), len(segments)
+
+    @staticmethod
+    def hashed(x: np.ndarray) -> np.ndarray:
+        h = (x.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(29))
+
+    @staticmethod
+    def places(h: np.ndarray) -> np.ndarray:
+        """Four places in a segment per hashed number; the lowest 16 bits of the hash choose the segment."""
+        step = h >> np.uint64(43) | np.uint64(1)
+        return np.stack([((h >> np.uint64(16)) + np.uint64(i) * step) & np.uint64(SEGMENT_BITS - 1) for i in range(4)]).astype(np.int64)
+
+    @classmethod
+    def segment(cls, x: np.ndarray) -> np.ndarray:
+        flags = np.zeros(SEGMENT_BITS, np.uint8)
+        flags[cls.places(cls.hashed(x)).ravel()] = 1
+        return np.packbits(flags, bitorder="little")
+    def has(self, x: np.ndarray) -> np.ndarray:
+        if not self.count:
+            return np.zeros(len(x), bool)
+        h = self.hashed(x)
+        at = (h & np.uint64(0xFFFF)).astype(np.int64) % self.count * SEGMENT_BITS + self.places(h)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=0)
+
+
 class Coder:
-    """Texts to trigrams."""
+    """Texts to trigrams; with a filter, words that it lacks are all one."""
 
-    def __init__(self, words: list[str]):
-        self.ids = {w: i for i, w in enumerate(words, 1)}
+    def __init__(self, words: list[str], known: Filter | None = None):
+        self.ids, self.known = {w: i for i, w in enumerate(words, 1)}, known
 
     def keys(self, text: str) -> np.ndarray:
         """Rows: pairs (middle word, left word), last words."""
         get = self.ids.get
         words = _TOKEN.findall(text)
         w = np.fromiter((get(x) or _RARE + word_class(x) for x in words), np.int64, len(words))
+        if self.known is not None:
+            rare = np.flatnonzero(w > _RARE)
+            w[rare[~self.known.has(w[rare])]] = _UNKNOWN
         padded = np.r_[_START, _START, w]
         return np.stack([pair(padded[1:-1], padded[:-2]), w])
 
@@ -301,10 +354,33 @@ def _merge(rows: _Rows, per_shard):
     return run
 
 
-def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, dict, dict, Shards]:
-    """(model rows by shard, unigram probabilities of listed words and figures of the others, discounts by order, the sharding) from a column of trusted texts."""
+def _together(df: DataFrame, shards: int) -> DataFrame:
+    """Each shard in a partition of its own, the model first."""
+    return df.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind")
+
+
+def filter_of(numbers: DataFrame, count: int) -> Filter:
+    """The filter of a column ``k`` of ``count`` distinct numbers, built segment by segment; the driver gets 32 MB at most."""
+    segments = min(FILTER_SEGMENTS, -(-count // SEGMENT_WORDS))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = (Filter.hashed(batch.column(0).to_numpy()) & np.uint64(0xFFFF)).astype(np.int64) % segments
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), batch.column(0)], ["s", "k"])
+
+    def fill(part: pa.Table) -> pa.Table:
+        return pa.table({"s": part.column("s")[:1], "bits": [Filter.segment(part.column("k").to_numpy()).tobytes()]})
+
+    out = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
+    if segments:
+        for r in numbers.mapInArrow(mark, "s int, k long").groupBy("s").applyInArrow(fill, "s int, bits binary").collect():
+            out[r["s"]] = np.frombuffer(r["bits"], np.uint8)
+    return Filter(out)
+
+
+def train(texts: DataFrame, words: list[str], share: np.ndarray, shards: Shards, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, dict, dict, Filter]:
+    """(model rows by shard, unigram probabilities of listed words and figures of the others, discounts by order, the filter of other words) from a column of trusted texts."""
     rows, coder = _Rows(id_type), Coder(words)
-    shards = Shards(max(LEAST_SHARDS, -(-tokens // SHARD_TOKENS)), share)
     schema = _SCHEMA.format(kind=id_kind)
 
     def tri(shard, k, c):
@@ -327,9 +403,8 @@ def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id
         yield rows.stats(2, c)
         yield rows.stats(1, n[~listed])
 
-    together = lambda df: df.repartition("shard").sortWithinPartitions("shard", "kind")
-    three = materialise(together(texts.mapInArrow(_count_trigrams(coder, shards, rows), schema)).mapInArrow(_merge(rows, tri), schema))
-    two = materialise(together(three.where(F.col("kind") == _MODEL2)).mapInArrow(_merge(rows, bi), schema))
+    three = materialise(_together(texts.mapInArrow(_count_trigrams(coder, shards, rows), schema), shards.count).mapInArrow(_merge(rows, tri), schema))
+    two = materialise(_together(three.where(F.col("kind") == _MODEL2), shards.count).mapInArrow(_merge(rows, bi), schema))
 
     def loose(batches):
         for batch in batches:
@@ -351,7 +426,8 @@ def train(texts: DataFrame, words: list[str], share: np.ndarray, tokens: int, id
     spared = _minus(met, d[1]).sum() + rare[:2] @ d[1][:2] + (rare[4] - rare[:2].sum()) * d[1][2] if len(met) or rare[4] else total
     unigram = {"d": d[1], "total": total, "rest": float(spared / total / (_FIRST + len(words)))}
     model = three.where(F.col("kind") == _MODEL3).unionByName(two.where(F.col("kind").isin(_MODEL2, _MODEL1)))
-    return model, unigram | {"listed": unigrams(seen, **unigram)}, d, shards
+    others = two.where(F.col("kind") == _MODEL1).select("a", "b", F.lit(0).alias("level")).mapInArrow(loose, "level long, k long, c long").select("k")
+    return model, unigram | {"listed": unigrams(seen, **unigram)}, d, filter_of(others, int(rare[4]))
 
 
 def _place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -372,24 +448,32 @@ def _levels(parts: dict, d: dict) -> tuple[list[Level], tuple[np.ndarray, np.nda
     return [three, level], (word, n) if len(word) else (np.array([-1]), np.array([0]))
 
 
-def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards, words: list[str], id_kind: str, id_type: pa.DataType) -> DataFrame:
+def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, known_: Filter, shards: Shards, salts: int, words: list[str], id_kind: str, id_type: pa.DataType) -> DataFrame:
     """(uid, id, lang, n, key, logp) per row of docs (uid, id, lang, text, key)."""
-    rows, coder = _Rows(id_type), Coder(words)
+    rows, coder = _Rows(id_type), Coder(words, known_)
     schema, rare = _SCHEMA.format(kind=id_kind), {k: v for k, v in base.items() if k != "listed"}
+    log_listed, log_rest = np.log(base["listed"]), float(np.log(unigrams(np.zeros(1, np.int64), **rare))[0])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meta, held, n = [], [], 0
 
         def send():
             first = meta[0][0]
-            yield rows.batch([(u % shards.count, _META, None, None, first, pos, u, i, lang, k.shape[1], key) for pos, ((u, i, lang, key), k) in enumerate(zip(meta, held))])
             context, last = np.concatenate(held, axis=1)
             doc = np.repeat(np.arange(len(held)), [h.shape[1] for h in held])
-            yield from asked(_QUERY, shards.at(*halves(context)), context, [last], doc, first)
-            rare = last >= _RARE
-            yield from asked(_QUERY1, shards.home(last[rare]), last[rare], [], doc[rare], first)
+            mid, left = halves(context)
+            # what needs no shard: after an unknown word only the unigram counts, and that of an unknown word is known
+            seen, listed, unknown = mid != _UNKNOWN, last < _RARE, last == _UNKNOWN
+            own = np.bincount(doc[unknown], minlength=len(held)) * log_rest
+            alone = ~seen & listed
+            own += np.bincount(doc[alone], log_listed[last[alone]], minlength=len(held))
+            yield rows.batch([(u % (shards.count * salts), _META, x.tobytes(), None, first, pos, u, i, lang, k.shape[1], key) for pos, ((u, i, lang, key), k, x) in enumerate(zip(meta, held, own))])
+            yield from asked(_QUERY, shards.at(mid[seen], left[seen]), context[seen], [last[seen]], doc[seen], first)
+            rare_ = ~listed & ~unknown
+            yield from asked(_QUERY1, shards.home(last[rare_]), last[rare_], [], doc[rare_], first)
 
         def asked(kind, shard, key, others, doc, first):
+            shard = shard + shards.count * (xxhash.xxh3_64_intdigest(str(first).encode()) % salts)
             order = np.argsort(key.view(np.uint64), kind="stable")
             order = order[np.argsort(shard[order].astype(np.int32), kind="stable")]
             of, starts = np.unique(shard[order], return_index=True)
@@ -451,11 +535,14 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, shards: Shards
         total = np.zeros(docs_.num_rows)
         for a, b in sorted(zip(sums["a"].to_pylist(), sums["b"].to_pylist())):
             total[unpack(a)] += np.frombuffer(b, np.float32)
-        return docs_.select(["uid", "id", "lang", "n", "key"]).append_column("logp", pa.array(total[docs_["pos"].to_numpy()]))
+        at = docs_["pos"].to_numpy()
+        total = total[at] + np.frombuffer(b"".join(docs_["a"].to_pylist()), np.float64)
+        return docs_.select(["uid", "id", "lang", "n", "key"]).append_column("logp", pa.array(total))
 
     asked = docs.select("uid", "id", "lang", "text", "key").mapInArrow(ask, schema)
-    joined = model.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
-    answered = joined.mapInArrow(answer, schema)
+    if salts > 1:
+        model = model.withColumn("shard", F.explode(F.sequence(F.col("shard"), F.col("shard") + F.lit(shards.count * (salts - 1)), F.lit(shards.count))))
+    answered = _together(model.unionByName(asked), shards.count * salts).mapInArrow(answer, schema)
     return answered.groupBy("batch").applyInArrow(add_up, f"uid long, id {id_kind}, lang string, n long, key binary, logp double")
 
 
@@ -480,13 +567,24 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     A binary ``key`` of the rows, if given, is a column of the result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs[id_col].alias("id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"), (F.lit(None).cast("binary") if key is None else key).alias("key"))
     own = [] if key is None else ["key"]
     good = labels.groupBy(labels["doc_id"].alias("good")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("good")
     good = materialise(good)
-    n_good, held = good.count(), F.pmod(F.xxhash64("id"), F.lit(HELD)) == 0
-    texts = rows.join(small_or_shuffled(good, n_good), F.col("id") == F.col("good"), "left_semi").where(~held).select("text")
+    n_good = good.count()
+    trusted = lambda df: df.join(small_or_shuffled(good, n_good), F.col("id") == F.col("good"), "left_semi")
+    share = F.greatest(F.lit(HELD), F.least(F.lit(HELD_DOCS) / F.count(F.lit(1)), F.lit(HELD_MOST)))
+    shares = materialise(trusted(rows.select("id", "lang")).groupBy(F.col("lang").alias("of")).agg((share * (1 << 20)).cast("int").alias("share")))
+    n_langs = shares.count()
+
+    def held(df: DataFrame) -> DataFrame:
+        """Adds ``held`` to rows with id and lang."""
+        at = df.join(small_or_shuffled(shares, n_langs), F.col("lang").eqNullSafe(F.col("of")), "left")
+        return at.withColumn("held", F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("share")).drop("of", "share")
+
+    texts = held(trusted(rows)).where("not held").select("text")
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -506,14 +604,16 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     top = _most_frequent(counted, VOCABULARY).collect()
     words = [r["w"] for r in top]
     share = np.r_[0.02, np.array([r["n"] for r in top]) / total]
-    model, base, d, shards = train(texts, words, share, total, kind, id_type)
-    scored = score(rows, model, base, d, shards, words, kind, id_type)
+    shards = Shards(max(LEAST_SHARDS, -(-total // SHARD_TOKENS), min(MOST_BY_BYTES, n_bytes // SHARD_BYTES)), share)
+    salts = max(1, -(-n_bytes // (shards.count * SALT_BYTES)))
+    model, base, d, known = train(texts, words, share, shards, kind, id_type)
+    scored = score(rows, model, base, d, known, shards, salts, words, kind, id_type)
     length = F.lit(0)
     for at in LENGTHS:
         length = length + (F.col("n") >= at).cast("int")
-    scored = scored.select("id", "lang", "n", "key", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce("lang", F.lit("")).alias("_lang"))
+    scored = scored.select("id", "lang", "n", "key", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-")).alias("_lang"))
     scored = materialise(scored)
-    sure = scored.where(held & (F.col("n") > 0)).join(small_or_shuffled(good, n_good), F.col("id") == F.col("good"), "left_semi")
+    sure = held(trusted(scored.where("n > 0"))).where("held")
     wide = F.sqrt(F.least("n", F.lit(LENGTHS[1])) / F.lit(LENGTHS[1]))
     top = lambda c: F.percentile_approx(c, quantile, 10_000)
     enough = F.count(F.lit(1)) >= LEAST_HELD

@@ -61,14 +61,24 @@ def plain_model(sequences, size):
     return p3
 
 
-def plain_perplexities(docs, labels):
+def plain_held(docs, labels):
+    """(ids that are trusted, ids that are held out)."""
     good = {r["doc_id"] for r in labels.collect()} - {r["doc_id"] for r in labels.where("quality = 0 or toxic = 1").collect()}
-    rows = docs.withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(K.HELD)) == 0).select("doc_id", "text", "held").collect()
-    counts = Counter(w for r in rows if r["doc_id"] in good and not r["held"] for w in K._TOKEN.findall(r["text"] or ""))
+    rows = [r for r in docs.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).alias("h")).collect() if r["doc_id"] in good]
+    of = Counter(r["lang"] for r in rows)
+    share = {k: max(K.HELD, min(K.HELD_DOCS / n, K.HELD_MOST)) for k, n in of.items()}
+    return good, {r["doc_id"] for r in rows if r["h"] < int(share[r["lang"]] * (1 << 20))}
+
+
+def plain_perplexities(docs, labels):
+    good, held = plain_held(docs, labels)
+    rows = docs.select("doc_id", "text").collect()
+    trained = [r["text"] or "" for r in rows if r["doc_id"] in good and r["doc_id"] not in held]
+    counts = Counter(w for t in trained for w in K._TOKEN.findall(t))
     words = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: K.VOCABULARY]]
     ids = {w: i for i, w in enumerate(words, K._FIRST)}
     code = lambda t: [ids.get(w) or K.word_class(w) for w in K._TOKEN.findall(t or "")]
-    p = plain_model([code(r["text"]) for r in rows if r["doc_id"] in good and not r["held"]], K._FIRST + len(words))
+    p = plain_model([code(t) for t in trained], K._FIRST + len(words))
     out = {}
     for r in rows:
         w = [0, 0, *code(r["text"])]
@@ -77,10 +87,14 @@ def plain_perplexities(docs, labels):
     return out
 
 
-@pytest.mark.parametrize("vocabulary, batch", [(16_000, 1_000_000), (300, 3_000)])
-def test_perplexities_against_dictionaries(spark, documents, sf_dir, monkeypatch, vocabulary, batch):
+@pytest.mark.parametrize("vocabulary, batch, bytes_, segments", [(16_000, 1_000_000, 1 << 29, 512), (300, 3_000, 1 << 12, 512), (300, 3_000, 1 << 29, 0)])
+def test_perplexities_against_dictionaries(spark, documents, sf_dir, monkeypatch, vocabulary, batch, bytes_, segments):
+    """With many listed words and few, copies of shards, and a filter that is full."""
     monkeypatch.setattr(K, "VOCABULARY", vocabulary)
     monkeypatch.setattr(K, "BATCH_TOKENS", batch)
+    monkeypatch.setattr(K, "SALT_BYTES", bytes_)
+    if not segments:
+        monkeypatch.setattr(K, "filter_of", lambda numbers, count: K.Filter(np.full((1, K.SEGMENT_BITS // 8), 255, np.uint8)))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     got = {r["doc_id"]: (r["n_tokens"], r["perplexity"]) for r in K.quality(documents, labels).collect()}
     want = plain_perplexities(documents, labels)
@@ -89,6 +103,65 @@ def test_perplexities_against_dictionaries(spark, documents, sf_dir, monkeypatch
         assert got[i][0] == n and (got[i][1] == pytest.approx(p, rel=1e-5) if n else got[i][1] is None)
 
 
+def plain_thresholds(rows, held, q):
+    """{id: threshold} of rows (id, lang, n, perplexity), by sorted lists."""
+    top = lambda x: sorted(x)[math.ceil(q * len(x)) - 1]
+    middle = lambda x: sorted(x)[math.ceil(len(x) / 2) - 1]
+    length = lambda n: sum(n >= a for a in K.LENGTHS)
+    wide = lambda n: math.sqrt(min(n, K.LENGTHS[1]) / K.LENGTHS[1])
+    sure = [r for r in rows if r[0] in held and r[2]]
+    cells, langs = defaultdict(list), defaultdict(list)
+    for _, lang, n, p in sure:
+        cells[lang, length(n)].append(p)
+        langs[lang].append((math.log(p), wide(n)))
+    median = {k: middle([x for x, _ in v]) for k, v in langs.items()}
+    far = {k: [(x - median[k]) * w for x, w in v] for k, v in langs.items()}
+    every = [x for v in far.values() for x in v]
+    logs = [(math.log(p), wide(n)) for _, _, n, p in sure]
+    out = {}
+    for i, lang, n, _ in rows:
+        if len(cells.get((lang, length(n)), ())) >= K.LEAST_HELD:
+            out[i] = top(cells[lang, length(n)])
+        elif not n or len(sure) < K.LEAST_HELD:
+            out[i] = None
+        elif lang in median:
+            out[i] = math.exp(median[lang] + top(far[lang] if len(far[lang]) >= K.LEAST_HELD else every) / wide(n))
+        else:
+            m = middle([x for x, _ in logs])
+            out[i] = math.exp(m + top([(x - m) * w for x, w in logs]) / wide(n))
+    return out
+
+
+@pytest.mark.parametrize("least, quantile", [(40, 0.999), (3, 0.9), (1000, 0.9)])
+def test_thresholds_against_sorted_lists(spark, documents, sf_dir, monkeypatch, least, quantile):
+    monkeypatch.setattr(K, "LEAST_HELD", least)
+    docs = documents.withColumn("lang", F.when(F.col("doc_id") % 17 == 0, None).when(F.col("doc_id") % 19 == 0, "rare").otherwise(F.col("lang")))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("doc_id % 19 <> 0")
+    got = {r["doc_id"]: r for r in K.quality(docs, labels, quantile).collect()}
+    want = plain_thresholds([(i, r["lang"], r["n_tokens"], r["perplexity"]) for i, r in got.items()], plain_held(docs, labels)[1], quantile)
+    for i, r in got.items():
+        assert r["threshold"] == (want[i] if want[i] is None else pytest.approx(want[i], rel=1e-8))
+        assert r["kept"] == (want[i] is None or r["perplexity"] is None or r["perplexity"] <= want[i] * (1 + 1e-9))
+    assert sum(not r["kept"] for r in got.values()) > (0 if least == 3 else -1)
+
+
+def test_the_filter_knows_its_words():
+    rng = np.random.default_rng(3)
+    x = np.unique(rng.integers(K._RARE + 1, K._RARE + (1 << 31), 60_000))
+    one, other = x[::2], x[1::2]
+    at = (K.Filter.hashed(one) & np.uint64(0xFFFF)).astype(int) % 2
+    f = K.Filter(np.stack([K.Filter.segment(one[at == i]) for i in (0, 1)]))
+    assert f.has(one).all() and f.has(other).mean() < 0.05
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(12,2)", "string", "double"])
+def test_ids_of_any_type(spark, kind):
+    docs = spark.createDataFrame([(i, f"some words of text {i % 3}", "en") for i in range(60)], "doc_id int, text string, lang string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    labels = spark.range(60).select(F.col("id").cast(kind).alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    out = K.quality(docs, labels)
+    assert dict(out.dtypes)["doc_id"] == kind and out.count() == 60
+
+
 def test_most_frequent_words(spark):
     rows = [(f"w{i}", n) for i, n in enumerate([9, 9, 8, 5, 4, 4, 3, 2, 1, 1])]
     df = spark.createDataFrame(rows, "w string, n long")
