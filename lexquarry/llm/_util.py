@@ -20,13 +20,16 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
     The folder is the session's ``spark.checkpoint.dir``; a temporary one is set only where
-    that is unset, as in tests on one machine.
+    that is unset and one process runs everything, as in tests.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-")
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
@@ -52,6 +55,23 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, weight: str, total:
     return done.unionByName(rest.select(done.columns))
 
 
+def ranked(values: DataFrame, col: str, out: str) -> DataFrame:
+    """Adds ``out``, the place of each row's ``col`` in order from 0 (null first); values must be distinct.
+
+    Rows are dealt by ranges of ``col`` and counted there, so no task holds all of them.
+    """
+    placed = materialise(values.repartitionByRange(F.col(col).asc_nulls_first()).withColumn("_p", F.spark_partition_id()))
+    sizes = sorted((r["_p"], r["n"]) for r in placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())  # one row a partition
+    start, at = {}, 0
+    for p, n in sizes:
+        start[p], at = at, at + n
+    if not start:
+        return placed.withColumn(out, F.lit(0).cast("long")).drop("_p")
+    before = F.element_at(F.array(*[F.lit(start.get(p, 0)) for p in range(max(start) + 1)]), F.col("_p") + 1)
+    rn = F.row_number().over(Window.partitionBy("_p").orderBy(F.col(col).asc_nulls_first())) - 1
+    return placed.withColumn(out, (rn + before).cast("long")).drop("_p")
+
+
 def numbered(df: DataFrame, groups: list[str], spread: list[str], order: list[Column], rows: int, out: str, sums: dict[str, Column] | None = None, block_rows: int = 5_000) -> DataFrame:
     """Number the rows of each group from 0 without gaps, in blocks that no task outgrows.
 
