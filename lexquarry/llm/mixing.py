@@ -4,26 +4,32 @@ Of all document rates r >= 0 with sum(r * size) = target in each source, those n
 entropy are exponentially tilted: r = exp(lambda * size), cut at the largest allowed rate. The
 convex dual in lambda is solved by Newton steps, kept inside a bracket, whose gradient and
 curvature are distributed sums over the (source, size) histogram; sums are in fixed point, so
-reruns agree bit by bit. Rates become whole copies by systematic rounding of their running sum
-in order of size, which keeps the words of every source within a few documents of the target.
+reruns agree bit by bit.
 
-Everything is DataFrame expressions. The histogram and the per-source state stay distributed;
-the driver sees one convergence figure per step.
+Rates become whole copies in blocks of about ``BLOCK_ROWS`` documents of a source: long documents
+first, each takes the copies that bring the words taken in its block nearest to the words that the
+rates ask for up to there. What a long document is off by is so made good by shorter ones, and a
+block ends off by about half of its shortest document.
+
+Everything is DataFrame expressions. The histogram and the per-source state stay distributed, sources
+are numbered by ranges of their names and weights by a few sums; the driver sees one row a step.
 
 Defined results: null texts have size 0; a null source is a source of its own, last in order;
-repeated rows are rows; sources without words get nothing; an empty table gives an empty result.
+sources without words get nothing; rows that repeat id, size and source share their copies evenly,
+and which of them gets one more doesn't matter, since they are equal; documents of one size are
+taken in order of their ids; very long texts are documents like others, so a source whose few
+documents are long can be off its target by half of one; an empty table gives an empty result; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lexquarry.llm._util import join_unique, materialise, numbered, small_or_shuffled
+from lexquarry.llm._util import join_unique, materialise, numbered, ranked, small_or_shuffled
 
-MOST = 3
-_UNIT = 1 << 20
+MOST, BLOCK_ROWS = 3, 1_000
 
 
 def n_words(text: Column) -> Column:
@@ -32,21 +38,22 @@ def n_words(text: Column) -> Column:
 
 
 def targets(sources: DataFrame) -> DataFrame:
-    """Adds ``target`` to (source, total) rows, one per source.
+    """Adds ``target`` to (sid, total) rows, one per source; sid is its place in order from 0.
 
-    Weights 1, 2, 3 repeat in code point order, null last. A target c * weight is cut at MOST
-    times the total; the level c that spends all words follows from running sums in order of
-    MOST * total / weight, since exactly the sources below c on that scale are cut.
+    Weights 1, 2, 3 repeat. Targets are level * weight, cut at MOST times the total; what is cut
+    raises the level of the others, until none is above. The level is a ratio of whole numbers, so it
+    doesn't depend on the order of summing.
     """
-    ranked = sources.withColumn("weight", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1)
-    ranked = ranked.withColumn("room", F.lit(float(MOST)) * F.col("total"))
-    w = Window.orderBy(F.col("room") / F.col("weight"), F.col("source").asc_nulls_last())
-    whole = Window.partitionBy()
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.sum("total").over(whole) - F.coalesce(F.sum("room").over(before), F.lit(0.0))) / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    leveled = ranked.withColumn("level", level).withColumn("free", F.col("room") / F.col("weight") >= F.col("level"))
-    c = F.max(F.when(F.col("free"), F.col("level"))).over(whole)
-    return leveled.withColumn("target", F.when(F.col("free"), c * F.col("weight")).otherwise(F.col("room"))).drop("weight", "room", "level", "free")
+    ranked_ = sources.withColumn("weight", F.col("sid") % 3 + 1).withColumn("room", F.col("total") * MOST)
+    ranked_ = materialise(ranked_)
+    level, cut = None, -1
+    while True:
+        over = F.lit(False) if level is None else F.col("room") < F.lit(level) * F.col("weight")
+        r = ranked_.agg(F.sum("total").alias("all"), F.sum(F.when(over, F.col("room")).otherwise(0)).alias("cut"), F.sum(F.when(over, 0).otherwise(F.col("weight"))).alias("free"), F.count_if(over).alias("n")).first()
+        if r["n"] == cut or not r["free"]:
+            break
+        level, cut = (r["all"] - r["cut"]) / r["free"], r["n"]
+    return ranked_.withColumn("target", F.least(F.col("room").cast("double"), F.lit(level or 0.0) * F.col("weight"))).drop("weight", "room")
 
 
 def tilts(sizes: DataFrame, sources: DataFrame, n_sources: int, steps: int = 60) -> DataFrame:
@@ -86,9 +93,25 @@ def tilts(sizes: DataFrame, sources: DataFrame, n_sources: int, steps: int = 60)
         state = materialise(after)
         if state.where("not done").isEmpty():
             break
+    else:
+        if not state.where("not done").isEmpty():
+            raise RuntimeError("the dual did not settle")
     return state.select("sid", "total", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"), "lam")
 
 
+def _copies(items: Column) -> Column:
+    """Copies of each of a block's items (size, n, rate), in order: an array as long as ``items``."""
+    state = F.struct(F.lit(0.0).alias("short"), F.array().cast("array<long>").alias("copies"))
+
+    def step(a: Column, x: Column) -> Column:
+        asked = a["short"] + x["rate"] * x["size"] * x["n"]
+        took = F.greatest(F.lit(0), F.least(F.floor(asked / F.greatest(x["size"], F.lit(1)) + 0.5), MOST * x["n"])).cast("long")
+        took = F.when(x["size"] > 0, took).otherwise(0)
+        return F.struct((asked - took * x["size"]).alias("short"), F.concat(a["copies"], F.array(took)).alias("copies"))
+
+    return F.aggregate(items, state, step)["copies"]
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per document: id, size, source_size, target, taken, copies (0 to MOST) and rate."""
     rows = docs.select(
@@ -99,17 +122,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     )
     rows = materialise(rows)
     per = rows.groupBy("src").agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n_docs"))
-    per = targets(per.withColumn("source", F.when(F.col("src") != "-", F.substring("src", 2, 1 << 30))))
-    per = materialise(per.withColumn("sid", F.row_number().over(Window.orderBy("src"))))
+    # "+" comes before "-", so the null source is last
+    per = materialise(ranked(per, "src", "sid"))
     n_sources, n = per.count(), rows.count()
     sized = materialise(join_unique(rows, per.select("src", "sid", "n_docs"), "src", "n_docs", n).select("id", "uid", "size", "sid"))
-    solved = tilts(sized, per.select("sid", "total", "target"), n_sources)
-    solved = solved.join(per.select("sid", "n_docs"), "sid").withColumnRenamed("n_docs", "n_rows")
-    rated = join_unique(sized, materialise(solved), "sid", "n_rows", n)
+    solved = tilts(sized, targets(per.select("sid", "total")), n_sources)
+    solved = materialise(solved.join(small_or_shuffled(per.select("sid", "n_docs"), n_sources), "sid"))
+    items = materialise(sized.groupBy("sid", "id", "size").agg(F.count(F.lit(1)).alias("n")))
+    rated = join_unique(items, solved, "sid", "n_docs", n)
     rate = F.least(F.exp(F.least(F.col("lam") * F.col("size") / F.col("scale"), F.lit(10.0))), F.lit(float(MOST)))
-    units = F.when(F.col("size") > 0, F.round(rate * _UNIT)).otherwise(0).cast("long")
-    rated = materialise(rated.select("id", "uid", "sid", "size", F.col("total").alias("source_size"), "target", rate.alias("rate"), units.alias("units")))
-    ordered = numbered(rated, ["sid"], ["id", "size"], [F.col("size").desc(), F.col("id"), F.col("uid")], n, "at", {"run": F.col("units")})
-    whole = lambda c: F.floor((c + _UNIT // 2) / _UNIT)
-    copies = F.least(whole(F.col("run")) - whole(F.col("run") - F.col("units")), F.lit(MOST)).cast("long")
-    return ordered.select(F.col("id").alias(id_col), "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "rate")
+    block = F.pmod(F.xxhash64("id", "size"), F.ceil(F.col("n_docs") / BLOCK_ROWS)).alias("block")
+    item = F.struct((-F.col("size")).alias("_long"), "id", "size", "n", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"))
+    blocks = rated.groupBy("sid", block).agg(F.first("total").alias("source_size"), F.first("target").alias("target"), F.array_sort(F.collect_list(item)).alias("items"))
+    done = blocks.withColumn("copies", _copies(F.col("items"))).select("sid", "source_size", "target", F.explode(F.arrays_zip("items", "copies")).alias("x"))
+    done = materialise(done.select("sid", "source_size", "target", "x.items.id", "x.items.size", "x.items.n", "x.items.rate", "x.copies"))
+    out = ["id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate"]
+    single = done.where("n = 1").select(*out)
+    repeated = done.where("n > 1")
+    if not repeated.isEmpty():
+        key = F.struct("sid", "id", "size").alias("key")
+        equal = materialise(join_unique(materialise(sized.select("uid", key)), materialise(repeated.select(key, "source_size", "target", "rate", "n", F.col("copies").alias("all"))), "key", "n", n).where("n is not null"))
+        placed = numbered(equal, ["key"], ["uid"], [F.col("uid")], equal.count(), "k")
+        copies = (F.floor((F.col("k") + 1) * F.col("all") / F.col("n")) - F.floor(F.col("k") * F.col("all") / F.col("n"))).cast("long")
+        single = single.unionByName(placed.select("key.id", "key.size", "source_size", "target", "rate", copies.alias("copies")).select(*out))
+    return single.withColumnRenamed("id", id_col)
