@@ -7,8 +7,9 @@ it lets pass joins the snapshot's exact buckets by the whole digest, and the tex
 representatives are compared before the groups are merged.
 
 Defined results: null texts count as empty; of equal texts the row with the smallest id stays,
-and of repeated rows with that id exactly one; null ids come after all others; an empty table
-gives an empty result; other columns are ignored.
+and of repeated rows with that id exactly one; null ids come after all others; very long texts are
+compared whole, and none is moved but a representative's; an empty table gives an empty result; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.llm._util import join_unique, materialise, small_or_shuffled
+from lexquarry.llm._util import BROADCAST_ROWS, join_unique, materialise, small_or_shuffled
 
-#: Digests of one shard, hence of one filter and one task.
-SHARD_KEYS = 50_000
+#: Digests of one shard, hence of one filter and one task; bits of the map of wanted ids (32 MB).
+SHARD_KEYS, MAP_BITS = 50_000, 1 << 28
 
 
 def normalised(text: Column) -> Column:
@@ -129,14 +130,35 @@ def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
     return incoming.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(run, schema)
 
 
+def among(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """The rows of df whose ``key`` is perhaps among ``wanted`` (column ``key``), and few others.
+
+    A bitmap of hashed keys, ``MAP_BITS`` at most whatever the number of keys, is broadcast; rows
+    that it rules out go no further.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    bits = wanted.select(place(F.col("key")).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_map"))
+    at = df.withColumn("_at", place(key))
+    met = at.join(F.broadcast(bits), F.bitmap_bucket_number("_at") == F.col("_bucket"))
+    bit = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring("_map", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("_at", "_bucket", "_map")
+
+
 def _same_bytes(docs: DataFrame, pairs: DataFrame, n_pairs: int, id_col: str, text_col: str) -> DataFrame:
     """Digests of those pairs (digest, a, b: ids) whose two texts are the same byte by byte.
 
-    Only the texts of representatives are fetched; their ids are broadcast if counted to be few.
+    Only the texts of representatives are fetched: their ids are broadcast if counted to be few; else
+    a bitmap of them, and the texts that it lets pass are shuffled.
     """
-    wanted = pairs.select("digest", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("id")), F.struct(F.lit(1).alias("side"), F.col("b").alias("id")))).alias("x")).select("digest", "x.side", F.col("x.id").alias("_want"))
-    texts = docs.select(docs[id_col].alias("_have"), normalised(docs[text_col]).alias("norm"))
-    found = texts.join(small_or_shuffled(wanted, 2 * n_pairs), F.col("_have").eqNullSafe(F.col("_want"))).where(F.unhex(F.sha2("norm", 256)) == F.col("digest"))
+    key = lambda i, digest: F.concat(F.coalesce(i.cast("string"), F.lit("-")).cast("binary"), digest)
+    wanted = pairs.select("digest", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("id")), F.struct(F.lit(1).alias("side"), F.col("b").alias("id")))).alias("x")).select("digest", "x.side", key(F.col("x.id"), F.col("digest")).alias("_want"), F.coalesce(F.col("x.id").cast("string"), F.lit("-")).alias("key"))
+    texts = docs.select(docs[id_col].alias("_have"), docs[text_col].alias("_text"))
+    if 2 * n_pairs > BROADCAST_ROWS:
+        texts = among(texts, F.coalesce(F.col("_have").cast("string"), F.lit("-")), wanted)
+    texts = texts.select("_have", normalised(F.col("_text")).alias("norm"))
+    texts = texts.select(key(F.col("_have"), F.unhex(F.sha2("norm", 256))).alias("_key"), "norm")
+    found = texts.join(small_or_shuffled(wanted, 2 * n_pairs), F.col("_key") == F.col("_want"))
     both = found.groupBy("digest").agg((F.min("norm") == F.max("norm")).alias("same"), F.min("side").alias("lo"), F.max("side").alias("hi"))
     return both.where("same and lo = 0 and hi = 1").select("digest")
 
@@ -146,7 +168,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``is_snapshot`` tells the rows of the immutable snapshot from the incoming batch; by default
     the snapshot is the lower half of the ids. Shuffled are digests, never whole texts, but for
-    the representatives of groups that snapshot and batch share.
+    the representatives of groups that snapshot and batch share, and the few that a map of their
+    ids can't tell from them.
     """
     rows = docs.select(
         docs[id_col].alias("id"),

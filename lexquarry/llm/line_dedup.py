@@ -3,11 +3,16 @@
 A line that a large share of a host's pages contain is boilerplate of that host: pages that hold
 the line are divided by all pages of the host, and lines over the ratio go from every page of it.
 Only digests of lines are shuffled for the counts, partly summed before; the boilerplate of a
-host has at most (lines per page / ratio) digests.
+host has at most (lines per page / ratio) digests. These are broadcast if all of them are counted to
+be few. Beyond that, those of hosts with over a thousandth of all pages, at most 1,000 hosts, still
+are, so that such a host's pages stay where they are; pages of the others meet theirs in a shuffle by
+host, in which no host is hot.
 
 Everything is DataFrame expressions. Defined results: a null page has no lines; a null or
-malformed URL has the host ''; repeated rows count as pages; an empty table gives an empty
-result; other columns are ignored.
+malformed URL has the host ''; repeated rows count as pages; a share equal to the ratio is no
+boilerplate; very long pages are lines like others; an empty table gives an empty result; other
+columns are ignored, whatever their names. On hosts of fewer than ``LEAST_PAGES`` pages no line is
+boilerplate: there a line of one page would be over the ratio by itself, and every page would go.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.llm._util import BROADCAST_ROWS, materialise
+from lexquarry.llm._util import BROADCAST_ROWS, join_unique, materialise
 
 #: A line is boilerplate of a host from this share of its pages, and at least this many of them.
 RATIO, LEAST_PAGES = 0.3, 3
@@ -48,14 +53,15 @@ def host(url: Column) -> Column:
 
 def line_dedup(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, host, n_lines, n_dropped, text (the lines that stay)."""
-    rows = pages.select(pages[id_col].alias("id"), host(pages[url_col]).alias("host"), page_lines(pages[html_col]).alias("lines"))
+    rows = pages.select(pages[id_col].alias("id"), host(pages[url_col]).alias("host"), pages[html_col].cast("string").alias("html"))
     digest = lambda x: F.unhex(F.md5(x.cast("binary")))
-    sizes = pages.groupBy(host(pages[url_col]).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
-    held = rows.select("host", F.explode(F.array_distinct(F.transform("lines", digest))).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    held = rows.select("host", F.explode(F.array_distinct(F.transform(page_lines(F.col("html")), digest))).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
     common = held.where(F.col("n") >= least_pages).join(sizes, "host").where(F.col("n") > ratio * F.col("pages"))
-    common = materialise(common.groupBy("host").agg(F.collect_list("line").alias("common")))
+    common = materialise(common.groupBy("host").agg(F.collect_list("line").alias("common"), F.first("pages").alias("pages")))
     lines = common.agg(F.sum(F.size("common"))).first()[0] or 0
-    joined = rows.join(F.broadcast(common) if lines <= BROADCAST_ROWS else common, "host", "left")
+    joined = rows.join(F.broadcast(common), "host", "left") if lines <= BROADCAST_ROWS else join_unique(rows, common, "host", "pages", rows.count())
+    joined = joined.withColumn("lines", page_lines(F.col("html")))
     known = F.array_intersect(F.transform("lines", digest), F.coalesce("common", F.array().cast("array<binary>")))
     kept = F.when(F.size("known") == 0, F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("known"), digest(x))))
     out = joined.withColumn("known", known).withColumn("kept", kept)

@@ -14,9 +14,13 @@ That is some 64 keys a distinct fingerprint. Rows meet by key in sorted partitio
 is verified by its Hamming distance, and only links that a spanning forest needs are passed on,
 so no group emits all its pairs. Components come from alternating star contraction.
 
+A (1, 1) key leaves the third segment out, so it holds 24 bits: rows per key grow with the number of
+distinct fingerprints, by some 60 per 10^9, and are compared within a key by sorted passes over them.
+
 Defined results: a null text counts as empty and has fingerprint zero, linked like any other;
-repeated rows share a component; null ids get the component of their text; an empty table gives
-an empty result; other columns are ignored.
+repeated rows share a component; null ids get the component of their text; a bit set in exactly half
+of the hashes is 0; very long texts are read whole, their hashes counted in slices; an empty table
+gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.llm._util import join_unique, materialise
@@ -200,13 +204,16 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """
     state = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
-    for _ in range(most):
+    def with_least(links: DataFrame, least: Column) -> tuple[DataFrame, DataFrame]:
+        """(the links with the least neighbour m of u, every u with its m). A node of many links is not joined in one task."""
+        low = materialise(links.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("n")))
+        return join_unique(links, low, "u", "n", low.agg(F.sum("n")).first()[0] or 0).drop("n"), low.select("u", "m")
+
+    for _round in range(most):
         both = materialise(state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialise(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        near = large.join(low, "u")
+        near, _ = with_least(both, F.least(F.min("v"), F.first("u")))
+        large = materialise(near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        near, low = with_least(large, F.min("v"))
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         state = materialise(small.where("u <> v").distinct())
         now = tuple(state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -237,8 +244,8 @@ def simhash_golay(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = components(links(prints))
     rooted = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = materialise(rooted)
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("keep"))
-    placed = materialise(rooted.join(lowest, "root").select("fp", "n", "keep"))
+    lowest = materialise(rooted.groupBy("root").agg(F.min("first").alias("keep"), F.count(F.lit(1)).alias("prints")))
+    placed = materialise(join_unique(rooted, lowest, "root", "prints", rooted.count()).select("fp", "n", "keep"))
     out = join_unique(rows, placed, "fp", "n", rows.count())
     own = [] if key is None else ["key", (F.col("key") == F.col("keep.key")).alias("first")]
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("keep.id").alias("component_id"), *own)

@@ -48,3 +48,21 @@ def test_given_snapshot(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "a  b"), (4, "d"), (5, "d")], "doc_id long, text string")
     out = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in E.exact_dedup(docs, is_snapshot=F.col("doc_id") < 3).collect()}
     assert out == {1: (1, True), 2: (2, True), 3: (1, False), 4: (4, True), 5: (4, False)}
+
+
+def test_many_shared_groups_give_the_same(spark, documents, odd_docs, monkeypatch):
+    """Beyond the broadcast, a map of the wanted ids keeps other texts where they are."""
+    from lexquarry.llm import _util
+
+    monkeypatch.setattr(E, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(_util, "BROADCAST_ROWS", 0)
+    check(documents)
+    check(odd_docs)
+    wanted = documents.where("doc_id % 20 = 0").select(F.col("doc_id").cast("string").alias("key"))
+    left = E.among(documents, F.col("doc_id").cast("string"), wanted)
+    assert left.columns == documents.columns and {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in documents.where("doc_id % 20 = 0").collect()}
+
+
+def test_clashing_names(spark):
+    rows = [(i, f"t {i // 2}", 1, 2, 3, 4, 5, 6) for i in range(12)]
+    check(spark.createDataFrame(rows, "doc_id long, text string, id int, digest int, _have int, norm int, uid int, old int"))

@@ -26,3 +26,21 @@ def test_boilerplate_is_relative_to_its_host(spark):
 
 def test_empty(spark):
     assert line_dedup(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_much_boilerplate_gives_the_same(spark, sf_dir, monkeypatch):
+    """Beyond the broadcast, hosts are joined by a shuffle or, if hot, still broadcast."""
+    from lexquarry.llm import line_dedup as L
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    few = sorted(map(tuple, line_dedup(pages, 0.2, 2).collect()))
+    monkeypatch.setattr(L, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, line_dedup(pages, 0.2, 2).collect())) == few and any(r[3] for r in few)
+
+
+def test_long_page_and_a_share_equal_to_the_ratio(spark):
+    long = "".join(f"<p>line {i}</p>" for i in range(30_000)) + "<p>" + "x" * 1_000_000 + "</p>"
+    rows = [(i, "http://h/", f"<p>own {i}</p>" + ("<p>three</p>" if i < 3 else "") + ("<p>four</p>" if i < 4 else ""), 1, 2) for i in range(9)] + [(9, "http://h/", long, 1, 2)]
+    got = {r["page_id"]: r for r in line_dedup(spark.createDataFrame(rows, "page_id long, url string, html string, lines int, pages int")).collect()}
+    assert got[0]["text"] == "own 0\nthree" and got[3]["text"] == "own 3"
+    assert got[9]["n_lines"] == 30_001 and got[9]["n_dropped"] == 0
