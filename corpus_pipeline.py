@@ -10,9 +10,12 @@ All stages but the last return the columns of documents:
 * mixing: documents are left out or repeated as the target weights of their sources ask;
 * unigram_sp: whole texts become piece ids that decode to the text exactly.
 
-Decisions of the first three stages hold for rows, told apart by digests of their ids and texts, so
-null and repeated ids are no matter. Null texts count as empty; an empty table passes through; other columns of documents are carried
-along.
+Decisions of the first four stages hold for rows, told apart by digests of their ids and texts (and of
+what else decides), so null and repeated ids are no matter. Rows that repeat all of these are one row
+with several copies: exact_dedup leaves one, mixing takes them together. Null texts count as empty, and
+the first stage keeps empty ones; very long texts are read whole in every stage; ties go to the smallest
+id, then the smallest digest; an empty table passes through; other columns of documents are carried
+along, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,21 +42,29 @@ def _key(*digests: Column) -> Column:
     return F.unhex(F.sha2(F.concat_ws("/", *digests), 256))
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _without(docs: DataFrame, key: Column, gone: DataFrame, again: DataFrame | None = None) -> DataFrame:
     """Documents whose key is none of ``gone``, and one document only of each key in ``again``.
 
     Both have a column ``key`` and are broadcast if counted to be few.
     """
-    columns = docs.columns
-    docs = docs.withColumn("_key", key)
+    columns, own, other = docs.columns, _free(docs, "_key"), _free(docs, "_of")
+    docs = docs.withColumn(own, key)
 
     def those(keys: DataFrame, kind: str) -> DataFrame:
-        keys = materialise(keys.select(F.col("key").alias("_of")).distinct())
-        return docs.join(small_or_shuffled(keys, keys.count()), docs["_key"] == keys["_of"], kind)
+        keys = materialise(keys.select(F.col("key").alias(other)).distinct())
+        return docs.join(small_or_shuffled(keys, keys.count()), F.col(own) == F.col(other), kind)
 
     docs = those(gone, "left_anti")
     if again is not None and not (again := materialise(again)).isEmpty():
-        docs = those(again, "left_anti").unionByName(those(again, "left_semi").dropDuplicates(["_key"]))
+        docs = those(again, "left_anti").unionByName(those(again, "left_semi").dropDuplicates([own]))
     return docs.select(*columns)
 
 
@@ -77,14 +88,22 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of a document are equal rows; documents that share an id get the copies of the first."""
-    copies = mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.min("copies").alias("_copies"))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
-    return joined.select(*[docs[c] for c in docs.columns])
+    """Copies of a document are equal rows."""
+    own, other, n, rows = (_free(docs, x) for x in ("_key", "_of", "_copies", "_rows"))
+    keyed = docs.withColumn(own, _key(_sha(docs["doc_id"]), _sha(docs["source"]), _sha(docs["text"])))
+    copies = mix(keyed, id_col=own).groupBy(F.col(own).alias(other)).agg(F.sum("copies").alias(n), F.count(F.lit(1)).alias(rows))
+    copies = materialise(copies)
+    repeated = copies.where(F.col(rows) > 1).select(other)
+    if not repeated.isEmpty():
+        same = F.col(own) == F.col(other)
+        keyed = keyed.join(repeated, same, "left_anti").unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates([own]))
+    taken = keyed.join(copies.where(F.col(n) > 0).drop(rows), F.col(own) == F.col(other))
+    again = _free(docs, "_again")
+    return taken.withColumn(again, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [
