@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -87,3 +88,28 @@ def test_decisions_hold_for_rows_not_ids(spark, sf_dir, tmp_path):
     spark.createDataFrame([(i, 1, 0) for i in range(1000)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     left = texts(corpus_pipeline.quality_stage(spark, spark.createDataFrame(rows, schema), str(tmp_path)))
     assert a in left and b in left and noise not in left
+
+
+def test_other_columns_of_any_name(spark, odd_docs, sf_dir):
+    """Names that the stages or their operators use themselves, with repeated rows."""
+    names = ["_sha", "_copy", "_copies", "_gone", "_id", "_key", "_of", "_rows", "_again", "key", "copies", "kept", "first", "same", "uid", "size", "rows"]
+    docs = odd_docs.drop("id", "digest").select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        for r in out.where("doc_id is not null").collect():
+            assert all(r[n] == f"{n} {r['doc_id']}" for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_mixing_decides_by_row(spark, sf_dir):
+    """Null and repeated ids: as many rows as the operator takes copies, each with its own text."""
+    rows = [(None if i % 5 == 0 else i % 7, "w " * (1 + i % 11) + str(i // 2), "en", f"s{i % 3}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = corpus_pipeline.mixing_stage(spark, docs, sf_dir).collect()
+    words = {}
+    for r in out:
+        words[r["source"]] = words.get(r["source"], 0) + len(r["text"].split())
+    for r in mix(docs.withColumn("n", F.monotonically_increasing_id()), id_col="n").join(docs.withColumn("n", F.monotonically_increasing_id()), "n").select("source", "target").distinct().collect():
+        assert abs(words[r["source"]] - r["target"]) <= 12
+    assert {tuple(r) for r in out} <= set(map(tuple, docs.collect()))
