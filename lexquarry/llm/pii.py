@@ -1,22 +1,28 @@
 """Personal data by weak supervision.
 
 Candidates come from strict patterns (the base) and from looser ones. Labelers of three sorts -
-format checks, gazetteers and context - vote for, against or abstain. Expectation-maximisation over
-the counts of vote patterns estimates how reliable each labeler is, which gives every pattern a
-probability; a logistic span classifier trained on these decides on the loose candidates. Base
-spans that pass their check always stay; those that fail it never return.
+format checks, gazetteers and context in four languages - vote for, against or abstain.
+Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is, which
+gives every candidate a probability. A logistic span classifier is trained on a bounded sample of
+candidates with these as targets; it reads the span and its surroundings themselves (the shape of the
+span, how many digits, the two words before it, what follows it) beside the votes, and decides on the
+loose candidates. Base spans that pass their check always stay; those that fail it never return.
 
 Spans are found by DataFrame expressions alone: a pattern's matches with the pieces between them
 give positions as running sums. Vote patterns number at most kinds x 2 x 3 ** labelers, whatever
-the corpus, so the driver fits the two small models on their counts.
+the corpus, and the sample ``SPANS`` at most, so the driver fits the two small models; the scores of
+all candidates are expressions again.
 
-Defined results: null texts count as empty; repeated rows are rows; an empty table gives an empty
-result; other columns are ignored. Positions are code points, ends exclusive.
+Defined results: null texts count as empty; repeated rows are rows; very long texts are searched
+whole; where spans start at one place, the order of the kinds decides; of loose spans that overlap
+each other all stay, while one that overlaps a base span goes; an empty table gives an empty result;
+other columns are ignored, whatever their names. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +32,10 @@ from pyspark.sql.window import Window
 from lexquarry.llm._util import materialise
 
 KINDS = ("email", "ip", "card", "phone")
-#: Probability from which the classifier adds a loose candidate.
-SURE = 0.9
+#: Probability from which the classifier adds a loose candidate; candidates that it is fitted on, at most.
+SURE, SPANS = 0.9, 20_000
+#: Buckets of shapes and of words in its features.
+SHAPES, WORDS = 64, 128
 _LOCAL = r"[A-Za-z0-9._%+-]"
 #: (kind, base?, cheap precondition, pattern). Possessive forms and look-behinds spare backtracking and
 #: match what the plain patterns match; without repetition of groups by recursion.
@@ -43,8 +51,14 @@ PATTERNS = (
 #: Gazetteers: usual endings of host names, and country codes of telephone numbers.
 TLDS = ("com", "org", "net", "edu", "gov", "io", "info", "biz", "de", "fr", "es", "uk", "it", "nl", "eu", "us", "ca", "ch", "at", "be", "pl", "pt", "mx", "ar", "br", "jp", "cn", "in", "au")
 COUNTRY_CODES = ("1", "7", "31", "32", "33", "34", "39", "41", "43", "44", "45", "46", "47", "48", "49", "52", "54", "55", "61", "81", "86", "91", "351", "353", "358")
-_NEAR = {"email": "mail|contact|write|reach", "ip": r"\bip\b|host|server|address|login", "card": "card|visa|master|amex|credit|debit|pay", "phone": r"phone|tel\b|tel\.|call|fax|mobile|contact"}
-_AGAINST = r"(?i)(?:version|release|\bv|section|chapter|isbn|issn|order|invoice|serial|\bid|fig\.?|no\.)[\x20:#]*$"
+#: Context: what before a span speaks for its kind, and what against any, in English, German, French and Spanish.
+_NEAR = {
+    "email": r"mail|contact|kontakt|contacto|write|schreib|[ée]cri[vstr]|escrib|reach|courriel|correo|adress|direcci",
+    "ip": r"\bip\b|host|server|serveur|servidor|address|adress|direcci|login|anmeld|connexion|conexi",
+    "card": r"card|karte|carte|tarjeta|visa|master|amex|cr[eé]dit|kredit|debit|pay|zahl|paie|pago|pagar",
+    "phone": r"phone|telefon|t[ée]l[ée]|\btel\b|\btel\.|call|fax|mobil|m[óo]vil|portable|handy|anruf|rufen|appel|llam|contact|kontakt",
+}
+_AGAINST = r"(?i)(?:version|versi[óo]n|ausgabe|release|\bv|section|abschnitt|secci[óo]n|chapter|kapitel|chapitre|cap[íi]tulo|isbn|issn|order|bestell\w*|commande|pedido|invoice|rechnung\w*|facture|factura|serial|\bid|fig\.?|no\.|nr\.|n[º°])[\x20:#.]*$"
 LABELERS = ("format", "names", "context", "edges", "shape")
 
 
@@ -80,8 +94,31 @@ def _candidate(kind: str, base: bool, gaps: Column):
     return lambda m, i: F.struct(*[c.alias(k) for k, c in fields(m, i).items()])
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """(uid, id, and per candidate kind, base, start, end, votes...) from (uid, id, text); rows without any keep one row of nulls."""
+def _features(kind: Column, base: Column, m: Column, before: Column, after: Column, votes: list[Column]) -> Column:
+    """The numbers of a candidate's features below ``N_FEATURES``: kind and strictness, shape, digits, the two words before, what follows, votes."""
+    shape = F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), "[A-Za-z]+", "a")
+    words = F.regexp_extract_all(F.lower(before), F.lit(r"\p{L}+"), F.lit(0))
+    bucket = lambda c, n: F.pmod(F.xxhash64(kind, c), F.lit(n)).cast("int")
+    at = (F.array_position(F.array(*map(F.lit, KINDS)), kind) - 1).cast("int")
+    follows = F.when(after == "", 0).when(after.rlike(r"^\p{L}"), 1).when(after.rlike("^[0-9]"), 2).when(after.rlike(r"^\s"), 3).otherwise(4)
+    sized = [
+        (F.lit(0), 1),
+        (at * 2 + base.cast("int"), 2 * len(KINDS)),
+        (bucket(shape, SHAPES), SHAPES),
+        (F.least(F.length(_digits(m)), F.lit(20)), 21),
+        *[(bucket(F.try_element_at(words, F.lit(-i)), WORDS), WORDS) for i in (1, 2)],
+        (follows, 5),
+        *[(v + 1, 3) for v in votes],
+    ]
+    firsts = [sum(n for _, n in sized[:i]) for i in range(len(sized))]
+    return F.array(*[F.lit(f) + c for f, (c, _) in zip(firsts, sized)])
+
+
+N_FEATURES = 1 + 2 * len(KINDS) + SHAPES + 21 + 2 * WORDS + 5 + 3 * len(LABELERS)
+
+
+def candidates(rows: DataFrame, tlds: Sequence[str] = TLDS, country_codes: Sequence[str] = COUNTRY_CODES) -> DataFrame:
+    """(uid, id, and per candidate kind, base, start, end, votes, features) from (uid, id, text); rows without any keep one row of nulls."""
     t, found = F.col("text"), []
     for kind, base, needs, pattern in PATTERNS:
         spot = F.when(F.contains(t, F.lit(needs)), t) if needs else t
@@ -93,8 +130,8 @@ def candidates(rows: DataFrame) -> DataFrame:
     kind, m = F.col("kind"), F.col("m")
     d = _digits(m)
     ok = valid(kind, m)
-    tld = F.lower(F.regexp_extract(m, r"([A-Za-z]+)$", 1)).isin(*TLDS)
-    coded = reduce(lambda a, b: a | b, [F.startswith(d, F.lit(c)) for c in COUNTRY_CODES])
+    tld = F.lower(F.regexp_extract(m, r"([A-Za-z]+)$", 1)).isin(*tlds)
+    coded = reduce(lambda a, b: a | b, [F.startswith(d, F.lit(c)) for c in country_codes])
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
     names = (
         F.when(kind == "email", vote(tld, ~tld))
@@ -105,15 +142,19 @@ def candidates(rows: DataFrame) -> DataFrame:
     near = reduce(lambda rest, k: F.when(kind == k, F.col("before").rlike(f"(?i)(?:{_NEAR[k]})")).otherwise(rest), KINDS, F.lit(False))
     glued = F.col("before").rlike("[A-Za-z0-9]$") | F.col("after").rlike("^[A-Za-z0-9]")
     dull = (kind != "email") & d.rlike(r"^([0-9])\1+$|^0?123456789")
+    votes = {
+        "format": F.when(F.col("base"), vote(ok, ~ok)).otherwise(0),
+        "names": names,
+        "context": vote(near, F.col("before").rlike(_AGAINST)),
+        "edges": vote(~glued, glued),
+        "shape": vote(F.lit(False), dull),
+    }
     return out.select(
         "uid", "id", "kind", "base",
         (end - F.length("m")).cast("long").alias("start"), end.cast("long").alias("end"),
         F.when(kind.isNotNull(), ok).alias("ok"),
-        F.when(F.col("base"), vote(ok, ~ok)).otherwise(0).alias("format"),
-        names.alias("names"),
-        vote(near, F.col("before").rlike(_AGAINST)).alias("context"),
-        vote(~glued, glued).alias("edges"),
-        vote(F.lit(False), dull).alias("shape"),
+        *[votes[k].alias(k) for k in LABELERS],
+        F.when(kind.isNotNull(), _features(kind, F.col("base"), m, F.col("before"), F.col("after"), [votes[k] for k in LABELERS])).alias("features"),
     )
 
 
@@ -139,38 +180,48 @@ def reliabilities(counts: list[tuple], rounds: int = 60) -> list[float]:
     return p
 
 
-def _features(kind: str, base: bool, votes: tuple) -> list[float]:
-    return [1.0, *[float(kind == k) for k in KINDS], float(base), *[float(v == s) for v in votes for s in (1, -1)]]
-
-
-def span_classifier(counts: list[tuple], p: list[float], steps: int = 400, rate: float = 0.5, decay: float = 1e-3) -> list[float]:
-    """Weights of a logistic model over kind, looseness and votes, fitted to the probabilities."""
-    x = [_features(k, b, v) for k, b, v, _ in counts]
-    total = sum(n for *_, n in counts) or 1
-    w = [0.0] * len(_features(KINDS[0], True, (0,) * len(LABELERS)))
-    for _ in range(steps):
+def span_classifier(spans: list[tuple[list[int], float, int]], rounds: int = 80, rate: float = 0.3, decay: float = 1e-3) -> list[float]:
+    """Weights of a logistic model by feature number, fitted to (features, probability, times) by Adagrad."""
+    total = sum(n for *_, n in spans) or 1
+    w, seen = [0.0] * N_FEATURES, [1e-8] * N_FEATURES
+    for _ in range(rounds):
         grad = [decay * a for a in w]
-        for row, q, (*_, n) in zip(x, p, counts):
-            z = sum(a * b for a, b in zip(w, row))
-            miss = (1 / (1 + math.exp(-max(-30, min(30, z)))) - q) * n / total
-            for i, a in enumerate(row):
-                if a:
-                    grad[i] += miss * a
-        w = [a - rate * g for a, g in zip(w, grad)]
+        for features, p, n in spans:
+            z = sum(w[i] for i in features)
+            miss = (1 / (1 + math.exp(-max(-30, min(30, z)))) - p) * n / total
+            for i in features:
+                grad[i] += miss
+        for i, g in enumerate(grad):
+            seen[i] += g * g
+            w[i] -= rate * g / math.sqrt(seen[i])
     return w
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans."""
+def _sample(found: DataFrame) -> list[tuple]:
+    """((kind, base, votes), features, times) of candidates, at most ``SPANS`` strict and loose ones each drawn by a hash of their places."""
+    place = F.xxhash64("id", "kind", "start", "end")
+    out = []
+    for strict in (True, False):
+        own = found.where(F.col("base") == strict)
+        n = own.count()
+        share = min(1 << 30, -(-2 * (SPANS // 2) * (1 << 30) // max(n, 1)))
+        drawn = own.where(F.pmod(place, F.lit(1 << 30)) < share).orderBy(place, "id", "kind", "start").limit(SPANS // 2)
+        out += drawn.groupBy("kind", "base", *LABELERS, "features").agg(F.count(F.lit(1)).alias("times")).collect()
+    return sorted(((r["kind"], r["base"], tuple(r[v] for v in LABELERS)), r["features"], r["times"]) for r in out)
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tlds: Sequence[str] = TLDS, country_codes: Sequence[str] = COUNTRY_CODES) -> DataFrame:
+    """One row per document: id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans.
+
+    ``tlds`` and ``country_codes`` are the gazetteers, in lower case; larger ones may be given.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    found = materialise(candidates(rows))
+    found = materialise(candidates(rows, tlds, country_codes))
     patterns = found.where("kind is not null").groupBy("kind", "base", *LABELERS).agg(F.count(F.lit(1)).alias("n")).orderBy("kind", "base", *LABELERS).collect()
     counts = [(r["kind"], r["base"], tuple(r[v] for v in LABELERS), r["n"]) for r in patterns]
-    weights = span_classifier(counts, reliabilities(counts))
-    terms = [F.lit(weights[0]), *[F.when(F.col("kind") == k, a).otherwise(0.0) for k, a in zip(KINDS, weights[1:])], F.when(F.col("base"), weights[5]).otherwise(0.0)]
-    for i, v in enumerate(LABELERS):
-        terms.append(F.when(F.col(v) == 1, weights[6 + 2 * i]).when(F.col(v) == -1, weights[7 + 2 * i]).otherwise(0.0))
-    odds = reduce(lambda a, b: a + b, terms)
+    p = {(k, b, v): q for (k, b, v, _), q in zip(counts, reliabilities(counts))}
+    weights = span_classifier([(features, p[pattern], n) for pattern, features, n in _sample(found)])
+    odds = F.aggregate("features", F.lit(0.0), lambda a, i: a + F.element_at(F.array(*map(F.lit, weights)), i + 1))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")) - 1
     span = F.struct("start", order.cast("int").alias("k"), F.col("end").alias("end"))
     base, loose = F.col("base") & F.col("ok"), ~F.col("base") & (odds >= math.log(SURE / (1 - SURE)))

@@ -9,8 +9,13 @@ t that ends there and forms a valid pair with the last token of the prefix befor
 holds the exact token count of every prefix. Truncation and budget questions read this array;
 nothing is encoded again.
 
-Defined results: a null text counts as empty; an empty text has 0 bytes and 0 tokens; repeated
-rows each give a row; columns other than the id and the text are ignored; the vocabulary's
+The counts at the ends of a text's pieces are kept for the whole text, those inside a piece are made
+where a question falls into it: the cuts of a text at several token budgets are places in one array.
+
+Defined results: a null text counts as empty; an empty text has 0 bytes and 0 tokens; a very long
+text is counted whole, in memory of a few numbers per piece; of several prefixes with as many tokens
+as a budget the longest is its cut; repeated rows each give a row; an empty table gives an empty
+result; columns other than the id and the text are ignored, whatever their names; the vocabulary's
 special string inside a text is one token, as is the library's default.
 """
 
@@ -19,7 +24,7 @@ from __future__ import annotations
 import json
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import accumulate
 
@@ -35,6 +40,8 @@ _LATIN = re.compile(
 )
 _BEYOND = re.compile("[^\x00-ɏ]")
 _SPACE = re.compile(r"[\s\x85\xa0]+")
+#: Token budgets at which texts are cut.
+BUDGETS = (128, 512, 2048, 8192)
 #: Distinct pieces remembered by a worker, and the length up to which they are.
 MEMO, MEMO_CHARS = 1_000_000, 64
 
@@ -162,14 +169,7 @@ class PrefixCounter:
         return ends, counts
 
     def count(self, text: str) -> int:
-        total = 0
-        for start, end, special in self._segments(text):
-            if special:
-                total += 1
-                continue
-            pieces = self._pieces(text if end - start == len(text) else text[start:end])
-            total += sum(self._counts(pieces))
-        return total
+        return self.boundaries(text)[1][-1]
 
     def _char_counts(self, piece: str) -> list[int]:
         """Counts of the prefixes of one piece by code points, the empty one left out."""
@@ -206,17 +206,26 @@ class PrefixCounter:
                 out[run.start() + 1 : run.end() + 1] = [at[run.start()] + n for n in self._char_counts(run[0])]
         return out
 
+    def cuts(self, text: str, limits: Iterable[int], known: tuple[list[int], list[int]] | None = None) -> list[int]:
+        """For each limit the largest p for which text[:p] has at most so many tokens; ``known`` are the boundaries."""
+        ends, sums = known or self.boundaries(text)
+        windows: dict[tuple[int, int], list[int]] = {}
+        out = []
+        for limit in limits:
+            k = bisect_right(sums, limit)
+            if k == len(sums):
+                out.append(len(text))
+                continue
+            back = k - 1
+            while back > 0 and text[ends[back] - 1].isspace():
+                back -= 1
+            if (back, k) not in windows:
+                windows[back, k] = self.prefixes(text[ends[back] : ends[k] + 16])
+            out.append(ends[back] + max(p for p, n in enumerate(windows[back, k]) if sums[back] + n <= limit))
+        return out
+
     def truncate(self, text: str, limit: int) -> int:
-        """The largest p for which text[:p] has at most ``limit`` tokens."""
-        ends, sums = self.boundaries(text)
-        k = bisect_right(sums, limit)
-        if k == len(sums):
-            return len(text)
-        back = k - 1
-        while back > 0 and text[ends[back] - 1].isspace():
-            back -= 1
-        window = self.prefixes(text[ends[back] : ends[k] + 16])
-        return ends[back] + max(p for p, n in enumerate(window) if sums[back] + n <= limit)
+        return self.cuts(text, [limit])[0]
 
 
 class _classes:
@@ -238,9 +247,10 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_bytes, n_tokens, over_limit and limit_chars, the length in code points of
-    the longest prefix within ``limit`` tokens. ``path`` is the vocabulary file on the workers.
+def token_counts(docs: DataFrame, path: str, limit: int = 1024, budgets: Sequence[int] = BUDGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_bytes, n_tokens, over_limit, limit_chars, the length in code points of
+    the longest prefix within ``limit`` tokens, and budget_chars, the same for each of ``budgets``.
+    ``path`` is the vocabulary file on the workers.
 
     A narrow map: no shuffle, and memory of one batch of rows and a bounded memo of pieces.
     """
@@ -248,23 +258,26 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
+            for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                counts = [c.count(t) for t in texts]
+                known = [c.boundaries(t) for t in texts]
+                counts = [sums[-1] for _, sums in known]
+                cuts = [c.cuts(t, [limit, *budgets], k) for t, k in zip(texts, known)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array([len(t.encode()) for t in texts], pa.int64()),
                         pa.array(counts, pa.int64()),
                         pa.array([n > limit for n in counts], pa.bool_()),
-                        pa.array([c.truncate(t, limit) if n > limit else len(t) for t, n in zip(texts, counts)], pa.int64()),
+                        pa.array([x[0] for x in cuts], pa.int64()),
+                        pa.array([x[1:] for x in cuts], pa.list_(pa.int64())),
                     ],
-                    ["id", "n_bytes", "n_tokens", "over_limit", "limit_chars"],
+                    ["id", "n_bytes", "n_tokens", "over_limit", "limit_chars", "budget_chars"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean, limit_chars long")
+    out = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean, limit_chars long, budget_chars array<long>")
     return out.withColumnRenamed("id", id_col)
 
 

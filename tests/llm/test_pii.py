@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from lexquarry.llm import pii
@@ -63,9 +64,30 @@ def test_reliabilities_favour_agreeing_labelers():
     counts = [("phone", True, (1, 1, 1, 1, 0), 90), ("phone", True, (-1, -1, 0, -1, -1), 60), ("phone", False, (0, 1, 1, 1, 0), 10), ("phone", False, (0, -1, -1, -1, -1), 10)]
     p = pii.reliabilities(counts)
     assert p[0] > 0.9 > 0.1 > p[1] and p[2] > 0.9 > 0.1 > p[3]
-    w = pii.span_classifier(counts, p)
-    z = [sum(a * b for a, b in zip(w, pii._features(k, b, v))) for k, b, v, _ in counts]
-    assert z[0] > 0 > z[1] and z[2] > 0 > z[3]
+
+
+def test_the_classifier_reads_the_span(spark):
+    """Held-out spans: the words before and the shape decide where the votes are the same."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    sure = [f"{word()} call my phone +1 (555) 01{i % 10}-{i:04d} {word()}" for i in range(300)]
+    loose = [f"{word()} call my phone 555-01{i % 10}-{2030 + i} {word()}" for i in range(150)]
+    other = [f"{word()} the order no. 155-01{i % 10}-{2030 + i} {word()}" for i in range(150)]
+    held = [f"{word()} my phone 455-01{i % 10}-{5030 + i}" for i in range(50)] + [f"{word()} order no. 155-21{i % 10}-{5030 + i}" for i in range(50)]
+    out = run(spark, [*sure, *loose, *other, *held])
+    found = [bool(out[600 + i]["spans"]) for i in range(100)]
+    assert sum(found[:50]) >= 45 and not any(found[50:])
+    assert sum(bool(out[300 + i]["spans"]) for i in range(150)) >= 135
+
+
+def test_cues_in_four_languages(spark):
+    """Recall and precision of added spans where only the cue tells them from numbers of orders."""
+    cues = ["call my phone", "rufen Sie mein Telefon", "appelez mon téléphone", "llame a mi teléfono"]
+    against = ["order no.", "Rechnung Nr.", "facture", "pedido"]
+    sure = [f"{cues[i % 4]} +49 (555) 01{i % 10}-{i:04d}, ok" for i in range(200)]
+    loose = [f"{cues[i % 4]} 555-010-{2030 + i}, ok" for i in range(80)] + [f"{against[i % 4]} 155-010-{2030 + i}, ok" for i in range(80)]
+    out = run(spark, [*sure, *loose])
+    assert all(out[i]["spans"] for i in range(200, 280)) and not any(out[i]["spans"] for i in range(280, 360))
 
 
 def test_odd_rows(odd_docs, no_docs):
@@ -75,6 +97,11 @@ def test_odd_rows(odd_docs, no_docs):
     assert pii.find_pii(no_docs).count() == 0
 
 
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "me@x.org", 1, 2, 3, 4)], "doc_id long, text string, kind int, uid int, spans int, features int")
+    assert [r["spans"] for r in pii.find_pii(docs).collect()] == ["email:0:8"]
+
+
 def test_no_python_on_the_executors(documents):
     plan = pii.find_pii(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
