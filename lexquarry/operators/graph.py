@@ -13,8 +13,8 @@ CONFLICTS = ("CONTRADICTS", "CHALLENGES")
 
 
 def resolve(nodes: DataFrame, name: str) -> DataFrame:
-    """The node of that name or variant; of several, the one of smallest id."""
-    hit = (F.lower("name") == name.lower()) | F.coalesce(F.array_contains("name_variants", name), F.lit(False))
+    """The node of exactly that name or variant; of several, the one of smallest id."""
+    hit = (F.col("name") == name) | F.coalesce(F.array_contains("name_variants", name), F.lit(False))
     return nodes.where(hit).orderBy("id").limit(1)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,7 +29,10 @@ def gate_status(raw: Column, cleaned: Column, exists: Column | None = None, leas
 
 
 def pick_best_file(files: DataFrame, priority: tuple = TEXT_PRIORITY, largest: bool = True, item: str = "item") -> DataFrame:
-    """Per item, of the files (name, size, pos) the one of the best ending, then size, then input order."""
+    """Per item, of the files (name, size, pos) the one of the best ending, then size, then input order.
+
+    Where none has a listed ending, the first one that is not mere metadata.
+    """
     low = F.lower("name")
     rank = F.lit(None).cast("int")
     for i, endings in reversed(list(enumerate(priority))):
@@ -39,9 +44,9 @@ def pick_best_file(files: DataFrame, priority: tuple = TEXT_PRIORITY, largest: b
     for s in SKIP:
         skip = skip | F.contains(low, F.lit(s))
     size = F.coalesce(F.col("size").try_cast("bigint"), F.lit(0))
-    ranked = files.where(~skip).withColumn("_rank", rank).where("_rank is not null")
-    w = Window.partitionBy(item).orderBy("_rank", size.desc() if largest else size.asc(), "pos")
-    return ranked.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_rank")
+    ranked = files.where(~skip).withColumn("_rank", rank).withColumn("_size", F.when(F.col("_rank").isNotNull(), size))
+    w = Window.partitionBy(item).orderBy(F.asc_nulls_last("_rank"), F.desc("_size") if largest else F.asc("_size"), "pos")
+    return ranked.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_rank", "_size")
 
 
 def first_usable(candidates: DataFrame, least_words: int = 500, key: str = "source") -> DataFrame:
@@ -101,6 +106,19 @@ def build_chunks(docs: DataFrame, chunker, id_col: str = "id", dedupe: str = "no
     return out
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a reliable checkpoint, so that a lost executor can't change what was read.
+
+    The folder is ``spark.checkpoint.dir``; only where one process runs everything a temporary one will do.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()
+
+
 def numbered_after(new: DataFrame, order: list[str], last_id: int = 0) -> DataFrame:
     """Serial ids from a stable order.
 
@@ -108,19 +126,21 @@ def numbered_after(new: DataFrame, order: list[str], last_id: int = 0) -> DataFr
     rows of the partitions before; only counts per partition meet in one place.
     """
     ranged = new.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    ranged = ranged.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
+    ranged = written(ranged)
     before = Window.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy(F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first")).select("_q", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))
     return ranged.join(starts, F.col("_p") == F.col("_q")).withColumn("id", F.col("_m") - F.col("_first") + F.col("_at") + last_id + 1).drop("_p", "_q", "_m", "_first", "_at")
 
 
 def hadith_chunks(rows: DataFrame, collection: str, least_chars: int = 30) -> DataFrame:
-    """Rows (hadiths: array of number, text, grades) to chunks; the index is counted before short ones go."""
+    """Rows (hadiths: array of number, text, grades; others are carried) to chunks; the index is counted before short ones go."""
     from lexquarry.functions.tagging import chain_strength_first
 
-    out = rows.select(F.posexplode("hadiths").alias("chunk_index", "h"))
+    others = [c for c in rows.columns if c != "hadiths"]
+    out = rows.select(*others, F.posexplode("hadiths").alias("chunk_index", "h"))
     text = F.trim("h.text")
     return out.where(F.length(text) >= least_chars).select(
+        *others,
         "chunk_index",
         F.concat(F.lit(f"[{collection}] Hadith "), F.col("h.hadithnumber").cast("string"), F.lit(": "), text).alias("content"),
         chain_strength_first(F.transform("h.grades", lambda g: g["grade"])).alias("chain_strength"),

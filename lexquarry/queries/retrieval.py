@@ -45,7 +45,7 @@ def search_with_metadata(spark, d):
 
 @query(
     "multi_query_topk",
-    """WITH q AS (SELECT id AS query_id, embedding AS qe FROM vecs WHERE id < 3),
+    """WITH q AS (SELECT id AS query_id, embedding AS qe FROM vecs WHERE id % 100 = 0),
     s AS (SELECT query_id, id, round(list_inner_product(embedding::DOUBLE[], qe::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(qe::DOUBLE[], qe::DOUBLE[]))), 6) AS similarity FROM vecs, q),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM s)
     SELECT query_id, id, similarity, rank FROM r WHERE rank <= 5""",
@@ -53,7 +53,7 @@ def search_with_metadata(spark, d):
 )
 def multi_query_topk(spark, d):
     v = role(spark, d, "vecs")
-    topics = v.where("id < 3").select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
+    topics = v.where("id % 100 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
     return R.multi_query_topk(v.select("id", "embedding"), topics, 5).select("query_id", "id", "similarity", "rank")
 
 
@@ -195,7 +195,7 @@ def research_packet(spark, d):
     return packets.research_packet(chunks, {p: Q for p, _, _ in packets.RESEARCH}).select("id", "similarity", "part")
 
 
-@query("merge_topics", """WITH q AS (SELECT id AS query_id, embedding AS qe FROM vecs WHERE id < 3),
+@query("merge_topics", """WITH q AS (SELECT id AS query_id, embedding AS qe FROM vecs WHERE id % 100 = 0),
     s AS (SELECT query_id, id, round(list_inner_product(embedding::DOUBLE[], qe::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(qe::DOUBLE[], qe::DOUBLE[]))), 6) AS similarity FROM vecs, q),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM s)
     SELECT id, max(similarity) AS similarity FROM r WHERE rank <= 5 GROUP BY id""", "vecs")
@@ -203,6 +203,24 @@ def merge_topics(spark, d):
     return R.merge_topics(multi_query_topk(spark, d))
 
 
+@query("account_types_filter", "SELECT id, source FROM docs WHERE id IN (SELECT chunk_id FROM meta WHERE account_type IN ('eyewitness', 'transmitted'))", "docs", "meta")
+def account_types_filter(spark, d):
+    return R.by_account_types(role(spark, d, "docs"), role(spark, d, "meta"), ["eyewitness", "transmitted"]).select("id", "source")
+
+
+@query(
+    "retrieval_gates",
+    """WITH q AS (SELECT id AS query_id, embedding AS qe FROM vecs WHERE id % 100 = 0),
+    s AS (SELECT query_id, id, round(list_inner_product(embedding::DOUBLE[], qe::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product(qe::DOUBLE[], qe::DOUBLE[]))), 6) AS similarity FROM vecs, q),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM s),
+    g AS (SELECT query_id, count(*) AS results, max(similarity) AS best, min(similarity) FILTER (rank <= 3) AS least_of_first FROM r WHERE rank <= 5 GROUP BY query_id)
+    SELECT *, results > 0 AS not_empty, results >= 5 AS enough, best > 0.7::DOUBLE AS best_is_near, results >= 3 AND least_of_first >= 0.65::DOUBLE AS first_are_near FROM g""",
+    "vecs",
+)
+def retrieval_gates(spark, d):
+    return R.gates(multi_query_topk(spark, d))
+
+
 @query("embed_hash")
 def embed_hash(spark, d):
     return embed(role(spark, d, "docs"), HashingEmbedder(64))
@@ -210,15 +228,7 @@ def embed_hash(spark, d):
 
 @query("vector_topk_ann")
 def vector_topk_ann(spark, d):
-    """Nearest rows by locality-sensitive hashing, for corpora where an exact scan is too dear."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.linalg import Vectors
-
-    v = role(spark, d, "vecs").select("id", array_to_vector("embedding").alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=1.0, numHashTables=4, seed=7).fit(v)
-    norm = sum(x * x for x in Q) ** 0.5
-    return model.approxNearestNeighbors(v, Vectors.dense([x / norm for x in Q]), 10).select("id", F.round("distCol", 6).alias("distance"))
+    return R.ann_topk(role(spark, d, "vecs"), Q, 10)
 
 
 @query("claim_presence_audit", """WITH c AS (SELECT p_partkey % 100 AS figure_id, p_size AS event_id FROM part), seen AS (SELECT DISTINCT l_suppkey % 100 AS figure_id, l_quantity::INT AS event_id FROM lineitem)

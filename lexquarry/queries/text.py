@@ -32,7 +32,7 @@ def _norm(x: str) -> str:
     return _strip(blanks)
 
 
-def _clean_sql(text: str, alpha: float | None, short: int, page: str | None, repeat: int | None, feeds: bool, indent: bool, exempt: int | None = None, period: bool = False) -> str:
+def _clean_sql(text: str, alpha: float | None, short: int, page: str | None, repeat: int | None, feeds: bool, indent: bool, exempt: int | None = None, period: bool = False, source: str = "documents") -> str:
     if feeds:
         text = rf"regexp_replace(replace({text}, chr(12), chr(10)), '(?m)^\s*\d{{1,4}}\s*$', '', 'g')"
     s = _strip("l")
@@ -51,7 +51,7 @@ def _clean_sql(text: str, alpha: float | None, short: int, page: str | None, rep
     shown = f"CASE WHEN {s} = '' THEN '' ELSE {'l' if indent else s} END"
     short_lines = rf"list_filter(list_transform(ls, lambda q: {_strip('q')}), lambda q: length(q) > 5 AND length(q) < 100)"
     rep = f"list_filter(list_distinct({short_lines}), lambda q: len(list_filter({short_lines}, lambda z: z = q)) >= {repeat})" if repeat else "[]"
-    return f"""WITH a AS (SELECT doc_id, string_split({text}, chr(10)) AS ls FROM documents), b AS (SELECT doc_id, ls, {rep} AS rep FROM a),
+    return f"""WITH a AS (SELECT doc_id, string_split({text}, chr(10)) AS ls FROM {source}), b AS (SELECT doc_id, ls, {rep} AS rep FROM a),
         c AS (SELECT doc_id, list_transform(list_filter(ls, lambda l: {keep}), lambda l: {shown}) AS k FROM b),
         e AS (SELECT doc_id, array_to_string(list_filter(k, lambda x, i: x <> '' OR (i > 1 AND k[i - 1] <> '')), chr(10)) AS t FROM c)
         SELECT doc_id, {_norm('t')} AS cleaned FROM e"""
@@ -108,7 +108,7 @@ def clean_pdf(spark, d):
     return _docs(spark, d).select("doc_id", T.clean_pdf(F.col("text")).alias("cleaned"))
 
 
-@query("clean_pdf_then_djvu")
+@query("clean_pdf_then_djvu", _clean_sql("cleaned", 0.4, 15, None, 30, True, True, source="(" + _clean_sql("text", None, 15, r"^\d+$", 30, False, False) + ")"))
 def clean_pdf_then_djvu(spark, d):
     return _docs(spark, d).select("doc_id", T.clean_pdf(F.col("text")).alias("text")).select("doc_id", T.clean_djvu(F.col("text")).alias("cleaned"))
 
@@ -125,7 +125,13 @@ _profile("sentence", _clean_sql("text", None, 15, r"^\d+$", 30, False, False, pe
 _profile("plain", _clean_sql("text", None, 0, r"^\d+$", 30, False, False))
 
 
-@query("clean_section")
+@query(
+    "clean_section",
+    rf"""WITH a AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: {_strip('l')}), lambda s: s <> '' AND NOT (regexp_matches(s, '(?i)^(?:[ivxlcdm]+|\d+)$') AND length(s) < 10)
+        AND NOT regexp_matches(s, '^\(\d+\)') AND NOT regexp_matches(s, '^[\d\W]+$')) AS ls FROM documents),
+        b AS (SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: regexp_matches(ls[i], '(?i)th'))[1] AS p FROM a)
+        SELECT doc_id, coalesce(array_to_string(CASE WHEN p IS NOT NULL THEN ls[p:] ELSE ls END, chr(10)), '') AS cleaned FROM b""",
+)
 def clean_section(spark, d):
     return _docs(spark, d).select("doc_id", T.clean_section(F.col("text"), "(?i)th").alias("cleaned"))
 
@@ -140,7 +146,11 @@ def strip_html(spark, d):
     return table(spark, d, "pages").select("page_id", T.strip_html(F.col("html")).alias("text"))
 
 
-@query("html_main_text")
+#: On these pages an article holds no dropped element and no other article.
+_ARTICLE = r"regexp_replace(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1), '(?s)<!--.*?-->|<[^>]*>', chr(10), 'g')"
+
+
+@query("html_main_text", rf"""SELECT page_id, array_to_string(list_filter(list_transform(string_split(replace(replace({_ARTICLE}, '&quot;', '"'), '&amp;', '&'), chr(10)), lambda l: {_strip('l')}), lambda l: l <> ''), chr(10)) AS text FROM pages""")
 def html_main_text(spark, d):
     return table(spark, d, "pages").select("page_id", readers.html_main_text(F.col("html")).alias("text"))
 
@@ -185,12 +195,31 @@ def chunk_translation(spark, d):
     return _docs(spark, d).select("doc_id", T.chunk_words(F.col("text"), 800, 0, 50).alias("chunks"))
 
 
-@query("chunk_sentences")
+def _count(x: str) -> str:
+    return rf"len(list_filter(regexp_split_to_array({x}, '\s+'), lambda q: q <> ''))"
+
+
+#: Chunk by chunk: one ends at the first sentence by which it holds 500 words, and the next one starts with the last
+#: sentences of at most 50 words together. cum[i + 1] is the number of words of the first i sentences.
+_CHUNKS = rf"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda q: q <> '') AS ws,
+        list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: {_strip('x')}), lambda x: x <> '') AS p FROM documents),
+    z AS (SELECT doc_id, ws, p, len(p) AS m, list_transform(p, lambda x: {_count('x')}) AS n FROM w),
+    y AS (SELECT doc_id, ws, p, m, [0] || list_transform(range(1, m + 1), lambda i: list_sum(n[1:i])::BIGINT) AS cum FROM z),
+    r AS (SELECT doc_id, 1::BIGINT AS f, 0::BIGINT AS e, 0 AS k, NULL::VARCHAR AS chunk FROM y WHERE NOT (m <= 3 AND len(ws) > 500)
+        UNION ALL
+        SELECT doc_id, CASE WHEN e2 IS NOT NULL THEN list_filter(range(f, e2 + 2), lambda s: cum[e2 + 1] - cum[s] <= 50)[1] END, e2, k + 1,
+            CASE WHEN e2 IS NOT NULL THEN array_to_string(p[f:e2], ' ') WHEN f <= m AND cum[m + 1] - cum[f] >= 100 THEN array_to_string(p[f:m], ' ') END
+        FROM (SELECT r.doc_id, r.f, r.k, y.p, y.m, y.cum, list_filter(range(r.e + 1, y.m + 1), lambda j: y.cum[j + 1] - y.cum[r.f] >= 500)[1] AS e2 FROM r JOIN y ON r.doc_id = y.doc_id WHERE r.f IS NOT NULL)),
+    chunked AS (SELECT doc_id, coalesce(list(chunk ORDER BY k) FILTER (WHERE chunk IS NOT NULL), []) AS chunks FROM r GROUP BY doc_id
+        UNION ALL SELECT doc_id, list_transform(list_filter(list_transform(range(0, len(ws), 450), lambda i: ws[i + 1:i + 500]), lambda x: len(x) >= 100), lambda x: array_to_string(x, ' ')) FROM y WHERE m <= 3 AND len(ws) > 500)"""
+
+
+@query("chunk_sentences", f"{_CHUNKS} SELECT doc_id, chunks FROM chunked")
 def chunk_sentences(spark, d):
     return _docs(spark, d).select("doc_id", T.chunk_sentences()(F.col("text")).alias("chunks"))
 
 
-@query("build_chunks")
+@query("build_chunks", f"{_CHUNKS} SELECT id, (i - 1)::INT AS chunk_index, chunks[i] AS content, {_count('chunks[i]')}::BIGINT AS word_count FROM (SELECT doc_id AS id, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM chunked)")
 def build_chunks(spark, d):
     return I.build_chunks(role(spark, d, "docs"), T.chunk_sentences())
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
@@ -105,25 +106,32 @@ def html_links(html, base: str, pattern: str = r"/en/[^\"']*\.html", most: int =
     return F.transform(F.slice(F.array_distinct(found), 1, most), lambda x: F.when(x.startswith("http"), x).otherwise(F.concat(F.lit(base), x)))
 
 
-def front_matter(files: DataFrame) -> DataFrame:
+def front_matter(files: DataFrame, sidecars: DataFrame | None = None) -> DataFrame:
     """(path, text) to (path, source, short_name, source_type, era, translator, reliability, body).
 
-    Missing keys come from the file name; a text without front matter is all body.
+    Missing keys come from the file name; a text without front matter is all body. Of a text with a
+    sidecar, a file of the same name that ends in .yaml, that alone is read and the whole text is body.
     """
     import yaml
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for path, text in zip(pdf["path"], pdf["text"]):
-                m = re.match(r"^---\n(.*?)\n---\n(.*)$", text or "", re.S)
-                meta = (yaml.safe_load(m[1]) if m else None) or {}
+            for path, text, side in zip(pdf["path"], pdf["text"], pdf["side"]):
+                m = None if side is not None else re.match(r"^---\n(.*?)\n---\n(.*)$", text or "", re.S)
+                meta = (yaml.safe_load(side) if side is not None else yaml.safe_load(m[1]) if m else None) or {}
                 stem = re.sub(r"\.[^.]*$", "", path.rsplit("/", 1)[-1])
                 era = meta.get("era") or []
                 rows.append((path, meta.get("source", stem.replace("_", " ").replace("-", " ").title()), meta.get("short_name", stem.lower()), meta.get("source_type", "secondary"), [era] if isinstance(era, str) else list(era), meta.get("translator"), meta.get("reliability"), m[2] if m else text or ""))
             yield pd.DataFrame(rows, columns=["path", "source", "short_name", "source_type", "era", "translator", "reliability", "body"])
 
-    return files.select("path", "text").mapInPandas(run, "path string, source string, short_name string, source_type string, era array<string>, translator string, reliability string, body string")
+    own = files.select("path", "text")
+    if sidecars is None:
+        own = own.withColumn("side", F.lit(None).cast("string"))
+    else:
+        side = sidecars.select(F.regexp_replace("path", r"\.yaml$", ".txt").alias("_path"), F.coalesce("text", F.lit("")).alias("side"))
+        own = own.join(side, F.col("path") == F.col("_path"), "left").drop("_path")
+    return own.mapInPandas(run, "path string, source string, short_name string, source_type string, era array<string>, translator string, reliability string, body string")
 
 
 def sunnah_bodies(rows: DataFrame, least: int = 20) -> DataFrame:
@@ -153,10 +161,11 @@ class PagedApi(DataSource):
     """Pages of a numbered API as rows (page, body); each partition reads on from its first page.
 
     Options: ``pages``, the number of pages, and ``per_task``. The fetcher is a picklable callable
-    page -> body or None, given to ``paged``; None ends a partition.
+    page -> body or None, given to ``paged``; None ends a partition. With 0 pages their number isn't
+    known: one partition follows the pages that ``next_of`` names (body -> next page or None).
     """
 
-    fetch = None
+    fetch = next_of = None
 
     @classmethod
     def name(cls) -> str:
@@ -166,17 +175,23 @@ class PagedApi(DataSource):
         return "page int, body string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _PagedReader(int(self.options["pages"]), int(self.options.get("per_task", "10")), type(self).fetch)
+        return _PagedReader(int(self.options["pages"]), int(self.options.get("per_task", "10")), type(self).fetch, type(self).next_of)
 
 
 class _PagedReader(DataSourceReader):
-    def __init__(self, pages: int, per_task: int, fetch):
-        self.pages, self.per_task, self.fetch = pages, per_task, fetch
+    def __init__(self, pages: int, per_task: int, fetch, next_of):
+        self.pages, self.per_task, self.fetch, self.next_of = pages, per_task, fetch, next_of
 
     def partitions(self) -> Sequence[InputPartition]:
+        if not self.pages:
+            return [_Pages(1)]
         return [_Pages(p) for p in range(1, self.pages + 1, self.per_task)]
 
     def read(self, partition: InputPartition):
+        page = partition.value
+        while not self.pages and page is not None and (body := self.fetch(page)) is not None:
+            yield (page, body)
+            page = self.next_of(body)
         for page in range(partition.value, min(partition.value + self.per_task, self.pages + 1)):
             body = self.fetch(page)
             if body is None:
@@ -184,7 +199,12 @@ class _PagedReader(DataSourceReader):
             yield (page, body)
 
 
-def paged(spark: SparkSession, fetch, pages: int, per_task: int = 10) -> DataFrame:
-    kind = type("PagedApiBound", (PagedApi,), {"fetch": staticmethod(fetch)})
+def next_page(body: str) -> int | None:
+    """What a body's ``pagination.next_page`` says."""
+    return (json.loads(body).get("pagination") or {}).get("next_page")
+
+
+def paged(spark: SparkSession, fetch, pages: int = 0, per_task: int = 10, next_of=next_page) -> DataFrame:
+    kind = type("PagedApiBound", (PagedApi,), {"fetch": staticmethod(fetch), "next_of": staticmethod(next_of)})
     spark.dataSource.register(kind)
     return spark.read.format("paged_api").option("pages", pages).option("per_task", per_task).load()

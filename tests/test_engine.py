@@ -103,7 +103,8 @@ def test_search_modes(spark):
     out, mode = packets.search_with_fallback(chunks, meta, e, "red apple", 5)
     assert mode == "hybrid" and {r["id"] for r in out.collect()} == {0, 1}
     assert packets.search_with_fallback(chunks, meta, e, "!?...", 5)[1] == "vector"
-    assert packets.search_with_fallback(chunks, meta, e, "ab", 5) == (None, "none")
+    with pytest.raises(ValueError):
+        packets.search_with_fallback(chunks, meta, e, "ab", 5)
 
 
 def test_fallback_only_below_the_floor(spark):
