@@ -154,8 +154,11 @@ def _same_bytes(docs: DataFrame, pairs: DataFrame, n_pairs: int, id_col: str, te
     key = lambda i, digest: F.concat(F.coalesce(i.cast("string"), F.lit("-")).cast("binary"), digest)
     wanted = pairs.select("digest", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("id")), F.struct(F.lit(1).alias("side"), F.col("b").alias("id")))).alias("x")).select("digest", "x.side", key(F.col("x.id"), F.col("digest")).alias("_want"), F.coalesce(F.col("x.id").cast("string"), F.lit("-")).alias("key"))
     texts = docs.select(docs[id_col].alias("_have"), docs[text_col].alias("_text"))
+    own = F.coalesce(F.col("_have").cast("string"), F.lit("-"))
     if 2 * n_pairs > BROADCAST_ROWS:
-        texts = among(texts, F.coalesce(F.col("_have").cast("string"), F.lit("-")), wanted)
+        texts = among(texts, own, wanted)
+    else:
+        texts = texts.join(F.broadcast(wanted.select(F.col("key").alias("_k")).distinct()), own == F.col("_k"), "left_semi")
     texts = texts.select("_have", normalised(F.col("_text")).alias("norm"))
     texts = texts.select(key(F.col("_have"), F.unhex(F.sha2("norm", 256))).alias("_key"), "norm")
     found = texts.join(small_or_shuffled(wanted, 2 * n_pairs), F.col("_key") == F.col("_want"))
