@@ -31,7 +31,9 @@ def test_every_prefix_and_every_budget(bpe):
 def test_documents_against_the_library(spark, documents, bpe):
     lib = Tokenizer.from_file(bpe)
     texts = {r["doc_id"]: r["text"] for r in documents.select("doc_id", "text").collect()}
-    for r in token_counts(documents, bpe).collect():
+    rows = token_counts(documents.coalesce(1), bpe).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
         n = len(lib.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
         assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len(texts[r["doc_id"]].encode()), n > 1024)
         assert r["limit_chars"] == len(texts[r["doc_id"]]) or n > 1024
