@@ -16,13 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and tables between jobs, which driver and executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``; a temporary one is set only where
-    that is unset and one process runs everything, as in tests.
+    It is the session's ``spark.checkpoint.dir``; a temporary one is set only where that is unset and
+    one process runs everything, as in tests.
     """
-    spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
@@ -30,6 +29,12 @@ def materialise(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the cluster's shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexquarry.llm import ann, unigram_sp
+from lexquarry.llm import ann, merkle, unigram_sp
 from lexquarry.llm._util import table
 from lexquarry.llm.exact_dedup import exact_dedup
 from lexquarry.llm.kn_quality import quality
@@ -57,6 +57,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
