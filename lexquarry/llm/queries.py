@@ -9,6 +9,7 @@ from lexquarry.llm import ann, merkle, unigram_sp
 from lexquarry.llm._util import table
 from lexquarry.llm.exact_dedup import exact_dedup
 from lexquarry.llm.kn_quality import quality
+from lexquarry.llm.licenses import scan_licenses
 from lexquarry.llm.line_dedup import _BLANKS, _ENTITIES, _STEPS, LEAST_PAGES, RATIO, line_dedup
 from lexquarry.llm.mixing import mix
 from lexquarry.llm.pii import find_pii
@@ -61,6 +62,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle(table(spark, sf_dir, "documents"))
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("places")
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
