@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm import ann, merkle, unigram_sp
 from lexquarry.llm._util import table
+from lexquarry.llm.alignment import align
 from lexquarry.llm.exact_dedup import exact_dedup
 from lexquarry.llm.kn_quality import quality
 from lexquarry.llm.licenses import scan_licenses
@@ -66,6 +67,10 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("places")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
