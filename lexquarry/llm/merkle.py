@@ -147,7 +147,7 @@ def merkle(docs: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc_i
     end = last_nodes(over).first()
     root = F.lit(end["digest"] if end else None).cast("string")
     start = spark.range(1).select(F.lit(0).alias("grp"), F.array().cast("array<struct<left:string,right:string>>").alias("path"))
-    tops = proofs(over, start).select(F.col("name").alias("grp"), F.col("digest").alias("subroot"), "path")
+    tops = materialise(proofs(over, start).select(F.col("name").alias("grp"), F.col("digest").alias("subroot"), "path"))
     out = proofs(tree, tops)
     folded = fold(F.coalesce("changed", "digest"), F.col("path"))
     proof = F.sha2(F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), ""), 256)
