@@ -28,16 +28,25 @@ def test_entry(spark):
     assert df.columns == ["id", "era", "source", "similarity", "account_type", "chain_strength", "conflict_flag"] and df.count() == 10
 
 
-def test_imports_without_the_training_folder(tmp_path):
-    """The engine stands alone when the training-data folder and the pipeline are gone."""
-    import os
+def _without(root, to, *gone):
+    """A copy of everything in the repository but data, history and the folders or files named."""
     import shutil
+
+    gone = {f"{root}/{g}" for g in gone}
+    shutil.copytree(root, to, ignore=lambda d, names: [n for n in names if f"{d}/{n}" in gone or n in (".git", "__pycache__", ".pytest_cache")])
+
+
+@pytest.mark.parametrize("gone", [("lexquarry/llm", "tests/llm"), ("lexquarry/llm", "tests/llm", "corpus_pipeline.py")])
+def test_stands_alone_without_the_training_folders(tmp_path, gone):
+    """The engine imports and its own tests run when the training-data folders are gone, with or without the pipeline's file."""
+    import os
     import subprocess
     import sys
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    shutil.copytree(f"{root}/lexquarry", tmp_path / "lexquarry", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
-    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(k.startswith('op') for k in q if k[2:3].isdigit()); e.oracle_sql()"
-    env = {**os.environ, "PYTHONPATH": str(tmp_path)}
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True)
+    _without(root, tmp_path / "copy", *gone)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and 'pipeline' not in q and not any(k.startswith('op') for k in q if k[2:3].isdigit()); e.oracle_sql()"
+    env = {**os.environ, "PYTHONPATH": str(tmp_path / "copy")}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", env=env, check=True)
+    found = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only"], cwd=tmp_path / "copy", env=env, capture_output=True, text=True)
+    assert found.returncode == 0, found.stdout[-2000:]
