@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -106,16 +106,22 @@ def build_chunks(docs: DataFrame, chunker, id_col: str = "id", dedupe: str = "no
     return out
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The frame as a reliable checkpoint, so that a lost executor can't change what was read.
-
-    The folder is ``spark.checkpoint.dir``; only where one process runs everything a temporary one will do.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; only where one process runs everything a temporary one will do."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a reliable checkpoint, so that a lost executor can't change what was read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

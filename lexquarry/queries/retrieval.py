@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from lexquarry.operators import fulltext
 from lexquarry.operators import retrieval as R
+from lexquarry.operators.ingest import shared_folder
 from lexquarry.plans import packets
 from lexquarry.providers import HashingEmbedder, embed
 from lexquarry.queries._base import query, role, table
@@ -83,6 +87,25 @@ def fts_topk(spark, d):
     return R.fts_topk(role(spark, d, "docs"), WORDS, 20)
 
 
+#: Passages are the queries: those of every tenth number.
+_PASSAGES = r"""q AS (SELECT item_id AS query_id, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS ts FROM benchmark WHERE item_id % 10 = 0),
+    w AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents),
+    dl AS (SELECT id, coalesce(len(ws), 0) AS dl FROM w), st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
+    qt AS (SELECT query_id, unnest(ts) AS t FROM q),
+    tf AS (SELECT id, t, count(*) AS tf FROM (SELECT id, unnest(ws) AS t FROM w) WHERE t IN (SELECT t FROM qt) GROUP BY id, t),
+    df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+    bm AS (SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))), 6) AS score FROM qt JOIN tf USING (t) JOIN df USING (t) JOIN dl USING (id), st GROUP BY query_id, id)"""
+
+
+@query("fts_index_topk", f"WITH {_PASSAGES} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM bm) WHERE rank <= 10")
+def fts_index_topk(spark, d):
+    """Writes the index of all documents and searches it for passages."""
+    folder = f"{shared_folder(spark)}/fulltext-{uuid.uuid4().hex}"
+    fulltext.write_index(role(spark, d, "docs"), folder)
+    passages = table(spark, d, "benchmark").where("item_id % 10 = 0").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return fulltext.Index(spark, folder).search(passages, 10)[0]
+
+
 @query("postings", r"SELECT id, t AS term, count(*) AS tf, dl FROM (SELECT doc_id AS id, len(ws) AS dl, unnest(ws) AS t FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents)) GROUP BY id, t, dl")
 def postings(spark, d):
     return R.postings(role(spark, d, "docs")).select("id", "term", "tf", F.col("dl").cast("long").alias("dl"))
