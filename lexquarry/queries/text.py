@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexquarry.functions import automaton
 from lexquarry.functions import tagging as G
 from lexquarry.functions import text as T
 from lexquarry.operators import ingest as I
@@ -240,6 +241,17 @@ def extract_known_names(spark, d):
     return _docs(spark, d).select("doc_id", G.extract_entities(F.col("text")).alias("figures"))
 
 
+_REGISTRY = "names AS (SELECT DISTINCT n FROM (SELECT concat(p_name, ' ', p_brand) AS n FROM part UNION ALL SELECT unnest(regexp_extract_all(text, '[a-z]{7,}')) AS n FROM benchmark))"
+
+
+@query("tag_registry_names", f"WITH {_REGISTRY} SELECT doc_id, list(n ORDER BY n) FILTER (contains(lower(text), lower(n))) AS figures FROM documents, names GROUP BY doc_id")
+def tag_registry_names(spark, d):
+    """About two thousand names: one for each kind of part, and the long words of the benchmark."""
+    words = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{7,}"), F.lit(0))).alias("name"))
+    names = table(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("name")).unionByName(words)
+    return automaton.tag_names(_docs(spark, d), names, "doc_id", "text")
+
+
 @query("extract_entities_ext", f"SELECT doc_id, list_sort(list_filter({_N_SQL} || ['der', 'zu'], lambda n: contains(lower(text), lower(n)))) AS figures FROM documents")
 def extract_entities_ext(spark, d):
     return _docs(spark, d).select("doc_id", G.extract_entities_ext(F.col("text"), ["der", "zu"], tuple(NAMES)).alias("figures"))
