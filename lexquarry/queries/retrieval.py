@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lexquarry.operators import fulltext
+from lexquarry.operators import fulltext, neighbour_graph
 from lexquarry.operators import retrieval as R
 from lexquarry.operators.ingest import shared_folder
 from lexquarry.plans import packets
@@ -254,6 +254,16 @@ def vector_topk_ann(spark, d):
     return R.ann_topk(role(spark, d, "vecs"), Q, 10)
 
 
+@query("vector_topk_graph")
+def vector_topk_graph(spark, d):
+    """Writes the neighbour graph of all rows and asks it for those whose id is divisible by 100."""
+    folder = f"{shared_folder(spark)}/graph-{uuid.uuid4().hex}"
+    v = role(spark, d, "vecs")
+    neighbour_graph.build_graph(v).write.parquet(folder)
+    queries = v.where("id % 100 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
+    return neighbour_graph.graph_topk(spark.read.parquet(folder), queries, 10)[0]
+
+
 @query("claim_presence_audit", """WITH c AS (SELECT p_partkey % 100 AS figure_id, p_size AS event_id FROM part), seen AS (SELECT DISTINCT l_suppkey % 100 AS figure_id, l_quantity::INT AS event_id FROM lineitem)
     SELECT c.figure_id, c.event_id, CASE WHEN s.figure_id IS NOT NULL THEN 'CONFIRMED' WHEN c.figure_id IN (SELECT figure_id FROM seen) THEN 'PARTIAL' ELSE 'NOT FOUND' END AS verdict FROM c LEFT JOIN seen s USING (figure_id, event_id)""")
 def claim_presence_audit(spark, d):
