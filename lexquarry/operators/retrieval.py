@@ -250,13 +250,3 @@ def claim_presence(claims: DataFrame, meta: DataFrame) -> DataFrame:
     one = seen.select("figure_id").distinct().withColumn("one", F.lit(True))
     return claims.join(both, ["figure_id", "event_id"], "left").join(one, "figure_id", "left").withColumn("verdict", F.when(F.col("both"), "CONFIRMED").when(F.col("one"), "PARTIAL").otherwise("NOT FOUND")).drop("both", "one")
 
-
-def story_overlap(stories: DataFrame) -> DataFrame:
-    """Pairs of stories (id, figure_ids, date_start, date_end) that share a figure and whose dates overlap.
-
-    An equi-join on the figure bounds the pairs by those that share one.
-    """
-    each = stories.select("id", "date_start", "date_end", F.explode(F.array_distinct("figure_ids")).alias("figure"))
-    a, b = each.alias("a"), each.alias("b")
-    hit = (F.col("a.figure") == F.col("b.figure")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.date_start") <= F.col("b.date_end")) & (F.col("b.date_start") <= F.col("a.date_end"))
-    return a.join(b, hit).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()

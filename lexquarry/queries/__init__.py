@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexquarry.queries import _base, catalog, graph, ingest, retrieval, text, usage  # noqa: F401  registration
+from lexquarry.queries import _base, catalog, graph, ingest, retrieval, stories, text, usage  # noqa: F401  registration
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -270,10 +270,3 @@ def claim_presence_audit(spark, d):
     claims = table(spark, d, "part").selectExpr("p_partkey % 100 AS figure_id", "p_size AS event_id")
     meta = table(spark, d, "lineitem").selectExpr("array(l_suppkey % 100) AS figure_ids", "cast(l_quantity AS int) AS event_id")
     return R.claim_presence(claims, meta).select("figure_id", "event_id", "verdict")
-
-
-@query("story_overlap", """WITH s AS (SELECT o_custkey AS id, list(DISTINCT o_orderkey // 40) AS f, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders GROUP BY 1), e AS (SELECT id, a, b, unnest(f) AS f FROM s)
-    SELECT DISTINCT x.id AS id_a, y.id AS id_b FROM e x JOIN e y ON x.f = y.f AND x.id < y.id AND x.a <= y.b AND y.a <= x.b""")
-def story_overlap(spark, d):
-    s = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.expr("o_orderkey div 40")).alias("figure_ids"), F.min("o_orderdate").alias("date_start"), F.max("o_orderdate").alias("date_end"))
-    return R.story_overlap(s)
