@@ -30,6 +30,7 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 from lexquarry.llm._util import materialise
 
 #: Characters of a batch, remembered parts and their length, characters that are encoded in one call.
-BATCH_CHARS, MEMO, MEMO_CHARS, CALL_CHARS = 4_000_000, 400_000, 64, 200_000
+BATCH_CHARS, MEMO, MEMO_CHARS, CALL_CHARS = 4_000_000, 600_000, 64, 200_000
 _MARK = "▁"
 _PART = re.compile(r"(?<=\S) (?=\S)")
 _TWO = re.compile(r"\s\s")
@@ -76,7 +77,9 @@ class Aligner:
             spec = json.load(f)
         cutter = spec.get("pre_tokenizer") or {}
         self.in_parts = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space") and not spec.get("normalizer") and not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in pieces)
+        self.said_a, self.said_b = (list(map(str, range(len(t)))) for t in (self.bytes_a, self.bytes_b))
         self._memo: dict[str, tuple] = {}
+        self._missed = 0
         self._spans: dict[bytes, tuple[int, int]] = {}
 
     def parts(self, text: str) -> list[str]:
@@ -87,46 +90,46 @@ class Aligner:
             return _PART.split(text)
         return text.split(" ")
 
-    def _encode(self, parts: list[str]) -> Iterator[tuple[int, int, int, str, bytes] | None]:
-        """Of each part with a space before it (n_a, n_b, n_groups, groups, linked pairs), or None if bytes are not given back. Parts follow each other by single spaces."""
+    def _encode(self, parts: list[str]) -> list[tuple[int, int, str, bytes] | None]:
+        """Of each part with a space before it (n_a, n_b, groups, linked pairs), or None if bytes are not given back. Parts follow each other by single spaces."""
         text = " ".join(parts)
         raw = (" " + text).encode()
         ids_a, ids_b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
-            if len(parts) == 1:
-                yield None
-            else:
-                for p in parts:
-                    yield from self._encode([p])
-            return
+            return [None] if len(parts) == 1 else [self._encode([p])[0] for p in parts]
+        said_a, said_b = list(map(self.said_a.__getitem__, ids_a)), list(map(self.said_b.__getitem__, ids_b))
+        ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         labels = np.zeros(len(raw), np.uint8)
         labels[np.cumsum(self.size_a[ids_a]) - 1] |= _A
         labels[np.cumsum(self.size_b[ids_b]) - 1] |= _B
-        a = b = at = 0
-        ends = np.cumsum([len(p.encode()) + 1 for p in parts]).tolist()
-        known, groups, pairs, part = self._spans, [], [], 0
-        first_a = first_b = 0
-        for span in _SPAN.findall(labels.tobytes()):
-            n = known.get(span)
-            if n is None:
-                if len(known) > MEMO:
-                    known.clear()
-                n = known[span] = (span.count(b"\x01") + 1, span.count(b"\x02") + 1)
-            n_a, n_b = n
-            if n_a == n_b == 1:
-                groups.append(f"{ids_a[a]}|{ids_b[b]}")
+        spans = _SPAN.findall(labels.tobytes())
+        known = self._spans
+        for span in set(spans).difference(known):
+            known[span] = (span.count(b"\x01") + 1, span.count(b"\x02") + 1)
+        counts = list(map(known.__getitem__, spans))
+        if len(known) > MEMO:
+            known.clear()
+        groups, a, b = [], 0, 0
+        for n_a, n_b in counts:
+            if n_a == 1:
+                groups.append(said_a[a] + "|" + (said_b[b] if n_b == 1 else ",".join(said_b[b : b + n_b])))
             else:
-                groups.append(",".join(map(str, ids_a[a : a + n_a])) + "|" + ",".join(map(str, ids_b[b : b + n_b])))
-            a, b, at = a + n_a, b + n_b, at + len(span)
-            pairs.append(ids_a[a - 1] << 32 | ids_b[b - 1])
-            if at == ends[part]:
-                yield a - first_a, b - first_b, len(groups), ";".join(groups), np.array(pairs, np.int64).tobytes()
-                groups, pairs, first_a, first_b, part = [], [], a, b, part + 1
+                groups.append(",".join(said_a[a : a + n_a]) + "|" + (said_b[b] if n_b == 1 else ",".join(said_b[b : b + n_b])))
+            a, b = a + n_a, b + n_b
+        to_a, to_b = np.cumsum(np.array(counts, np.int64), axis=0).T
+        pairs = (ids_a[to_a - 1] << 32 | ids_b[to_b - 1]).tobytes()
+        # a part's last byte has a both-label, so each part has whole groups
+        last = np.searchsorted(np.cumsum([len(x) for x in spans]), np.cumsum([len(p.encode()) + 1 for p in parts]))
+        n_a, n_b = (np.diff(to[last], prepend=0).tolist() for to in (to_a, to_b))
+        ends = (last + 1).tolist()
+        return [(x, y, ";".join(groups[i:j]), pairs[8 * i : 8 * j]) for x, y, i, j in zip(n_a, n_b, [0, *ends], ends)]
 
     def entries(self, parts: Iterable[str]) -> dict[str, tuple | None]:
         """What each distinct part becomes."""
         memo = self._memo
-        out = {p: memo.get(p) for p in parts}
+        out = dict.fromkeys(parts)
+        for p in out:
+            out[p] = memo.get(p)
         new = [p for p, e in out.items() if e is None]
         inner = [p for p in new if p and len(p) <= CALL_CHARS and not (p[0].isspace() or p[-1].isspace() or _MARK in p)] if self.in_parts else []
         i = 0
@@ -138,15 +141,18 @@ class Aligner:
             out.update(zip(inner[i:j], self._encode(inner[i:j]), strict=True))
             i = j
         for p in set(new).difference(inner):
-            out[p] = next(self._encode([p]))
-        if len(memo) + len(new) > MEMO:  # those of the last batches stay
-            for p in list(memo)[: len(memo) // 2]:
-                del memo[p]
-        memo.update((p, e) for p in new[: MEMO // 2] if len(p) <= MEMO_CHARS and (e := out[p]) is not None)
+            out[p] = self._encode([p])[0]
+        if len(memo) < MEMO:
+            memo.update((p, e) for p in new[: MEMO - len(memo)] if len(p) <= MEMO_CHARS and (e := out[p]) is not None)
+        else:  # a full memo takes no more until it has missed several times its size
+            self._missed += len(new)
+            if self._missed > 8 * MEMO:
+                memo.clear()
+                self._missed = 0
         return out
 
     def batch(self, texts: list[str | None]) -> tuple[list[tuple[int, int, int, str, np.ndarray]], np.ndarray, np.ndarray]:
-        """Per text (n_a, n_b, n_groups, digest of the groups, numbers of its parts); of each part of the batch how many links it has, and their pairs."""
+        """Per text (n_a, n_b, n_groups, digest of the groups, numbers of its parts); of each part of the batch how many links it has, and their pairs. Frequent parts have small numbers."""
         cut = [self.parts(t) if t else [] for t in texts]
         found = self.entries(chain.from_iterable(cut))
         if None in found.values():  # a part that isn't given back: its texts are encoded whole
@@ -160,15 +166,30 @@ class Aligner:
                     cut[i] = []
             used = set(chain.from_iterable(cut))
             found = {p: e for p, e in found.items() if p in used}
-        number = {p: k for k, p in enumerate(found)}
-        sizes = np.array([e[:3] for e in found.values()], np.int64).reshape(-1, 3)
-        strings = {p: e[3] for p, e in found.items()}
+        number = dict(zip(found, range(len(found))))
+        lengths = list(map(len, cut))
+        used = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int32, sum(lengths))
+        order = np.argsort(-np.bincount(used, minlength=len(found)), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        values = list(found.values())
+        sizes = np.array([(e[0], e[1], len(e[3]) >> 3) for e in values], np.int64).reshape(-1, 3)
+        total = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(sizes[used], axis=0)])
+        ends = np.cumsum(lengths)
+        per_doc = (total[ends] - total[ends - lengths]).tolist() if lengths else []
+        used = place[used]
+        strings = {p: e[2] for p, e in found.items()}
         docs = []
-        for ps in cut:
-            own = np.fromiter(map(number.__getitem__, ps), np.int32, len(ps))
+        for ps, n, j in zip(cut, per_doc, ends.tolist()):
             digest = hashlib.sha256(";".join(map(strings.__getitem__, ps)).encode()).hexdigest() if ps else ""
-            docs.append((*sizes[own].sum(axis=0).tolist(), digest, own))
-        return docs, sizes[:, 2], np.frombuffer(b"".join(e[4] for e in found.values()), np.int64)
+            docs.append((*n, digest, used[j - len(ps) : j]))
+        return docs, sizes[order, 2], np.frombuffer(b"".join([values[k][3] for k in order.tolist()]), np.int64)
+
+
+@lru_cache(maxsize=1)
+def _aligner(path_a: str, path_b: str) -> Aligner:
+    """One for all tasks of a worker."""
+    return Aligner(path_a, path_b)
 
 
 def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -182,8 +203,10 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-_ROW = "batch long, kind string, n_a long, n_b long, n_groups long, groups_sha256 string, parts array<int>, links array<int>, linked array<long>, pairs array<long>, times array<long>"
-_LONGS = pa.list_(pa.int64())
+#: Numbers of parts below _NEAR take two bytes in ``near``, the others four in ``far``.
+_NEAR = 1 << 16
+_ROW = "batch long, kind string, n_a long, n_b long, n_groups long, groups_sha256 string, near binary, far binary, links array<int>, linked array<long>, pairs array<long>, times array<long>"
+_INTS, _LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
 
 
 def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,27 +214,25 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
-        schema = None
+        aligner = _aligner(path_a, path_b)
         number = TaskContext.get().partitionId() << 32
         for rb in batches:
             texts = rb.column(1).to_pylist()
-            if schema is None:
-                schema = pa.schema([("id", rb.column(0).type), ("batch", pa.int64()), ("kind", pa.string()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("groups_sha256", pa.string()), ("parts", pa.list_(pa.int32())), ("links", pa.list_(pa.int32())), ("linked", _LONGS), ("pairs", _LONGS), ("times", _LONGS)])
+            long = pa.int64()
+            schema = pa.schema([("id", rb.column(0).type), ("batch", long), ("kind", pa.string()), ("n_a", long), ("n_b", long), ("n_groups", long), ("groups_sha256", pa.string()), ("near", pa.binary()), ("far", pa.binary()), ("links", _INTS), ("linked", _LONGS), ("pairs", _LONGS), ("times", _LONGS)])
+            none = lambda n, first, end: [pa.nulls(n, f.type) for f in list(schema)[first:end]]  # noqa: E731, B023
             for i, j in _slices([len(t or "") for t in texts]):
                 found, links, linked = aligner.batch(texts[i:j])
                 number += 1
-                used = np.concatenate([d[4] for d in found]) if found else np.zeros(0, np.int32)
-                times = np.repeat(np.bincount(used, minlength=len(links)), links)
-                pairs, at = np.unique(linked, return_inverse=True)
-                times = np.bincount(at, times, len(pairs)).astype(np.int64)
                 n, ids = j - i, rb.column(0).slice(i, j - i)
-                offsets = np.cumsum([0, *[len(d[4]) for d in found]])
-                none = lambda t: pa.nulls(n, t)
-                yield pa.RecordBatch.from_arrays([ids, pa.array([number] * n), pa.array(["doc"] * n), *[pa.array([d[k] for d in found], pa.int64()) for k in range(3)], pa.array([d[3] for d in found]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(used, pa.int32())), none(pa.list_(pa.int32())), *[none(_LONGS)] * 3], schema=schema)
-                if len(pairs):
-                    one = lambda x: pa.array([x], schema.field("links").type if x.dtype == np.int32 else _LONGS)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, ids.type), pa.array([number]), pa.array(["batch"]), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.int32())), one(links.astype(np.int32)), one(linked), one(pairs), one(times)], schema=schema)
+                own = [d[4] for d in found]
+                near, far = ([x[x < _NEAR].astype("<u2").tobytes() for x in own], [x[x >= _NEAR].astype("<i4").tobytes() for x in own])
+                yield pa.RecordBatch.from_arrays([ids, pa.array([number] * n), pa.array(["doc"] * n), *[pa.array([d[k] for d in found], long) for k in range(3)], pa.array([d[3] for d in found], pa.string()), pa.array(near, pa.binary()), pa.array(far, pa.binary()), *none(n, 9, 13)], schema=schema)
+                if len(linked):
+                    times = np.repeat(np.bincount(np.concatenate(own), minlength=len(links)), links)
+                    pairs, at = np.unique(linked, return_inverse=True)
+                    times = np.bincount(at, times, len(pairs)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([*none(1, 0, 1), pa.array([number]), pa.array(["batch"]), *none(1, 3, 9), pa.array([links.astype(np.int32)], _INTS), *[pa.array([x], _LONGS) for x in (linked, pairs, times)]], schema=schema)
 
     out = T.StructType([T.StructField("id", kind), *T._parse_datatype_string(_ROW).fields])
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(step, out)
@@ -237,7 +258,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         """Counts of pairs to parts of the batch, and of parts to documents."""
         batch = left.filter(pa.compute.equal(left["kind"], "batch"))
         own = left.filter(pa.compute.equal(left["kind"], "doc"))
-        parts = own["parts"].combine_chunks()
         sums = np.zeros((2, 0), np.int64)
         if batch.num_rows:
             links, linked = (batch[c].combine_chunks().flatten().to_numpy() for c in ("links", "linked"))
@@ -246,11 +266,15 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
             at = order[np.searchsorted(pair, linked, sorter=order)]
             ends = np.cumsum(links)
             sums = np.stack([np.diff(np.r_[0, np.cumsum(x[at].astype(np.int64))[ends - 1]]) for x in (best, count)])
-        n = pa.compute.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-        used = parts.flatten().to_numpy()
-        ends = np.cumsum(n)
-        total = [np.r_[0, np.cumsum(x[used])] for x in sums] if len(used) else [np.zeros(1, np.int64)] * 2
-        n_best, count_sum = (t[ends] - t[ends - n] for t in total)
+        n_best, count_sum = np.zeros((2, own.num_rows), np.int64)
+        for column, kind, width in (("near", "<u2", 2), ("far", "<i4", 4)):
+            cells = own[column].to_pylist()
+            used = np.frombuffer(b"".join(cells), kind)
+            n = np.array([len(c) // width for c in cells], np.int64)
+            ends = np.cumsum(n)
+            for to, x in zip((n_best, count_sum), sums):
+                total = np.r_[0, np.cumsum(x[used])]
+                to += total[ends] - total[ends - n]
         columns = [own["id"], own["n_a"], own["n_b"], own["n_groups"], own["n_groups"], pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()), own["groups_sha256"]]
         return pa.table(dict(zip(out.names, columns)))
 
