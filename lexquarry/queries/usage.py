@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lexquarry.functions import tagging as G
 from lexquarry.operators import usage as U
+from lexquarry.operators.ingest import shared_folder
 from lexquarry.queries._base import query, role, table
+from lexquarry.streaming import usage as stream
 
 
 @query("monthly_usage", "SELECT api_key, endpoint, date_trunc('month', created_at)::TIMESTAMP AS month, count(*) AS used FROM log GROUP BY 1, 2, 3", "log")
@@ -24,6 +28,23 @@ def quota_decisions(spark, d):
     return U.quota_decisions(role(spark, d, "log"), 40).select("id", "api_key", "accepted")
 
 
+@query("quota_stream", "SELECT api_key, month, least(n, 40) AS accepted, greatest(n - 40, 0) AS rejected FROM (SELECT api_key, year(created_at) * 12 + month(created_at) AS month, count(*) AS n FROM log GROUP BY 1, 2)", "log")
+def quota_stream(spark, d):
+    """Events dealt to eight files whatever their time, replayed file by file: the sums of what was decided at each arrival."""
+    folder = f"{shared_folder(spark)}/quota-{uuid.uuid4().hex}"
+    log = role(spark, d, "log").select("id", "api_key", F.col("created_at").cast("timestamp").alias("created_at"))
+    log.repartition(8, "id").drop("id").write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema("api_key bigint, created_at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    before = spark.conf.get(stream.STATE_STORE[0], None)
+    spark.conf.set(*stream.STATE_STORE)
+    try:
+        decided = stream.quota_decisions(arriving, 40, key="api_key", late="1000 days")
+        decided.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(stream.STATE_STORE[0], before) if before else spark.conf.unset(stream.STATE_STORE[0])
+    return spark.read.parquet(f"{folder}/out").groupBy("api_key", "month").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+
+
 @query("rate_limit_violations", "SELECT api_key, time_bucket(INTERVAL 60 MINUTES, created_at) AS window_start, count(*) AS hits FROM log GROUP BY 1, 2 HAVING count(*) > 1", "log")
 def rate_limit_violations(spark, d):
     return U.rate_limit_violations(role(spark, d, "log"), 1, minutes=60)

@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 
 def windowed_usage(events: DataFrame, key: str = "api_key", ts: str = "created_at", window: str = "1 day", late: str = "1 hour") -> DataFrame:
@@ -33,22 +34,62 @@ def rate_limit_violations(events: DataFrame, limit: int, key: str = "api_key", t
     return windowed_usage(events, key, ts, window, late).where(F.col("used") > limit)
 
 
-def quota_decisions(events: DataFrame, limit: int, key: str = "user_id", ts: str = "created_at") -> DataFrame:
-    """(key, month, accepted, rejected) per arrival of events: the monthly counter of each key as state."""
+class _MonthlyQuota(StatefulProcessor):
+    """A counter for each open month of a key; a timer at the month's end closes it."""
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        month, used = state.get if state.exists else (0, 0)
-        counts: dict[int, list[int]] = {}
-        for pdf in batches:
-            t = pdf[ts].sort_values()
-            for m in (t.dt.year * 12 + t.dt.month):
-                if m > month:
-                    month, used = int(m), 0
-                ok = used < limit
-                used += ok
-                counts.setdefault(month, [0, 0])[0 if ok else 1] += 1
-        state.update((month, used))
-        yield pd.DataFrame([(k[0], m, a, r) for m, (a, r) in counts.items()], columns=[key, "month", "accepted", "rejected"])
+    def __init__(self, key: str, ts: str, limit: int):
+        self.key, self.ts, self.limit = key, ts, limit
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.months = handle.getMapState("months", "month int", "accepted int")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        arrived: dict[int, int] = {}
+        for pdf in rows:
+            for m, n in (pdf[self.ts].dt.year * 12 + pdf[self.ts].dt.month).value_counts().items():
+                arrived[int(m)] = arrived.get(int(m), 0) + int(n)
+        out, passed = [], timerValues.getCurrentWatermarkInMs()
+        for m, n in sorted(arrived.items()):
+            if _month_end(m) <= passed:
+                continue
+            used = self.months.getValue((m,))[0] if self.months.containsKey((m,)) else None
+            if used is None:
+                self.handle.registerTimer(_month_end(m))
+            taken = min(n, max(0, self.limit - (used or 0)))
+            self.months.updateValue((m,), ((used or 0) + taken,))
+            out.append((key[0], m, taken, n - taken))
+        keys, months, taken, refused = zip(*out) if out else ((), (), (), ())
+        yield pd.DataFrame({self.key: pd.Series(keys, dtype=object), "month": months, "accepted": taken, "rejected": refused})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        for (m,) in list(self.months.keys()):
+            if _month_end(m) <= expiredTimerInfo.getExpiryTimeInMs():
+                self.months.removeKey((m,))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _month_end(month: int) -> int:
+    """Milliseconds at which year * 12 + month ends, UTC."""
+    year, m = divmod(month - 1, 12)
+    return int(pd.Timestamp(year + (m == 11), (m + 1) % 12 + 1, 1, tz="UTC").timestamp() * 1000)
+
+
+#: The state store that keeps maps and timers.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def quota_decisions(events: DataFrame, limit: int, key: str = "user_id", ts: str = "created_at", late: str = "7 days") -> DataFrame:
+    """(key, month, accepted, rejected) per arrival of events; months are year * 12 + month, in UTC.
+
+    A key has a counter for every open month, so an event counts in its own month whatever came
+    before. A month is closed when the watermark (``late`` behind the newest event) has passed its end;
+    events of closed months are dropped. Of events that arrive together any may be the ones
+    accepted: their numbers are exact. The session's state store must be ``STATE_STORE``.
+    """
     kind = events.schema[key].dataType.simpleString()
-    return events.select(key, F.col(ts).cast("timestamp").alias(ts)).groupBy(key).applyInPandasWithState(step, f"{key} {kind}, month int, accepted int, rejected int", "month int, used int", "append", GroupStateTimeout.NoTimeout)
+    own = events.select(key, F.col(ts).cast("timestamp").alias(ts)).withWatermark(ts, late)
+    return own.groupBy(key).transformWithStateInPandas(_MonthlyQuota(key, ts, limit), f"{key} {kind}, month int, accepted int, rejected int", "Append", "EventTime")

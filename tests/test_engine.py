@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,6 +201,35 @@ def test_streams(spark, tmp_path):
     used = run(stream.windowed_usage(read()), "used")
     assert sorted((k, n) for k, _, n in used) == [("j", 1), ("k", 3)]
     assert sorted((k, n) for k, _, _, n in run(stream.sessions(read(), key="api_key"), "sess")) == [("j", 1), ("k", 3)]
-    got = run(stream.quota_decisions(read(), 2, key="api_key"), "quota")
-    assert sorted(got) == [("j", 24289, 1, 0), ("k", 24289, 2, 2)]
     assert [n for _, _, n in run(stream.rate_limit_violations(read(), 2), "rate")] == [3]
+
+
+def test_quotas_of_late_and_disordered_events(spark, tmp_path):
+    """An event counts in its own month however late it comes, until the watermark has passed that month."""
+    at = lambda m, day: f"2024-{m:02d}-{day:02d}T12:00:00"
+    files = [
+        [("k", at(2, 1)), ("k", at(2, 2)), ("j", at(1, 5))],
+        [("k", at(1, 31)), ("k", at(1, 30)), ("k", at(2, 3))],  # after February has begun
+        [("k", at(1, 29)), ("k", at(1, 28))],
+        [("k", at(6, 1))],  # the watermark leaves January behind
+        [("k", at(1, 27)), ("k", at(6, 2))],  # too late: dropped
+    ]
+    src = tmp_path / "in"
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, "api_key string, t string").select("api_key", F.col("t").cast("timestamp").alias("created_at")).coalesce(1).write.parquet(str(tmp_path / f"f{i}"))
+        part = next((tmp_path / f"f{i}").glob("*.parquet"))
+        src.mkdir(exist_ok=True)
+        part.rename(src / f"{i}.parquet")
+        os.utime(src / f"{i}.parquet", (1_700_000_000 + 10 * i,) * 2)
+    spark.conf.set(*stream.STATE_STORE)
+    try:
+        read = spark.readStream.schema("api_key string, created_at timestamp").option("maxFilesPerTrigger", 1).parquet(str(src))
+        q = stream.quota_decisions(read, 3, key="api_key", late="40 days").writeStream.format("memory").queryName("late_quota").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        rows = [r["numRowsTotal"] for p in q.recentProgress for r in p["stateOperators"]]
+    finally:
+        spark.conf.unset(stream.STATE_STORE[0])
+    got = spark.table("late_quota").groupBy("api_key", "month").agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")).collect()
+    y = 2024 * 12
+    assert sorted(map(tuple, got)) == [("j", y + 1, 1, 0), ("k", y + 1, 3, 1), ("k", y + 2, 3, 0), ("k", y + 6, 2, 0)]
+    assert rows[-1] < max(rows)  # closed months leave the store
