@@ -205,12 +205,12 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 #: Numbers of parts below _NEAR take two bytes in ``near``, the others four in ``far``.
 _NEAR = 1 << 16
-_ROW = "batch long, kind string, n_a long, n_b long, n_groups long, groups_sha256 string, near binary, far binary, links array<int>, linked array<long>, pairs array<long>, times array<long>"
+_ROW = "batch long, kind string, n_a long, n_b long, n_groups long, groups_sha256 string, near binary, far binary, links array<int>, linked array<int>, pairs array<long>, times array<long>"
 _INTS, _LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
 
 
 def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of documents (kind doc) and of batches (kind batch: the parts' numbers of links, their pairs, distinct pairs and their counts)."""
+    """Rows of documents (kind doc) and of batches (kind batch: the parts' numbers of links, these as places among the batch's distinct pairs, and how often each of them is linked)."""
     kind = docs.schema[id_col].dataType
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +219,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
         for rb in batches:
             texts = rb.column(1).to_pylist()
             long = pa.int64()
-            schema = pa.schema([("id", rb.column(0).type), ("batch", long), ("kind", pa.string()), ("n_a", long), ("n_b", long), ("n_groups", long), ("groups_sha256", pa.string()), ("near", pa.binary()), ("far", pa.binary()), ("links", _INTS), ("linked", _LONGS), ("pairs", _LONGS), ("times", _LONGS)])
+            schema = pa.schema([("id", rb.column(0).type), ("batch", long), ("kind", pa.string()), ("n_a", long), ("n_b", long), ("n_groups", long), ("groups_sha256", pa.string()), ("near", pa.binary()), ("far", pa.binary()), ("links", _INTS), ("linked", _INTS), ("pairs", _LONGS), ("times", _LONGS)])
             none = lambda n, first, end: [pa.nulls(n, f.type) for f in list(schema)[first:end]]  # noqa: E731, B023
             for i, j in _slices([len(t or "") for t in texts]):
                 found, links, linked = aligner.batch(texts[i:j])
@@ -232,7 +232,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
                     times = np.repeat(np.bincount(np.concatenate(own), minlength=len(links)), links)
                     pairs, at = np.unique(linked, return_inverse=True)
                     times = np.bincount(at, times, len(pairs)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([*none(1, 0, 1), pa.array([number]), pa.array(["batch"]), *none(1, 3, 9), pa.array([links.astype(np.int32)], _INTS), *[pa.array([x], _LONGS) for x in (linked, pairs, times)]], schema=schema)
+                    yield pa.RecordBatch.from_arrays([*none(1, 0, 1), pa.array([number]), pa.array(["batch"]), *none(1, 3, 9), *[pa.array([x.astype(np.int32)], _INTS) for x in (links, at)], *[pa.array([x], _LONGS) for x in (pairs, times)]], schema=schema)
 
     out = T.StructType([T.StructField("id", kind), *T._parse_datatype_string(_ROW).fields])
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(step, out)
@@ -260,10 +260,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         own = left.filter(pa.compute.equal(left["kind"], "doc"))
         sums = np.zeros((2, 0), np.int64)
         if batch.num_rows:
-            links, linked = (batch[c].combine_chunks().flatten().to_numpy() for c in ("links", "linked"))
+            links, linked, pairs = (batch[c].combine_chunks().flatten().to_numpy() for c in ("links", "linked", "pairs"))
             pair, count, best = (right[c].to_numpy() for c in ("pair", "count", "best"))
             order = np.argsort(pair)
-            at = order[np.searchsorted(pair, linked, sorter=order)]
+            at = order[np.searchsorted(pair, pairs, sorter=order)][linked]
             ends = np.cumsum(links)
             sums = np.stack([np.diff(np.r_[0, np.cumsum(x[at].astype(np.int64))[ends - 1]]) for x in (best, count)])
         n_best, count_sum = np.zeros((2, own.num_rows), np.int64)

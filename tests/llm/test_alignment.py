@@ -29,8 +29,12 @@ def plain(both, text):
         return out
 
     ea, eb = ends(ba), ends(bb)
-    cuts = sorted(set(ea) & set(eb))
-    return a, b, [([i for i, e in zip(a, ea) if lo < e <= hi], [i for i, e in zip(b, eb) if lo < e <= hi]) for lo, hi in zip([0, *cuts], cuts)]
+    cuts, groups, i, j = sorted(set(ea) & set(eb)), [], 0, 0
+    for cut in cuts:
+        k, m = ea.index(cut, i) + 1, eb.index(cut, j) + 1
+        groups.append((a[i:k], b[j:m]))
+        i, j = k, m
+    return a, b, groups
 
 
 def brute(both, rows):
