@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -68,38 +69,31 @@ class Automaton:
         found: list[set[int]] = [set(self.everywhere) if t is not None else set() for t in texts]
         if not self.longest:
             return [sorted(f) for f in found]
-        owner, start, chars = [], [], []
-        overlap, at = self.longest - 1, 0
-        for i, t in enumerate(texts):
-            if t:
-                chars.append(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32))
-                n = len(chars[-1])
-                for s in range(0, max(1, n - overlap), WIDTH):
-                    owner.append(i)
-                    start.append((at + s, min(WIDTH + overlap, n - s)))
-                at += n
-        if not owner:
-            return [sorted(f) for f in found]
-        codes = np.concatenate(chars)
+        overlap = self.longest - 1
+        pieces = ((i, t[s : s + WIDTH + overlap]) for i, t in enumerate(texts) if t for s in range(0, max(1, len(t) - overlap), WIDTH))
+        while some := list(islice(pieces, TOGETHER)):
+            some.sort(key=lambda x: -len(x[1]))  # those that end first are the last rows
+            for i, state in self._met(some):
+                found[i].update(self.ends[state])
+        return [sorted(f) for f in found]
+
+    def _met(self, pieces: list[tuple[int, str]]) -> set[tuple[int, int]]:
+        """(owner, state) of the states with names that the pieces come to; pieces are ordered by falling length."""
+        codes = np.frombuffer("".join([p for _, p in pieces]).encode("utf-32-le", "surrogatepass"), np.uint32)
         place = np.searchsorted(self.letters, codes)
         np.minimum(place, len(self.letters) - 1, out=place)
         classes = np.where(self.letters[place] == codes, place + 1, 0).astype(np.int32)
-        owner, (start, size) = np.array(owner), np.array(start).T
-        order = np.argsort(-size, kind="stable")  # those that end first are the last rows
-        for a in range(0, len(order), TOGETHER):
-            rows = order[a : a + TOGETHER]
-            begin, length = start[rows], size[rows]
-            state = np.zeros(len(rows), np.int32)
-            active = len(rows) - np.searchsorted(length[::-1], np.arange(1, length[0] + 1))  # pieces that have a character in each column
-            met: set[tuple[int, int]] = set()
-            for col, n in enumerate(active.tolist()):
-                state = self.next[state[:n], classes[begin[:n] + col]]
-                ending = np.flatnonzero(self.hit[state])
-                if len(ending):
-                    met.update(zip(owner[rows[ending]].tolist(), state[ending].tolist()))
-            for i, s in met:
-                found[i].update(self.ends[s])
-        return [sorted(f) for f in found]
+        owner, length = np.array([i for i, _ in pieces]), np.array([len(p) for _, p in pieces])
+        begin = np.cumsum(length) - length
+        state = np.zeros(len(pieces), np.int32)
+        active = len(pieces) - np.searchsorted(length[::-1], np.arange(1, length[0] + 1))  # pieces that have a character in each column
+        met: set[tuple[int, int]] = set()
+        for col, n in enumerate(active.tolist()):
+            state = self.next[state[:n], classes[begin[:n] + col]]
+            ending = np.flatnonzero(self.hit[state])
+            if len(ending):
+                met.update(zip(owner[ending].tolist(), state[ending].tolist()))
+        return met
 
 
 def tag_names(docs: DataFrame, names: DataFrame | Sequence[str], id_col: str = "id", text_col: str = "content", out: str = "figures") -> DataFrame:

@@ -1,33 +1,40 @@
 """A kept inverted index: postings in blocks of documents, and top-k search that skips blocks.
 
-``write_index`` reads texts once. Documents are numbered in the order they are stored in; ``BLOCK`` of
-them make a block, and an index row holds one term's postings of one block (places in the block, term
-frequencies, lengths) with the block's frontier for that term: the postings that no other beats in both
-frequency and length. The largest BM25 weight of the block is reached on its frontier whatever the mean
-length, so blocks can be added later and bounds stay exact. A row of the empty term holds a block's ids.
+``write_index`` reads texts once and exchanges nothing. Documents are numbered in the order they are
+stored in; up to ``BLOCK`` of them make a block, and an index row holds one term's postings of one block
+(places in the block, term frequencies, lengths) with the block's frontier for that term: the postings that
+no other beats in both frequency and length. The largest BM25 weight of the block is reached on its
+frontier whatever the mean length, so blocks can be added later and bounds stay exact. A row of the empty
+term holds a block's ids. The engine splits texts into words; Arrow batches of these are grouped as arrays,
+since a row for each word would cost several times as much.
 
 ``search`` answers many queries at once. It reads frontiers of the queries' terms, bounds each block
 by the sum of its largest weights, scores the ``n`` blocks of highest bound, and then only those others
 whose bound reaches the n-th score found: no other document can be among the best. The result is the
 exact top-k.
 
-Rows are sorted by term within files that hold whole terms of ``SEGMENT`` blocks, so a filter on terms
-skips row groups and a frequent term is spread over many files.
+Each file holds its documents' blocks, sorted by term, so a filter on terms skips row groups and a
+frequent term is spread over all files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lexquarry.operators.ingest import written
 from lexquarry.operators.retrieval import BM25_B, BM25_K1, tokens
 
-#: Documents of a block, blocks of a segment.
-BLOCK, SEGMENT = 64, 8_192
+#: Documents of a block.
+BLOCK = 256
 #: Distinct terms up to which a filter is handed to the scan, and rows up to which a query side is broadcast.
 PUSHED_TERMS, BROADCAST_ROWS = 2_000, 200_000
 #: What rounding may take from a bound.
@@ -39,36 +46,59 @@ def _weight(tf: Column, dl: Column, mean: Column) -> Column:
     return tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / mean))
 
 
-def _frontier(postings: Column) -> Column:
-    """The postings (at, tf, dl) that none beats: by length, those with more occurrences than all shorter ones."""
-    ordered = F.array_sort(F.transform(postings, lambda p: F.struct(p["dl"].alias("dl"), (-p["tf"]).alias("back"))))
-    start = F.array().cast("array<struct<dl:int,tf:int>>")
-    grown = lambda acc, p: F.when(F.coalesce(F.try_element_at(acc, F.lit(-1))["tf"], F.lit(0)) < -p["back"], F.concat(acc, F.array(F.struct(p["dl"].alias("dl"), (-p["back"]).alias("tf"))))).otherwise(acc)
-    return F.aggregate(ordered, start, grown)
+def frontiers(term: np.ndarray, tf: np.ndarray, dl: np.ndarray) -> np.ndarray:
+    """Which postings (ordered by term) none of their term beats: by length, those with more occurrences than all shorter ones. Their places, by term and length."""
+    order = np.lexsort((-tf, dl, term))
+    wide = np.int64(tf.max() + 1) if len(tf) else 1
+    rank = np.cumsum(np.r_[0, np.diff(term[order]) != 0]) if len(tf) else order
+    most = np.maximum.accumulate(rank * wide + tf[order])  # a term's numbers are above those of the terms before
+    return order[np.r_[True, most[1:] > most[:-1]]] if len(tf) else order
+
+
+def _block(words: pa.ListArray, ids: pa.Array, number: int, schema: pa.Schema) -> pa.RecordBatch:
+    """The index rows of one block."""
+    dl = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    order = pa.compute.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    at = np.repeat(np.arange(len(dl)), dl)
+    keys, tf = np.unique(rank[coded.indices.to_numpy()] * len(dl) + at, return_counts=True)
+    term, at = np.divmod(keys, max(1, len(dl)))
+    best = frontiers(term, tf, dl[at])
+    n = np.bincount(term, minlength=len(order))
+    held = np.bincount(term[best], minlength=len(order))
+    lists = lambda values, sizes, kind: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(values, kind))
+    head = pa.RecordBatch.from_arrays([pa.array([""]), pa.array([number]), pa.array([len(dl)], pa.int32()), *[pa.nulls(1, schema.field(c).type) for c in ("frontier", "ats", "tfs")], lists(dl, [len(dl)], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(dl)], pa.int32()), ids)], schema=schema)
+    rows = pa.RecordBatch.from_arrays([
+        coded.dictionary.take(pa.array(order)), pa.array(np.full(len(order), number)), pa.array(n, pa.int32()), lists(dl[at[best]] << 32 | tf[best], held, pa.int64()),
+        lists(at, n, pa.int32()), lists(tf, n, pa.int32()), lists(dl[at], n, pa.int32()), pa.nulls(len(order), schema.field("ids").type),
+    ], schema=schema)
+    return pa.Table.from_batches([head, rows]).combine_chunks().to_batches()[0]
 
 
 def index_rows(docs: DataFrame, id_col: str = "id", text_col: str = "content", block: int = BLOCK) -> DataFrame:
-    """(term, block, n, frontier, ats, tfs, dls, ids): one exchange of the texts by block, none of single words."""
-    at = F.monotonically_increasing_id()
-    rows = docs.select(F.col(id_col).alias("id"), at.alias("m"), F.col(text_col).alias("text"))
-    rows = rows.select("id", F.expr(f"m div {block}").alias("block"), (F.col("m") % block).cast("int").alias("at"), "text").repartition("block")
-    words = rows.select("id", "block", "at", F.coalesce(tokens(F.col("text")), F.array().cast("array<string>")).alias("w"))
-    each = words.select("block", "at", "id", F.size("w").alias("dl"), F.explode(F.concat(F.array(F.lit("")), "w")).alias("term"))
-    counted = each.groupBy("block", "term", "at", "dl", "id").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-    ids = F.array_sort(F.collect_list(F.when(F.col("term") == "", F.struct("at", "id"))))
-    grouped = counted.groupBy("block", "term").agg(F.array_sort(F.collect_list(F.struct("at", "tf", "dl"))).alias("p"), ids.alias("ids"))
-    part = lambda c: F.transform("p", lambda x: x[c])
-    return grouped.select(
-        "term", "block", F.size("p").alias("n"), F.when(F.col("term") != "", _frontier(F.col("p"))).alias("frontier"),
-        part("at").alias("ats"), F.when(F.col("term") != "", part("tf")).alias("tfs"), part("dl").alias("dls"), F.when(F.col("term") == "", F.transform("ids", lambda x: x["id"])).alias("ids"),
-    )
+    """(term, block, n, frontier, ats, tfs, dls, ids); a posting of the frontier is length * 2**32 + frequency."""
+    kind = docs.schema[id_col].dataType
+    ints, fields = pa.list_(pa.int32()), "term string, block long, n int, frontier array<long>, ats array<int>, tfs array<int>, dls array<int>"
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for rb in batches:
+            schema = pa.schema([("term", pa.string()), ("block", pa.int64()), ("n", pa.int32()), ("frontier", pa.list_(pa.int64())), ("ats", ints), ("tfs", ints), ("dls", ints), ("ids", pa.list_(rb.column(0).type))])
+            for i in range(0, rb.num_rows, block):
+                own = rb.slice(i, block)
+                yield _block(own.column(1), own.column(0), number, schema)
+                number += 1
+
+    out = T.StructType([*T._parse_datatype_string(fields).fields, T.StructField("ids", T.ArrayType(kind))])
+    return docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("w")).mapInArrow(step, out)
 
 
 def write_index(docs: DataFrame, folder: str, id_col: str = "id", text_col: str = "content", block: int = BLOCK) -> None:
     """Writes the index as Parquet; an existing folder is an error."""
-    rows = index_rows(docs, id_col, text_col, block)
-    dealt = rows.repartition("term", F.expr(f"block div {SEGMENT}")).sortWithinPartitions("term", "block")
-    dealt.write.option("parquet.bloom.filter.enabled#term", "true").parquet(folder)
+    rows = index_rows(docs, id_col, text_col, block).sortWithinPartitions("term", "block")
+    rows.write.option("parquet.bloom.filter.enabled#term", "true").parquet(folder)
 
 
 class Index:
@@ -84,19 +114,21 @@ class Index:
         names = [r["term"] for r in terms.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
         return self.rows.where(F.col("term").isin(names)) if len(names) <= PUSHED_TERMS else self.rows
 
-    def _asked(self, queries: DataFrame) -> DataFrame:
-        """(query_id, term, idf): distinct terms of each query that some document has."""
-        terms = written(queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term")))
-        rows = self._of_terms(terms)
-        df = rows.join(_small(terms.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
+    def _heads(self, terms: DataFrame) -> DataFrame:
+        """(term, block, n, frontier) of the terms, read once."""
+        return written(self._of_terms(terms).select("term", "block", "n", "frontier").join(_small(terms.select("term").distinct()), "term", "left_semi"))
+
+    def _asked(self, terms: DataFrame, heads: DataFrame) -> DataFrame:
+        """(query_id, term, idf): terms of each query that some document has."""
+        df = heads.groupBy("term").agg(F.sum("n").alias("df"))
         idf = F.log(1 + (F.lit(self.docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
         return written(terms.join(_small(written(df)), "term").select("query_id", "term", idf.alias("idf")))
 
-    def bounds(self, asked: DataFrame) -> DataFrame:
-        """(query_id, block, bound, terms): the most that a document of the block can score."""
-        heads = self._of_terms(asked).select("term", "block", "frontier").join(_small(asked), "term")
-        most = F.array_max(F.transform("frontier", lambda p: _weight(p["tf"], p["dl"], F.lit(self.mean))))
-        return heads.groupBy("query_id", "block").agg(F.sum(F.col("idf") * most).alias("bound"), F.count(F.lit(1)).alias("terms"))
+    def bounds(self, asked: DataFrame, heads: DataFrame | None = None) -> DataFrame:
+        """(query_id, block, bound): the most that a document of the block can score."""
+        heads = self._of_terms(asked).select("term", "block", "frontier") if heads is None else heads
+        most = F.array_max(F.transform("frontier", lambda p: _weight(p.bitwiseAND((1 << 32) - 1), F.shiftright(p, 32), F.lit(self.mean))))
+        return heads.join(_small(asked), "term").groupBy("query_id", "block").agg(F.sum(F.col("idf") * most).alias("bound"))
 
     def _scored(self, chosen: DataFrame, asked: DataFrame) -> DataFrame:
         """(query_id, id, score) of every document with a term in the chosen blocks (query_id, block)."""
@@ -113,9 +145,11 @@ class Index:
 
         ``blocks`` have a term of the query, ``read`` of them were scored.
         """
-        asked = self._asked(queries)
+        terms = written(queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term")))
+        heads = self._heads(terms)
+        asked = self._asked(terms, heads)
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound"), "block"))
-        bounds = written(self.bounds(asked))
+        bounds = written(self.bounds(asked, heads))
         first = written(bounds.withColumn("_rn", place).where(F.col("_rn") <= n).drop("_rn"))
         best = lambda df: df.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= n)
         found = written(best(self._scored(first, asked)))

@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,11 +81,14 @@ def test_only_frontiers_are_read_for_bounds(spark, corpus, tmp_path):
     assert "tfs" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_frontier_reaches_every_largest_weight(spark):
-    postings = [(0, 3, 10), (1, 1, 5), (2, 3, 12), (3, 7, 100), (4, 2, 9), (5, 6, 101)]
-    df = spark.createDataFrame([(postings,)], "p array<struct<at:int,tf:int,dl:int>>")
-    front = [(r["dl"], r["tf"]) for r in df.select(X._frontier(F.col("p")).alias("f")).first()["f"]]
-    assert front == [(5, 1), (9, 2), (10, 3), (100, 7)]
-    w = lambda tf, dl, mean: tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))
+def test_frontier_reaches_every_largest_weight():
+    rng = np.random.default_rng(4)
+    term, tf, dl = np.sort(rng.integers(0, 30, 400)), rng.integers(1, 9, 400), rng.integers(1, 60, 400)
+    best = X.frontiers(term, tf, dl)
+    assert len(best) < 200
+    w = lambda i, mean: tf[i] * 2.2 / (tf[i] + 1.2 * (0.25 + 0.75 * dl[i] / mean))
     for mean in (1, 10, 1000):
-        assert max(w(tf, dl, mean) for _, tf, dl in postings) == max(w(tf, dl, mean) for dl, tf in front)
+        for t in range(30):
+            own = np.flatnonzero(term == t)
+            assert not len(own) or w(own, mean).max() == w(best[term[best] == t], mean).max()
+    assert len(X.frontiers(term[:0], tf[:0], dl[:0])) == 0
