@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lexquarry.operators.ingest import written
@@ -68,26 +71,44 @@ def vector_topk(chunks: DataFrame, query: Sequence[float], n: int, id_col: str =
     return scored.orderBy(F.desc_nulls_last("similarity"), id_col).limit(n)
 
 
-#: Queries that are broadcast at a time.
-QUERY_BLOCK = 1_000
+#: Queries and rows that are multiplied with each other at a time.
+QUERY_BLOCK, ROW_BLOCK = 1_000, 20_000
 
 
 def multi_query_topk(chunks: DataFrame, queries: DataFrame, n: int, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """Top n of each query (query_id, query) over all chunks.
+    """Top n of each query (query_id, query) over all chunks, with the chunks' other columns.
 
-    Queries are counted and searched in blocks of about ``QUERY_BLOCK``, each broadcast to a scan of the
-    chunks; the limit of each query is applied before rows are exchanged.
+    One plan whatever the number of queries: blocks of queries meet blocks of rows in a join on the two
+    blocks' numbers, each pair is one product of matrices in double precision, and hands on n rows for
+    each of its queries. A row without a direction comes last, without a similarity.
     """
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-
-    def found(own: DataFrame) -> DataFrame:
-        pairs = chunks.where(F.col(vec_col).isNotNull()).crossJoin(F.broadcast(own))
-        scored = pairs.withColumn("similarity", F.round(cosine(F.col(vec_col), F.col("query")), 6)).drop("query", vec_col)
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col))
-        return scored.withColumn("rank", rank).where(F.col("rank") <= n)
-
-    return reduce(DataFrame.unionByName, [found(queries.where(block == i) if blocks > 1 else queries) for i in range(blocks)])
+    rows = chunks.where(F.col(vec_col).isNotNull())
+    q_blocks, r_blocks = max(1, -(-queries.count() // QUERY_BLOCK)), max(1, -(-rows.count() // ROW_BLOCK))
+    others = [c for c in rows.columns if c != vec_col]
+    numbers = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
+    rows = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(r_blocks)).alias("_r"), numbers(q_blocks).alias("_q"), *others, doubles(vec_col).alias("_v"))
+    asked = queries.select(F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).alias("_qb"), numbers(r_blocks).alias("_rb"), "query_id", doubles("query").alias("_v"))
+    kind = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), *[chunks.schema[c] for c in others], T.StructField("similarity", T.DoubleType())])
+
+    def pair(some: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if some.empty or own.empty:
+            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in kind})
+        own, some = own.sort_values(id_col, kind="stable", ignore_index=True), some[some["_v"].notna()].reset_index(drop=True)
+        x, q = (np.stack(df["_v"].to_numpy()) if len(df) else np.zeros((0, 1)) for df in (own, some))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sims = np.round(q @ x.T / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(x, axis=1), 6) if len(q) else np.zeros((0, len(x)))
+        order = np.argsort(-np.where(np.isnan(sims), -np.inf, sims), axis=1, kind="stable")[:, :n]  # ties stay in order of the ids
+        who = np.repeat(np.arange(len(q)), order.shape[1])
+        out = own.loc[order.ravel(), others].reset_index(drop=True)
+        out.insert(0, "query_id", some["query_id"].to_numpy()[who])
+        best = np.take_along_axis(sims, order, 1).ravel()
+        out["similarity"] = pd.Series(best).astype(object).where(~np.isnan(best), None)
+        return out
+
+    found = asked.groupBy("_qb", "_rb").cogroup(rows.groupBy("_q", "_r")).applyInPandas(pair, kind)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col))
+    return found.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
 def by_account_types(chunks: DataFrame, meta: DataFrame, types: Sequence[str], id_col: str = "id") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, ArithmeticException, NumberFormatException, SparkRuntimeException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +18,10 @@ RESEARCH = (("primary", 10, None), ("character", 5, None), ("world", 5, None), (
 MIN_QUERY = 3
 
 
+#: Failures of a search that leave another one possible: no terms, a column or index that isn't there, rows that can't be read or computed.
+SEARCH_FAILS = (ValueError, AnalysisException, SparkRuntimeException, ArithmeticException, NumberFormatException)
+
+
 class ShortQuery(ValueError):
     pass
 
@@ -40,8 +45,9 @@ def search(chunks: DataFrame, meta: DataFrame, embedder, query: str, n: int = 5,
 def search_with_fallback(*args, **kwargs) -> tuple[DataFrame | None, str]:
     """(result, mode): hybrid, else vector, else none.
 
-    Results are few, so each search is run here: one that fails at run time has the next one follow.
-    A query that is too short is an error, not a failed search.
+    Results are few, so each search is run here: one that fails by ``SEARCH_FAILS`` has the next one follow,
+    and the cause is logged. Anything else (a lost disk, a cancelled job) is an error, and so is a query
+    that is too short.
     """
     for mode in ("hybrid", "vector"):
         try:
@@ -49,8 +55,8 @@ def search_with_fallback(*args, **kwargs) -> tuple[DataFrame | None, str]:
             return found.sparkSession.createDataFrame(found.collect(), found.schema), mode
         except ShortQuery:
             raise
-        except (ValueError, RuntimeError, PySparkException):
-            continue
+        except SEARCH_FAILS as e:
+            logging.getLogger(__name__).warning("%s search failed: %s", mode, str(e).splitlines()[0] if str(e) else type(e).__name__)
     return None, "none"
 
 
@@ -75,7 +81,7 @@ def figure_profile(tables: dict[str, DataFrame], name: str) -> dict[str, DataFra
     }
 
 
-def episode_accounts(chunks: DataFrame, embedder, who: dict, event: str, n: int = 15, era: str | None = None) -> DataFrame:
+def episode_accounts(chunks: DataFrame, embedder, who: dict, event: str, n: int = 20, era: str | None = None) -> DataFrame:
     """The accounts of a figure (name, name_variants, era) at an event.
 
     Three topics are searched among the chunks of the figure's era that name it or a variant; a chunk
@@ -135,6 +141,30 @@ def context_packet(tables: dict[str, DataFrame], figure: str, event: str, accoun
     return found
 
 
+def episode_context(tables: dict[str, DataFrame], chunks: DataFrame, embedder, figure: str, event: str, era: str | None = None, series: str | None = None, n: int = 20, warnings: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The whole packet in one call: accounts are retrieved by topics, and all that the graph knows is added.
+
+    ``head`` is one row: the figure's id and sensitivity_tier, the era and series asked for or else the
+    figure's first, coverage_score (accounts) and conflict_count. Accounts have a ``reliability_warning`` where
+    ``warnings`` (source, warning) has one for their source.
+    """
+    who = graph.resolve(tables["figures"], figure).first()
+    if who is None:
+        raise LookupError(f"no such figure: {figure}")
+    who = who.asDict()
+    accounts = episode_accounts(chunks, embedder, {**who, "name": figure}, event, n, era)
+    if warnings is not None:
+        accounts = accounts.join(warnings.select(F.col("source").alias("_s"), F.col("warning").alias("reliability_warning")), F.col("source") == F.col("_s"), "left").drop("_s")
+    packet = context_packet(tables, figure, event, accounts)
+    one = lambda df, name: F.broadcast(df.agg(F.count(F.lit(1)).alias(name)))
+    first = lambda c: F.get(F.col(c), F.lit(0)) if c in packet["figure"].columns else F.lit(None).cast("string")
+    head = packet["figure"].select(
+        F.col("id").alias("figure_id"), (F.col("sensitivity_tier") if "sensitivity_tier" in packet["figure"].columns else F.lit(None).cast("string")).alias("sensitivity_tier"),
+        F.coalesce(F.lit(era), first("era")).alias("era"), F.coalesce(F.lit(series), first("series")).alias("series"),
+    )
+    return {"head": head.crossJoin(one(accounts, "coverage_score")).crossJoin(one(packet["conflicts"], "conflict_count")), **packet}
+
+
 def packet_counts(packet: dict[str, DataFrame]) -> DataFrame:
     """(section, rows) of a packet, in one job."""
     return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(k).alias("section"), "rows") for k, df in packet.items()])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexquarry.operators import graph as G
 from lexquarry.queries._base import query, role, table
+from lexquarry.queries.retrieval import Q
 
 
 @query("resolve_figure", "SELECT id, name FROM (SELECT id, CASE WHEN id = 2 THEN 'SUPPLIER#000000003' ELSE name END AS name FROM figs) WHERE name = 'Supplier#000000003' OR id IN (7, 9) ORDER BY id LIMIT 1", "figs")
@@ -121,3 +122,74 @@ def context_packet_counts(spark, d):
     packet = context_packet(tables, "Supplier#000000005", event, r("docs").withColumn("similarity_score", F.lit(0.5)))
     names = ("lineage", "relationships", "themes", "factions", "betrayals_committed", "betrayals_suffered", "alliance_reversals", "debates", "conflicts", "causes")
     return packet_counts({k: packet[k] for k in names})
+
+
+class _Given:
+    """The query vectors of three topics."""
+
+    dim = 64
+
+    def embed(self, texts, input_type="document"):
+        return [[Q[(j + 7 * i) % 64] for j in range(64)] for i in range(len(texts))]
+
+
+_TOPICS = [[Q[(j + 7 * i) % 64] for j in range(64)] for i in range(3)]
+_SIMS = ", ".join(f"round(list_inner_product(embedding::DOUBLE[], {v}::DOUBLE[]) / (sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_inner_product({v}::DOUBLE[], {v}::DOUBLE[]))), 6) AS s{i}" for i, v in enumerate(_TOPICS))
+
+
+@query(
+    "episode_context",
+    f"""WITH me AS (SELECT id FROM figs WHERE name = 'Supplier#000000005'), here AS (SELECT id FROM evs WHERE name = (SELECT name FROM evs ORDER BY id LIMIT 1 OFFSET 5)),
+    s AS (SELECT id, source, {_SIMS} FROM vecs WHERE id % 3 = 0), t AS (SELECT *, row_number() OVER (ORDER BY s0 DESC, id) AS r0, row_number() OVER (ORDER BY s1 DESC, id) AS r1, row_number() OVER (ORDER BY s2 DESC, id) AS r2 FROM s),
+    acc AS (SELECT * FROM t WHERE r0 <= 20 OR r1 <= 20 OR r2 <= 20), con AS (SELECT * FROM srel WHERE event_id IN (FROM here) AND relationship IN ('CONTRADICTS', 'CHALLENGES'))
+    SELECT 'accounts' AS section, count(*) AS rows FROM acc
+    UNION ALL SELECT 'accounts_ids', sum(id)::BIGINT FROM acc
+    UNION ALL SELECT 'coverage_score', count(*) FROM acc
+    UNION ALL SELECT 'source_map', count(DISTINCT source) FROM acc
+    UNION ALL SELECT 'warned', count(*) FROM acc WHERE source IN ('s1', 's3')
+    UNION ALL SELECT 'figure', count(*) FROM me
+    UNION ALL SELECT 'event', count(*) FROM here
+    UNION ALL SELECT 'tier_S', count(*) FROM figs WHERE name = 'Supplier#000000005' AND tier % 3 = 0
+    UNION ALL SELECT 'lineage', count(*) FROM lin WHERE figure_id IN (FROM me)
+    UNION ALL SELECT 'relationships', count(*) FROM rels WHERE (figure_a_id IN (FROM me) OR figure_b_id IN (FROM me)) AND figure_a_id IN (SELECT id FROM figs) AND figure_b_id IN (SELECT id FROM figs)
+    UNION ALL SELECT 'themes', count(*) FROM fthemes JOIN facs ON facs.id = theme_id WHERE figure_id IN (FROM me)
+    UNION ALL SELECT 'motivations', count(*) FROM part WHERE p_partkey % 90 IN (FROM me)
+    UNION ALL SELECT 'death', least(count(*), 1) FROM customer WHERE c_custkey IN (FROM me)
+    UNION ALL SELECT 'quotes', count(*) FROM lineitem WHERE l_suppkey IN (FROM me)
+    UNION ALL SELECT 'geography', count(*) FROM nation WHERE n_nationkey IN (FROM here)
+    UNION ALL SELECT 'factions', count(*) FROM fthemes JOIN facs ON facs.id = faction_id WHERE figure_id IN (FROM me)
+    UNION ALL SELECT 'betrayals_committed', count(*) FROM betr JOIN figs ON figs.id = betrayed_id WHERE betrayer_id IN (FROM me)
+    UNION ALL SELECT 'betrayals_suffered', count(*) FROM betr JOIN figs ON figs.id = betrayer_id WHERE betrayed_id IN (FROM me)
+    UNION ALL SELECT 'alliance_reversals', count(*) FROM rev WHERE figure_id IN (FROM me)
+    UNION ALL SELECT 'debates', count(*) FROM deb WHERE figure_id IN (FROM me) OR event_id IN (FROM here)
+    UNION ALL SELECT 'conflicts', count(*) FROM con
+    UNION ALL SELECT 'conflict_count', count(*) FROM con
+    UNION ALL SELECT 'causes', count(*) FROM cse JOIN evs c ON c.id = cause_event_id JOIN evs e ON e.id = effect_event_id WHERE cause_event_id IN (FROM here) OR effect_event_id IN (FROM here)""",
+    "figs", "evs", "lin", "rels", "fthemes", "facs", "betr", "rev", "deb", "srel", "cse", "vecs",
+)
+def episode_context(spark, d):
+    """Every section of the whole packet, retrieval included."""
+    from lexquarry.plans.packets import episode_context as whole
+    from lexquarry.plans.packets import packet_counts
+
+    r = lambda name: role(spark, d, name)
+    t = lambda name, *select: table(spark, d, name).selectExpr(*select)
+    no_names = F.array().cast("array<string>")
+    events = r("evs").withColumn("name_variants", no_names)
+    figures = r("figs").withColumns({"name_variants": no_names, "sensitivity_tier": F.when(F.col("tier") % 3 == 0, "S").otherwise("B"), "era": no_names, "series": F.array(F.lit("one"))})
+    tables = {
+        "figures": figures, "events": events, "figure_lineage": r("lin"), "figure_relationships": r("rels"),
+        "figure_themes": r("fthemes"), "themes": r("facs"), "figure_factions": r("fthemes"), "political_factions": r("facs"), "political_betrayals": r("betr"),
+        "alliance_reversals": r("rev"), "scholarly_debates": r("deb"), "source_relationships": r("srel"), "event_causes": r("cse"),
+        "figure_motivations": t("part", "p_partkey % 90 AS figure_id", "p_type AS motivation", "p_size % 2 = 0 AS is_primary"), "figure_deaths": t("customer", "c_custkey AS figure_id", "c_name AS last_words"),
+        "figure_quotes": t("lineitem", "l_suppkey AS figure_id", "l_returnflag AS quote", "l_linestatus AS chain_strength"), "event_geography": t("nation", "n_nationkey AS event_id", "n_name AS place"),
+    }
+    event = events.orderBy("id").offset(5).limit(1).first()["name"]
+    chunks = r("vecs").withColumn("figures", F.when(F.col("id") % 3 == 0, F.array(F.lit("Supplier#000000005"))).otherwise(no_names))
+    warnings = spark.createDataFrame([("s1", "disputed"), ("s3", "late")], "source string, warning string")
+    packet = whole(tables, chunks, _Given(), "Supplier#000000005", event, warnings=warnings)
+    counted = packet_counts({k: v for k, v in packet.items() if k != "head"})
+    row = lambda name, value: F.struct(F.lit(name).alias("section"), value.cast("long").alias("rows"))
+    head = packet["head"].select(F.inline(F.array(row("coverage_score", F.col("coverage_score")), row("conflict_count", F.col("conflict_count")), row("tier_S", (F.col("sensitivity_tier") == "S").cast("int")))))
+    more = packet["accounts"].agg(F.sum("id").alias("i"), F.count("reliability_warning").alias("w")).select(F.inline(F.array(row("accounts_ids", F.col("i")), row("warned", F.col("w")))))
+    return counted.unionByName(head).unionByName(more)

@@ -45,6 +45,11 @@ def test_queries_in_blocks_find_the_same(spark, sf_dir, monkeypatch):
     queries = v.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
     one = sorted(map(tuple, retrieval.multi_query_topk(v, queries, 3).collect()))
     monkeypatch.setattr(retrieval, "QUERY_BLOCK", 25)
+    monkeypatch.setattr(retrieval, "ROW_BLOCK", 17)
+    plan = retrieval.multi_query_topk(v, queries, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CoGroup") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+    odd = v.where("id < 4").unionByName(v.where("id = 5").withColumn("embedding", F.transform("embedding", lambda x: x * 0)))
+    assert [(r["id"], r["similarity"] is None) for r in retrieval.multi_query_topk(odd, queries.where("query_id = 2"), 9).orderBy("rank").collect()][-1] == (5, True)
     assert sorted(map(tuple, retrieval.multi_query_topk(v, queries, 3).collect())) == one and len(one) == 180
 
 
