@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lexquarry.functions import tagging as G
 from lexquarry.functions import text as T
 from lexquarry.operators import ingest as I
+from lexquarry.operators.ingest import shared_folder, written
 from lexquarry.queries._base import query, role, table
 from lexquarry.queries.text import _alpha, _norm, _strip
-from lexquarry.sources import readers, registry
+from lexquarry.sources import crawl, readers, registry
 
 
 @query(
@@ -156,3 +159,23 @@ def sidecar_front_matter(spark, d):
     path = lambda end: F.concat(F.lit("/in/my_file-"), F.col("doc_id").cast("string"), F.lit(end)).alias("path")
     side = docs.where("doc_id % 3 = 0").select(path(".yaml"), F.concat(F.lit("source: From "), "source", F.lit("\nsource_type: hadith\nera:\n- x\n- y\n")).alias("text"))
     return readers.front_matter(docs.select(path(".txt"), F.concat(head, "text").alias("text")), side)
+
+
+_WEB = """w AS (SELECT min(page_id) AS page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', '') AS url FROM pages WHERE url IS NOT NULL GROUP BY 2),
+    e AS (SELECT a.url, b.url AS next FROM w a JOIN w b ON b.page_id IN (2 * a.page_id + 3, 2 * a.page_id + 4))"""
+
+
+@query("crawl_pages", f"""WITH RECURSIVE {_WEB}, c AS (SELECT url, 0 AS round FROM w WHERE page_id < 3 UNION SELECT e.next, round + 1 FROM e JOIN c USING (url) WHERE round < 60)
+    SELECT url, min(round)::INT AS round, any_value(length(html)) AS n_chars FROM c JOIN w USING (url) JOIN (SELECT page_id, html FROM pages) p USING (page_id) GROUP BY url""")
+def crawl_pages(spark, d):
+    """A web in which page n links to 2n + 3 and 2n + 4, crawled from the first three in two goes."""
+    pages = table(spark, d, "pages").where("url is not null")
+    own = written(pages.groupBy(crawl.address(F.col("url")).alias("url")).agg(F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("page_id")))
+    to = own.select(F.col("page_id").alias("_to"), F.col("url").alias("_link"))
+    each = own.select("url", F.explode(F.array(F.col("page_id") * 2 + 3, F.col("page_id") * 2 + 4)).alias("_to")).join(to, "_to").groupBy("url").agg(F.collect_list("_link").alias("links"))
+    web = written(own.join(each, "url", "left"))
+    fetch = lambda frontier: web.join(frontier, "url", "left_semi").select("url", "html", "links")
+    folder = f"{shared_folder(spark)}/crawl-{uuid.uuid4().hex}"
+    seeds = web.where("page_id < 3").select("url")
+    crawl.crawl(seeds, fetch, folder, rounds=3)
+    return crawl.crawl(seeds, fetch, folder).select("url", "round", F.length("html").alias("n_chars"))

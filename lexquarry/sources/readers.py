@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 # Elements whose text isn't main text, and classes that mark main text.
 DROPPED = ("script", "style", "nav", "footer", "header", "aside", "iframe")
@@ -208,3 +208,72 @@ def paged(spark: SparkSession, fetch, pages: int = 0, per_task: int = 10, next_o
     kind = type("PagedApiBound", (PagedApi,), {"fetch": staticmethod(fetch), "next_of": staticmethod(next_of)})
     spark.dataSource.register(kind)
     return spark.read.format("paged_api").option("pages", pages).option("per_task", per_task).load()
+
+
+class PagedStream(DataSource):
+    """Numbered pages of a growing API as a stream of rows (page, body).
+
+    The offset is the number of pages that there are; Spark's checkpoint keeps how far a query came, so
+    one that is started again reads the pages after that, and a batch that failed is read anew. ``fetch``
+    is a picklable callable page -> body or None for a page that isn't there (yet). Option ``per_task``:
+    pages of a task.
+    """
+
+    fetch = None
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_stream"
+
+    def schema(self) -> str:
+        return "page int, body string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _PagedStreamReader(type(self).fetch, int(self.options.get("per_task", "10")))
+
+
+def last_page(fetch, known: int = 0) -> int:
+    """The number of pages, of which the first ``known`` are there: steps of doubled length, then halving."""
+    step = 1
+    while fetch(known + step) is not None:
+        known, step = known + step, step * 2
+    low, high = known, known + step
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if fetch(mid) is not None else (low, mid)
+    return low
+
+
+class _Range(InputPartition):
+    def __init__(self, first: int, end: int):
+        super().__init__((first, end))
+
+
+class _PagedStreamReader(DataSourceStreamReader):
+    def __init__(self, fetch, per_task: int):
+        self.fetch, self.per_task, self.known = fetch, per_task, 0
+
+    def initialOffset(self) -> dict:
+        return {"pages": 0}
+
+    def latestOffset(self) -> dict:
+        self.known = last_page(self.fetch, self.known)
+        return {"pages": self.known}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        return [_Range(p, min(p + self.per_task, end["pages"] + 1)) for p in range(start["pages"] + 1, end["pages"] + 1, self.per_task)]
+
+    def read(self, partition: InputPartition):
+        for page in range(*partition.value):
+            body = self.fetch(page)
+            if body is None:
+                raise RuntimeError(f"page {page} was there before")
+            yield (page, body)
+
+    def commit(self, end: dict) -> None:
+        self.known = max(self.known, end["pages"])
+
+
+def paged_stream(spark: SparkSession, fetch, per_task: int = 10) -> DataFrame:
+    spark.dataSource.register(type("PagedStreamBound", (PagedStream,), {"fetch": staticmethod(fetch)}))
+    return spark.readStream.format("paged_stream").option("per_task", per_task).load()
