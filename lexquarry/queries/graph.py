@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lexquarry.operators import graph as G
+from lexquarry.operators import substring
+from lexquarry.operators.ingest import shared_folder
 from lexquarry.queries._base import query, role, table
 from lexquarry.queries.retrieval import Q
 
@@ -193,3 +197,12 @@ def episode_context(spark, d):
     head = packet["head"].select(F.inline(F.array(row("coverage_score", F.col("coverage_score")), row("conflict_count", F.col("conflict_count")), row("tier_S", (F.col("sensitivity_tier") == "S").cast("int")))))
     more = packet["accounts"].agg(F.sum("id").alias("i"), F.count("reliability_warning").alias("w")).select(F.inline(F.array(row("accounts_ids", F.col("i")), row("warned", F.col("w")))))
     return counted.unionByName(head).unionByName(more)
+
+
+@query("ilike_index", r"WITH p AS (SELECT item_id AS pattern_id, concat('%', regexp_extract(text, '[a-z]{5,}', 0), '%') AS pattern FROM benchmark WHERE item_id % 10 = 0) SELECT pattern_id, doc_id AS id FROM p, documents WHERE lower(text) LIKE pattern")
+def ilike_index(spark, d):
+    """Writes the trigram index of all documents and looks up the first long word of every tenth benchmark passage."""
+    folder, docs = f"{shared_folder(spark)}/trigrams-{uuid.uuid4().hex}", role(spark, d, "docs")
+    substring.write_trigrams(docs, folder)
+    words = table(spark, d, "benchmark").where("item_id % 10 = 0").select(F.col("item_id").alias("pattern_id"), F.concat(F.lit("%"), F.regexp_extract("text", "[a-z]{5,}", 0), F.lit("%")).alias("pattern"))
+    return substring.matching(spark, folder, docs, words)[0]
