@@ -34,6 +34,34 @@ def stats(docs: DataFrame, figures: DataFrame, approximate: bool = False) -> Dat
     return own.crossJoin(figures.agg(F.count(F.lit(1)).alias("figures"))).withColumn("years_covered", F.lit(YEARS_COVERED))
 
 
+#: Size of a distinct-count sketch: 2 ** SKETCH registers, a relative error of about 1.04 / 2 ** (SKETCH / 2).
+SKETCH = 12
+_COUNTED = ("source", "era")
+
+
+def daily_stats(docs: DataFrame, day: str = "created_at") -> DataFrame:
+    """A row for each day of ``day``: passages, last_updated and a distinct-count sketch of each counted column; days without a date are one."""
+    sketches = [F.hll_sketch_agg(c, SKETCH).alias(f"{c}_sketch") for c in _COUNTED]
+    return docs.groupBy(F.to_date(day).alias("day")).agg(F.count(F.lit(1)).alias("passages"), F.max(day).alias("last_updated"), *sketches)
+
+
+def update_stats(docs: DataFrame, folder: str, day: str = "created_at", since: object = None) -> None:
+    """Adds to the stored daily rows those of days from ``since`` on (else all); only these days' rows are read.
+
+    Days are partitions that are replaced whole, so a day that is counted again, or a run that is
+    repeated, changes nothing else.
+    """
+    own = docs if since is None else docs.where(F.col(day) >= F.lit(since))
+    daily_stats(own, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(folder)
+
+
+def stored_stats(daily: DataFrame, figures: DataFrame) -> DataFrame:
+    """The row of ``stats`` merged from daily rows; distinct counts are estimates."""
+    distinct = lambda c: F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(f"{c}s")
+    own = daily.agg(F.coalesce(F.sum("passages"), F.lit(0)).alias("passages"), F.max("last_updated").alias("last_updated"), *[distinct(c) for c in _COUNTED])
+    return own.crossJoin(figures.agg(F.count(F.lit(1)).alias("figures"))).withColumn("years_covered", F.lit(YEARS_COVERED))
+
+
 def source_figures(chunks: DataFrame) -> DataFrame:
     """The sorted names found in the chunks of each source."""
     return chunks.select("source", F.explode("figures").alias("f")).groupBy("source").agg(F.array_sort(F.collect_set("f")).alias("figures"))

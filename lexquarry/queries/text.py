@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexquarry.functions import automaton
+from lexquarry.functions import table as table_functions
 from lexquarry.functions import tagging as G
 from lexquarry.functions import text as T
 from lexquarry.operators import ingest as I
@@ -225,6 +226,13 @@ def build_chunks(spark, d):
     return I.build_chunks(role(spark, d, "docs"), T.chunk_sentences())
 
 
+@query("chunk_text_table", f"{_CHUNKS} SELECT id, source, (i - 1)::INT AS chunk_index, chunks[i] AS content, {_count('chunks[i]')}::BIGINT AS word_count FROM (SELECT doc_id AS id, source, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM chunked JOIN documents USING (doc_id))")
+def chunk_text_table(spark, d):
+    """The table function, called from SQL."""
+    table_functions.register(spark)
+    return spark.sql("SELECT * FROM chunk_text(TABLE({docs}) PARTITION BY id)", docs=role(spark, d, "docs").select("id", "content", "source"))
+
+
 @query("readable_chunks", rf"WITH w AS ({_windows(500, 50, 100)}) SELECT doc_id, list_filter(chunks, lambda c: {_alpha('c')} > 0.7::DOUBLE) AS readable, len(list_filter(chunks, lambda c: {_alpha('c')} > 0.7::DOUBLE)) >= 2 AS enough FROM w")
 def readable_chunks(spark, d):
     chunks = F.filter(T.chunk_words(F.col("text")), lambda c: T.is_readable(c, 0.7))

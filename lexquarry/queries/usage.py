@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lexquarry.functions import tagging as G
+from lexquarry.functions import variant as V
 from lexquarry.operators import usage as U
 from lexquarry.operators.ingest import shared_folder
 from lexquarry.queries._base import query, role, table
@@ -118,3 +119,16 @@ def stats_inject(spark, d):
     n = table(spark, d, "nation")
     page = F.lit('<p><b data-stat="sources" class="x">0</b> of <i data-stat="other">5</i></p>')
     return n.select("n_nationkey", G.inject_stats(page, {"sources": F.col("n_nationkey") * 7}).alias("html"))
+
+
+@query("props_by_path", """SELECT id, try_cast(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k, CASE WHEN props IS NOT NULL THEN 'object' END AS kind, NULL::VARCHAR AS missing FROM log""", "log")
+def props_by_path(spark, d):
+    """Properties parsed once, read by path and type."""
+    v = role(spark, d, "log").select("id", V.parsed(F.col("props")).alias("v"))
+    return v.select("id", V.at(F.col("v"), "$.k", "bigint").alias("k"), V.kind(F.col("v")).alias("kind"), V.at(F.col("v"), "$.nothing.here", "string").alias("missing"))
+
+
+@query("props_fields", """SELECT 'k' AS field, 'number' AS kind, count(*) AS rows, max(try_cast(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT)) AS largest FROM log WHERE contains(props, '"k"')""", "log")
+def props_fields(spark, d):
+    v = role(spark, d, "log").select("id", V.parsed(F.col("props")).alias("v"))
+    return V.fields(v, "v", "id").groupBy("field", V.kind(F.col("value")).alias("kind")).agg(F.count(F.lit(1)).alias("rows"), F.max(V.at(F.col("value"), "$", "bigint")).alias("largest"))
