@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexquarry.llm._util import BROADCAST_ROWS, join_unique, materialise, small_or_shuffled
 
@@ -170,7 +171,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: id, keep_id, group_size, kept, text_sha256.
 
     ``is_snapshot`` tells the rows of the immutable snapshot from the incoming batch; by default
-    the snapshot is the lower half of the ids. Shuffled are digests, never whole texts, but for
+    the snapshot is the lower half of the ids, or half of them by a hash where ids are no numbers. Shuffled are digests, never whole texts, but for
     the representatives of groups that snapshot and batch share, and the few that a map of their
     ids can't tell from them.
     """
@@ -181,9 +182,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (is_snapshot if is_snapshot is not None else F.lit(None).cast("boolean")).alias("old"),
     )
     rows = materialise(rows)
-    n, middle = rows.agg(F.count(F.lit(1)), F.percentile_approx("id", 0.5)).first()
+    numbers = isinstance(docs.schema[id_col].dataType, T.NumericType)
+    n, middle = rows.agg(F.count(F.lit(1)), F.percentile_approx("id", 0.5) if numbers else F.lit(None)).first()
     if is_snapshot is None:
-        rows = rows.withColumn("old", F.coalesce(F.col("id") < F.lit(middle), F.lit(False)))
+        rows = rows.withColumn("old", F.coalesce(F.col("id") < F.lit(middle) if numbers else F.xxhash64("id") < 0, F.lit(False)))
     rows = rows.withColumn("old", F.coalesce("old", F.lit(False)))
     shards = max(32, -(-n // SHARD_KEYS))
 

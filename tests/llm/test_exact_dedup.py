@@ -66,3 +66,14 @@ def test_many_shared_groups_give_the_same(spark, documents, odd_docs, monkeypatc
 def test_clashing_names(spark):
     rows = [(i, f"t {i // 2}", 1, 2, 3, 4, 5, 6) for i in range(12)]
     check(spark.createDataFrame(rows, "doc_id long, text string, id int, digest int, _have int, norm int, uid int, old int"))
+
+
+def test_string_ids(documents):
+    """Ids in order of their bytes, dates too: any type that can be compared."""
+    few = documents.where("doc_id < 150")
+    own = few.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 6, "0")))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in E.exact_dedup(own).collect()}
+    want = {f"d{r['doc_id']:06}": (f"d{r['keep_id']:06}", r["group_size"], r["kept"]) for r in E.exact_dedup(few).collect()}
+    assert got == want and not all(k for *_, k in got.values())
+    dated = few.withColumn("doc_id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("doc_id").cast("int")))
+    assert sum(r["kept"] for r in E.exact_dedup(dated).collect()) == sum(k for *_, k in got.values())
