@@ -75,9 +75,10 @@ def telemetry_sweep(log: DataFrame, as_of: Column, ts: str = "created_at", id_co
     return joined.withColumn("query_text", F.when(~(old | stale), F.col("query_text"))).drop("_alone")
 
 
-def deactivate(keys: DataFrame, email: str) -> DataFrame:
-    """Keys named for exactly this address are switched off."""
-    return keys.withColumn("active", F.col("active") & ~F.coalesce(F.lower("name") == email.lower(), F.lit(False)))
+def deactivate(keys: DataFrame, email: str, contained: bool = False) -> DataFrame:
+    """Keys named for exactly this address are switched off; with ``contained`` all whose name contains it, whatever the case, in which % and _ are wild cards."""
+    hit = F.col("name").ilike(f"%{email}%") if contained else F.lower("name") == email.lower()
+    return keys.withColumn("active", F.col("active") & ~F.coalesce(hit, F.lit(False)))
 
 
 def reset_month(keys: DataFrame, today: Column) -> DataFrame:

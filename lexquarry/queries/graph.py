@@ -206,3 +206,16 @@ def ilike_index(spark, d):
     substring.write_trigrams(docs, folder)
     words = table(spark, d, "benchmark").where("item_id % 10 = 0").select(F.col("item_id").alias("pattern_id"), F.concat(F.lit("%"), F.regexp_extract("text", "[a-z]{5,}", 0), F.lit("%")).alias("pattern"))
     return substring.matching(spark, folder, docs, words)[0]
+
+
+@query("figure_profile", """WITH me AS (SELECT id FROM figs WHERE name ILIKE '%#00000001%' ORDER BY id LIMIT 1)
+    SELECT 'figure' AS section, id AS a, 0::BIGINT AS b FROM me
+    UNION ALL SELECT 'relationships', CASE WHEN figure_a_id = (FROM me) THEN figure_b_id ELSE figure_a_id END, 0 FROM rels WHERE (figure_a_id IN (FROM me) OR figure_b_id IN (FROM me)) AND figure_a_id IN (SELECT id FROM figs) AND figure_b_id IN (SELECT id FROM figs)
+    UNION ALL SELECT 'coverage', count(DISTINCT source), count(*) FROM (SELECT DISTINCT l_orderkey AS chunk_id, l_suppkey % 20 AS f FROM lineitem) JOIN docs ON docs.id = chunk_id WHERE f IN (FROM me) GROUP BY f""", "figs", "rels", "docs")
+def figure_profile(spark, d):
+    from lexquarry.plans import packets
+
+    meta = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("chunk_id")).agg(F.collect_list(F.col("l_suppkey") % 20).alias("figure_ids"))
+    got = packets.figure_profile({"figures": role(spark, d, "figs"), "figure_relationships": role(spark, d, "rels"), "documents": role(spark, d, "docs"), "chunk_metadata": meta}, "#00000001")
+    row = lambda df, name, a, b: df.select(F.lit(name).alias("section"), a.cast("long").alias("a"), b.cast("long").alias("b"))
+    return row(got["figure"], "figure", F.col("id"), F.lit(0)).unionByName(row(got["relationships"], "relationships", F.col("other"), F.lit(0))).unionByName(row(got["coverage"], "coverage", F.col("sources"), F.col("chunks")))

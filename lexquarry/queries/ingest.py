@@ -12,7 +12,7 @@ from lexquarry.operators import ingest as I
 from lexquarry.operators.ingest import shared_folder, written
 from lexquarry.queries._base import query, role, table
 from lexquarry.queries.text import _alpha, _norm, _strip
-from lexquarry.sources import crawl, readers, registry
+from lexquarry.sources import crawl, readers, registry, writers
 
 
 @query(
@@ -179,3 +179,56 @@ def crawl_pages(spark, d):
     seeds = web.where("page_id < 3").select("url")
     crawl.crawl(seeds, fetch, folder, rounds=3)
     return crawl.crawl(seeds, fetch, folder).select("url", "round", F.length("html").alias("n_chars"))
+
+
+@query("archive_books", "SELECT concat('book ', id % 40) AS book, id AS number, content AS text, source_type AS grade FROM docs WHERE content IS NOT NULL", "docs")
+def archive_books(spark, d):
+    """Documents as books of JSON in zip archives, read back member by member."""
+    entry = F.struct(F.col("id").alias("hadith_number"), F.col("content").alias("text_en"), F.col("source_type").alias("grade_en"))
+    each = role(spark, d, "docs").where("content is not null").withColumn("book", F.concat(F.lit("book "), F.col("id") % 40))
+    books = each.groupBy("book", F.expr("id div 400").alias("part")).agg(F.to_json(F.struct(F.array(F.struct(F.first("book").alias("name_en"), F.collect_list(entry).alias("hadiths"))).alias("books"))).alias("json"))
+
+    def pack(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for pdf in batches:
+            for book, part, json in zip(pdf["book"], pdf["part"], pdf["json"]):
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(f"{book}/{part}.json", json)
+                    z.writestr("README", "no book")
+                yield pd.DataFrame({"path": [f"{book}-{part}.zip"], "content": [out.getvalue()]})
+
+    archives = written(books.mapInPandas(pack, "path string, content binary"))
+    shape = "books array<struct<name_en:string,hadiths:array<struct<hadith_number:bigint,text_en:string,grade_en:string>>>>"
+    return readers.collection_rows(readers.members(archives).select(F.from_json("text", shape).alias("j")).select("j.*"))
+
+
+@query("english_bodies", r"SELECT cast(id AS VARCHAR) AS number, trim(regexp_replace(content, '<[^>]+>', '', 'g')) AS body FROM docs WHERE source_type = 'en' AND length(trim(regexp_replace(content, '<[^>]+>', '', 'g'))) >= 20", "docs")
+def english_bodies(spark, d):
+    """The first English body of nested entries."""
+    body = lambda lang, text: F.struct(lang.alias("lang"), text.alias("body"))
+    docs = role(spark, d, "docs")
+    entry = F.struct(F.col("id").cast("string").alias("hadithNumber"), F.array(body(F.lit("ar"), F.col("source")), body(F.col("source_type"), F.col("content")), body(F.lit("en"), F.lit(None).cast("string"))).alias("hadith"))
+    return readers.sunnah_bodies(docs.select(F.array(entry).alias("data")))
+
+
+@query("source_manifest", "SELECT source, source_type, count(*) AS chunk_count FROM docs GROUP BY ALL", "docs")
+def source_manifest(spark, d):
+    """Sources written as a manifest of JSON lines and read as a registry."""
+    folder = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    writers.manifest(role(spark, d, "docs").groupBy("source", "source_type").agg(F.count(F.lit(1)).alias("chunk_count")), folder)
+    return spark.read.schema("source string, source_type string, chunk_count bigint").json(folder)
+
+
+@query("replace_source", "SELECT id, CASE WHEN source = 'src1' THEN concat('new ', id) ELSE content END AS content, source FROM docs WHERE NOT (source = 'src1' AND id % 2 = 0)", "docs")
+def replace_source(spark, d):
+    """A published table of which one source is replaced by half as many new rows in a new version."""
+    root, docs = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", role(spark, d, "docs")
+    writers.publish(docs, root, "documents")
+    fresh = docs.where("source = 'src1' AND id % 2 <> 0").withColumn("content", F.concat(F.lit("new "), "id"))
+    writers.replace_current(fresh, root, "documents", F.col("source") == "src1")
+    return writers.read_current(spark, root, "documents").select("id", "content", "source")

@@ -270,3 +270,22 @@ def claim_presence_audit(spark, d):
     claims = table(spark, d, "part").selectExpr("p_partkey % 100 AS figure_id", "p_size AS event_id")
     meta = table(spark, d, "lineitem").selectExpr("array(l_suppkey % 100) AS figure_ids", "cast(l_quantity AS int) AS event_id")
     return R.claim_presence(claims, meta).select("figure_id", "event_id", "verdict")
+
+
+@query("context_from_search", f"""WITH t AS (SELECT id, source, era, content, {_SIM} AS similarity FROM vecs ORDER BY similarity DESC, id LIMIT 20)
+    SELECT string_agg(concat('[SOURCE: ', source, ' | Era: ', era, ' | Chain: unknown | Score: ', format('{{:.3f}}', similarity), ']', chr(10), content[:600]), chr(10) || chr(10) ORDER BY similarity DESC, id) AS context FROM t""", "vecs")
+def context_from_search(spark, d):
+    """The block of the best twenty of a search."""
+    found = R.vector_topk(role(spark, d, "vecs"), Q, 20).withColumns({"score": F.col("similarity"), "chain_strength": F.lit("unknown"), "pos": F.struct(-F.col("similarity"), "id")})
+    return R.context_block(found)
+
+
+@query("fallback_from_search", f"""WITH v AS (SELECT id, era, concat('text ', id // 2) AS content, {_SIM} AS similarity FROM vecs), f AS (SELECT * FROM v WHERE era = 'era3' ORDER BY similarity DESC, id LIMIT 4), b AS (SELECT * FROM v ORDER BY similarity DESC, id LIMIT 30),
+    x AS (SELECT *, row_number() OVER (PARTITION BY content[:200] ORDER BY similarity DESC, id) AS rn FROM b WHERE content[:200] NOT IN (SELECT content[:200] FROM f))
+    SELECT id, similarity, 0 AS list_no FROM f UNION ALL SELECT id, similarity, 1 AS list_no FROM x WHERE rn = 1 AND (SELECT count(*) FROM f) < 5""", "vecs")
+def fallback_from_search(spark, d):
+    """A filtered search with too few results, then what a broader one adds."""
+    v = role(spark, d, "vecs").withColumn("content", F.concat(F.lit("text "), F.expr("id div 2")))
+    placed = lambda df: df.withColumn("pos", F.struct(-F.col("similarity"), "id"))
+    first = R.vector_topk(R.optional_filters(v, era="era3"), Q, 4)
+    return R.fallback_broaden(placed(first), placed(R.vector_topk(v, Q, 30))).select("id", "similarity", "list_no")

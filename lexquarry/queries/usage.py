@@ -132,3 +132,21 @@ def props_by_path(spark, d):
 def props_fields(spark, d):
     v = role(spark, d, "log").select("id", V.parsed(F.col("props")).alias("v"))
     return V.fields(v, "v", "id").groupBy("field", V.kind(F.col("value")).alias("kind")).agg(F.count(F.lit(1)).alias("rows"), F.max(V.at(F.col("value"), "$", "bigint")).alias("largest"))
+
+
+@query("deactivate_contained", "SELECT c_custkey AS id, NOT c_name ILIKE '%er#00000001%' AS active FROM customer")
+def deactivate_contained(spark, d):
+    keys = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(True).alias("active"))
+    return U.deactivate(keys, "ER#00000001", contained=True).select("id", "active")
+
+
+@query("exactly_once_stream", "SELECT id, api_key FROM log", "log")
+def exactly_once_stream(spark, d):
+    """Every event sent twice in different files: one comes through."""
+    folder = f"{shared_folder(spark)}/once-{uuid.uuid4().hex}"
+    log = role(spark, d, "log").select("id", "api_key", F.col("created_at").cast("timestamp").alias("created_at"))
+    log.withColumn("sent", F.explode(F.array(F.lit(0), F.lit(1)))).repartition(6, "id", "sent").drop("sent").write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema("id bigint, api_key bigint, created_at timestamp").option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    once = stream.exactly_once(arriving, "id", late="1000 days")
+    once.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("id", "api_key")

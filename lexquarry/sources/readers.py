@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import json
 import re
+import struct
+import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -147,6 +151,36 @@ def collection_rows(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode("books").alias("b")).select(F.col("b.name_en").alias("book"), F.explode("b.hadiths").alias("h")).select("book", F.col("h.hadith_number").alias("number"), F.col("h.text_en").alias("text"), F.col("h.grade_en").alias("grade"))
 
 
+def members(archives: DataFrame, pattern: str = r"\.json$") -> DataFrame:
+    """(path, member, text) of zip archives (path, content), as binaryFile gives them.
+
+    A first pass cuts each archive into its members as they are stored; these are dealt out and unpacked
+    apart, so a large archive of many books is not one task's work. A broken archive is an error.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with zipfile.ZipFile(io.BytesIO(data)) as z:
+                    for i in z.infolist():
+                        if not re.search(pattern, i.filename):
+                            continue
+                        if i.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED) or i.flag_bits & 1:
+                            raise ValueError(f"{path}: {i.filename} is encrypted or packed in an unknown way")
+                        name, extra = struct.unpack_from("<HH", data, i.header_offset + 26)
+                        first = i.header_offset + 30 + name + extra
+                        packed = pa.array([data[first : first + i.compress_size]], pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([i.filename]), pa.array([i.compress_type == zipfile.ZIP_DEFLATED]), packed], ["path", "member", "deflated", "packed"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [(zlib.decompress(p, -15) if d else p).decode("utf-8", "replace") for d, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["path", "member", "text"])
+
+    each = archives.select("path", "content").mapInArrow(cut, "path string, member string, deflated boolean, packed binary")
+    return each.repartition("path", "member").mapInArrow(unpack, "path string, member string, text string")
+
+
 def narrated(rows: DataFrame) -> DataFrame:
     """(number, text): narrator and text of each entry, joined by a space."""
     return rows.select(F.explode("hadiths").alias("h")).select(F.col("h.idInBook").alias("number"), F.concat_ws(" ", "h.english.narrator", "h.english.text").alias("text"))

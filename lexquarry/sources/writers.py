@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +45,36 @@ def overwrite_partitions(df: DataFrame, root: str, table: str) -> None:
 def manifest(df: DataFrame, path: str) -> None:
     """Descriptors of sources as JSON lines."""
     df.write.mode("overwrite").json(path)
+
+
+def publish(df: DataFrame, root: str, table: str) -> int:
+    """Writes a whole new version of a table and makes it current; returns its number.
+
+    The version is written first and named current afterwards, by one row in a folder of its own, so a
+    reader has the old version or the new one, and a job that fails leaves the old one current.
+    """
+    spark = df.sparkSession
+    version = current_version(spark, root, table) + 1
+    conform(df, table).write.mode("overwrite").parquet(f"{root}/{table}/version={version}")
+    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/{table}_current")
+    return version
+
+
+def current_version(spark: SparkSession, root: str, table: str) -> int:
+    """0 if the table was never published."""
+    try:
+        return spark.read.schema("version int").parquet(f"{root}/{table}_current").agg(F.max("version")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+
+
+def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return spark.read.schema(schema.TABLES[table]).parquet(f"{root}/{table}/version={current_version(spark, root, table)}")
+
+
+def replace_current(df: DataFrame, root: str, table: str, key: Column) -> int:
+    """Publishes the current rows where ``key`` doesn't hold with the rows of ``df``."""
+    old = read_current(df.sparkSession, root, table)
+    return publish(old.where(~F.coalesce(key, F.lit(False))).unionByName(conform(df, table)), root, table)
