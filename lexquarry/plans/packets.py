@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexquarry.operators import graph, retrieval
+from lexquarry.operators.ingest import written
 
 #: The parts of a research packet: (name, number of results, only this source type).
 RESEARCH = (("primary", 10, None), ("character", 5, None), ("world", 5, None), ("religious", 3, "hadith"))
@@ -107,13 +108,13 @@ def context_packet(tables: dict[str, DataFrame], figure: str, event: str, accoun
     ``accounts`` are the retrieved chunks (source, similarity_score, ...); ``warnings`` maps sources
     to notes on their reliability. An unknown figure is an error, an unknown event leaves its parts empty.
     """
-    who = graph.resolve(tables["figures"], figure)
-    if who.isEmpty():
+    who, what = graph.resolve(tables["figures"], figure), graph.resolve(tables["events"], event)
+    me, there = who.first(), what.first()
+    if me is None:
         raise LookupError(f"no such figure: {figure}")
-    what = graph.resolve(tables["events"], event)
-    me, there = F.broadcast(who.select(F.col("id").alias("_me"))), F.broadcast(what.select(F.col("id").alias("_at")))
-    mine = lambda df, key="figure_id": df.join(me, df[key] == F.col("_me")).drop("_me")
-    its = lambda df, key="event_id": df.join(there, df[key] == F.col("_at")).drop("_at")
+    # the two ids are constants of all other parts, so they reach the scans
+    mine = lambda df, key="figure_id": df.where(F.col(key) == me["id"])
+    its = lambda df, key="event_id": df.where(F.col(key) == there["id"] if there else F.lit(False))
     figures = tables["figures"]
     debates = tables["scholarly_debates"]
     found = {
@@ -152,7 +153,7 @@ def episode_context(tables: dict[str, DataFrame], chunks: DataFrame, embedder, f
     if who is None:
         raise LookupError(f"no such figure: {figure}")
     who = who.asDict()
-    accounts = episode_accounts(chunks, embedder, {**who, "name": figure}, event, n, era)
+    accounts = written(episode_accounts(chunks, embedder, {**who, "name": figure}, event, n, era))  # a few rows that five parts read
     if warnings is not None:
         accounts = accounts.join(warnings.select(F.col("source").alias("_s"), F.col("warning").alias("reliability_warning")), F.col("source") == F.col("_s"), "left").drop("_s")
     packet = context_packet(tables, figure, event, accounts)
