@@ -4,7 +4,8 @@ Up to ``BLOCK`` documents make a block; an index row holds, of one trigram and b
 the block have it. A pattern's literal runs give the trigrams that any match must have: blocks that lack
 one go first, from the rows' heads alone, then documents; what is left is compared with the pattern itself.
 Texts are in lower case, so matches ignore case. Patterns without three literal characters in a row have
-no trigram and are compared with all texts.
+no trigram, and those of which more than a share ``COMMON`` of all documents are candidates would fetch
+nearly every text one by one: both are compared with all texts in one scan instead.
 
 The index is written where it is made, sorted by trigram within files; a trigram is one number of its
 three code points. Null texts match nothing.
@@ -23,8 +24,8 @@ from pyspark.sql import types as T
 
 from lexquarry.operators.ingest import written
 
-#: Documents of a block, characters of a text that are looked at together, and rows up to which a side is broadcast.
-BLOCK, SPAN, BROADCAST_ROWS = 512, 1 << 20, 200_000
+#: Documents of a block, characters of a text that are looked at together, share of documents from which a scan is cheaper, and rows up to which a side is broadcast.
+BLOCK, SPAN, COMMON, BROADCAST_ROWS = 512, 1 << 20, 0.02, 200_000
 _BITS = 21
 
 
@@ -96,10 +97,14 @@ def matching(spark: SparkSession, folder: str, docs: DataFrame, patterns: DataFr
     places = held.select("pattern_id", "block", "k", F.explode("ats").alias("at")).groupBy("pattern_id", "block", "k", "at").agg(F.count(F.lit(1)).alias("n")).where("n = k")
     names = index.where("gram is null").select("block", "ids")
     found = written(places.join(names, "block").select("pattern_id", F.get("ids", F.col("at")).alias("_id")))
+    total = index.where("gram is null").agg(F.sum("n")).first()[0] or 0
+    counts = written(found.groupBy("pattern_id").agg(F.count(F.lit(1)).alias("candidates")))
+    common = _small(counts.where(F.col("candidates") > COMMON * total).select("pattern_id"))
+    rare = written(found.join(common, "pattern_id", "left_anti"))
     text = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("_text"))
     low = own.select("pattern_id", F.lower("pattern").alias("_like"))
     like = F.expr("_text LIKE _like")
-    with_grams = text.join(_small(found), F.col("id") == F.col("_id")).join(F.broadcast(low) if low.count() <= BROADCAST_ROWS else low, "pattern_id").where(like)
-    rest = own.where(F.size("grams") == 0).select(F.col("pattern_id"), F.lower("pattern").alias("_like"))
-    whole = text.join(F.broadcast(rest), like) if not rest.isEmpty() and rest.count() <= BROADCAST_ROWS else text.join(rest, like)
-    return with_grams.select("pattern_id", "id").unionByName(whole.select("pattern_id", "id")), found.groupBy("pattern_id").agg(F.count(F.lit(1)).alias("candidates"))
+    looked_up = text.join(_small(rare), F.col("id") == F.col("_id")).join(_small(low), "pattern_id").where(like)
+    rest = own.where(F.size("grams") == 0).select("pattern_id").unionByName(counts.where(F.col("candidates") > COMMON * total).select("pattern_id"))
+    scanned = text.join(_small(written(low.join(_small(rest), "pattern_id"))), like)
+    return looked_up.select("pattern_id", "id").unionByName(scanned.select("pattern_id", "id")), counts

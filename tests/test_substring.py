@@ -22,8 +22,9 @@ def like(pattern, text):
     return re.fullmatch(out, text, re.S) is not None
 
 
-@pytest.mark.parametrize("block", [3, 512])
-def test_against_like(spark, sf_dir, tmp_path, block):
+@pytest.mark.parametrize(("block", "common"), [(3, S.COMMON), (512, 0.3), (512, 1.0)])
+def test_against_like(spark, sf_dir, tmp_path, monkeypatch, block, common):
+    monkeypatch.setattr(S, "COMMON", common)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), F.col("text").alias("content")).where("id < 120")
     odd = spark.createDataFrame([(1000, None), (1001, ""), (1002, "ab"), (1003, "100% A_B\\c"), (1004, "ÄÖÜ🙂x日本語"), (1005, "abcabc" * 10)], "id long, content string")
     docs = docs.unionByName(odd)
