@@ -6,7 +6,7 @@ Only digests of lines are shuffled for the counts, partly summed before; the boi
 host has at most (lines per page / ratio) digests. These are broadcast if all of them are counted to
 be few. Beyond that, those of hosts with over a thousandth of all pages, at most 1,000 hosts, still
 are, so that such a host's pages stay where they are; pages of the others meet theirs in a shuffle by
-host, in which no host is hot.
+host, in which no host is hot. Counted lines meet the page totals of their hosts in the same way.
 
 Everything is DataFrame expressions. Defined results: a null page has no lines; a null or
 malformed URL has the host ''; repeated rows count as pages; a share equal to the ratio is no
@@ -55,12 +55,15 @@ def line_dedup(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_
     """One row per page: id, host, n_lines, n_dropped, text (the lines that stay)."""
     rows = pages.select(pages[id_col].alias("id"), host(pages[url_col]).alias("host"), pages[html_col].cast("string").alias("html"))
     digest = lambda x: F.unhex(F.md5(x.cast("binary")))
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    sizes = materialise(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")))
+    n_hosts, n_pages = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("pages"), F.lit(0))).first()
     held = rows.select("host", F.explode(F.array_distinct(F.transform(page_lines(F.col("html")), digest))).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    common = held.where(F.col("n") >= least_pages).join(sizes, "host").where(F.col("n") > ratio * F.col("pages"))
+    held = held.where(F.col("n") >= least_pages)
+    sized = held.join(F.broadcast(sizes), "host") if n_hosts <= BROADCAST_ROWS else join_unique(materialise(held), sizes, "host", "pages", n_pages)
+    common = sized.where(F.col("n") > ratio * F.col("pages"))
     common = materialise(common.groupBy("host").agg(F.collect_list("line").alias("common"), F.first("pages").alias("pages")))
     lines = common.agg(F.sum(F.size("common"))).first()[0] or 0
-    joined = rows.join(F.broadcast(common), "host", "left") if lines <= BROADCAST_ROWS else join_unique(rows, common, "host", "pages", rows.count())
+    joined = rows.join(F.broadcast(common), "host", "left") if lines <= BROADCAST_ROWS else join_unique(rows, common, "host", "pages", n_pages)
     joined = joined.withColumn("lines", page_lines(F.col("html")))
     known = F.array_intersect(F.transform("lines", digest), F.coalesce("common", F.array().cast("array<binary>")))
     kept = F.when(F.size("known") == 0, F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("known"), digest(x))))
