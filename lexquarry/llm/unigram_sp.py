@@ -15,8 +15,8 @@ Decoding joins the pieces, turns markers to spaces and byte pieces to bytes, and
 in front. A marker character that the text itself holds is written in bytes, so every text comes
 back exactly.
 
-Defined results: null and empty texts have no ids and decode to ''; repeated rows each give a
-row; an empty table gives an empty result; columns other than the id and the text are ignored.
+Defined results: null and empty texts have no ids and decode to ''; very long texts are searched
+whole, in time in proportion to their length; repeated rows each give a row; an empty table gives an empty result; columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations

@@ -113,3 +113,58 @@ def test_mixing_decides_by_row(spark, sf_dir):
     for r in mix(docs.withColumn("n", F.monotonically_increasing_id()), id_col="n").join(docs.withColumn("n", F.monotonically_increasing_id()), "n").select("source", "target").distinct().collect():
         assert abs(words[r["source"]] - r["target"]) <= 12
     assert {tuple(r) for r in out} <= set(map(tuple, docs.collect()))
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(12,2)"])
+def test_ids_of_other_types(spark, documents, sf_dir, tmp_path, kind):
+    """String and decimal ids pass every stage and keep their type; each text stays once."""
+    docs = documents.where("doc_id % 3 = 0")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels.withColumn("doc_id", F.col("doc_id").cast(kind)).write.parquet(f"{tmp_path}/labels.parquet")
+    cast = docs.withColumn("doc_id", F.col("doc_id").cast(kind))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        cast = stage(spark, cast, str(tmp_path))
+        assert cast.columns == docs.columns and dict(cast.dtypes)["doc_id"] == kind, name
+        cast.write.parquet(f"{tmp_path}/{name}")
+        cast = spark.read.parquet(f"{tmp_path}/{name}")
+    assert 0 < cast.count() and cast.join(docs, "text", "left_anti").isEmpty()
+    once = spark.read.parquet(f"{tmp_path}/exact_dedup")
+    assert once.count() == once.select("text").distinct().count()
+
+
+def plain_fingerprint(text):
+    """64 majority bits of the hashes of four-word shingles, in plain Python."""
+    import re
+
+    import xxhash
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_planted_copies_against_a_plain_pipeline(spark, sf_dir):
+    """Exact and near stages in a row, against loops over all pairs that share no code with the operators."""
+    import re
+
+    rng = np.random.default_rng(8)
+    words = [f"v{i}" for i in range(900)]
+    clean = [" ".join(rng.choice(words, 260)) for _ in range(60)]
+    texts = clean + [t.replace(" ", "\t ", 3) for t in clean[:15]] + [t + " v1" for t in clean[10:30]] + ["V7 " + t for t in clean[20:40]] + [None, "", " \n", "one two"]
+    order = rng.permutation(len(texts))
+    rows = [(int(i), texts[i], "en", f"s{i % 4}") for i in order]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    first = {}
+    for i, t in sorted((r[0], r[1]) for r in rows):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), i)
+    single = corpus_pipeline.exact_stage(spark, docs, sf_dir)
+    assert ids(single) == sorted(first.values())
+    prints = {i: plain_fingerprint(texts[i] or "") for i in first.values()}
+    root = {i: i for i in prints}
+    for _ in prints:
+        for i in prints:
+            root[i] = min(root[j] for j in prints if bin(prints[i] ^ prints[j]).count("1") <= 4)
+    want = sorted({root[i] for i in prints})
+    assert ids(corpus_pipeline.near_stage(spark, single, sf_dir)) == want
+    assert set(range(60)) <= set(want) and len(want) < len(prints)

@@ -105,3 +105,20 @@ def test_clashing_names(spark):
 def test_no_python_on_the_executors(documents):
     plan = pii.find_pii(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_sample_bounds_the_fit_but_not_the_spans(spark, monkeypatch):
+    """With more candidates than the sample holds, every base span is still there and the sample keeps its bound."""
+    from lexquarry.llm import pii as P
+
+    rows = [(i, f"mail a{i}@site{i % 9}.org or phone (030) 555-{1000 + i} now, server 10.0.{i % 250}.7") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    drawn = []
+    sample = P._sample
+    monkeypatch.setattr(P, "SPANS", 100)
+    monkeypatch.setattr(P, "_sample", lambda found: drawn.append(sample(found)) or drawn[-1])
+    out = P.find_pii(docs).collect()
+    assert len(out) == 600 and all((r["n_email"], r["n_ip"]) == (1, 1) for r in out)
+    assert 50 <= sum(n for *_, n in drawn[0]) <= 100
+    # drawn by places, so a second run takes the same candidates
+    assert sorted(map(tuple, P.find_pii(docs.repartition(3)).collect())) == sorted(map(tuple, out)) and drawn[0] == drawn[1]
