@@ -2,6 +2,7 @@
 
 Each stage is a function of (spark, docs, sf_dir). Its result is written as Parquet in the shared
 folder and read again as the next stage's documents, so a lost executor costs one stage at most.
+A stage's folder is deleted once the next stage is written; that of the last stays.
 All stages but the last return the columns of documents:
 
 * quality: documents that the Kneser-Ney classifier rejects go;
@@ -118,12 +119,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     if spark.sparkContext.getCheckpointDir() is None:
         materialise(spark.range(0))  # sets the folder where the cluster names none
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    read = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        if read:
+            _delete(spark, read)
+        read = f"{folder}/{name}"
+        docs = spark.read.parquet(read)
     return docs
