@@ -86,9 +86,10 @@ def multi_query_topk(chunks: DataFrame, queries: DataFrame, n: int, id_col: str
     q_blocks, r_blocks = max(1, -(-queries.count() // QUERY_BLOCK)), max(1, -(-rows.count() // ROW_BLOCK))
     others = [c for c in rows.columns if c != vec_col]
     numbers = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    block = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")  # noqa: E731  a cogroup doesn't align the types of its keys, and equal numbers of two types are hashed apart
     doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
-    rows = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(r_blocks)).alias("_r"), numbers(q_blocks).alias("_q"), *others, doubles(vec_col).alias("_v"))
-    asked = queries.select(F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).alias("_qb"), numbers(r_blocks).alias("_rb"), "query_id", doubles("query").alias("_v"))
+    rows = rows.select(block(F.monotonically_increasing_id(), r_blocks).alias("_r"), numbers(q_blocks).alias("_q"), *others, doubles(vec_col).alias("_v"))
+    asked = queries.select(block("query_id", q_blocks).alias("_qb"), numbers(r_blocks).alias("_rb"), "query_id", doubles("query").alias("_v"))
     kind = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), *[chunks.schema[c] for c in others], T.StructField("similarity", T.DoubleType())])
 
     def pair(some: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:

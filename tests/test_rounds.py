@@ -53,6 +53,19 @@ def test_queries_in_blocks_find_the_same(spark, sf_dir, monkeypatch):
     assert sorted(map(tuple, retrieval.multi_query_topk(v, queries, 3).collect())) == one and len(one) == 180
 
 
+def test_blocks_meet_in_any_partition(spark, sf_dir, monkeypatch):
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding").where("id < 60")
+    queries = v.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
+    one = sorted(map(tuple, retrieval.multi_query_topk(v, queries, 3).collect()))
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 25)
+    monkeypatch.setattr(retrieval, "ROW_BLOCK", 17)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(map(tuple, retrieval.multi_query_topk(v, queries, 3).collect())) == one and len(one) == 180
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_full_text_search_reads_the_texts_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     assert "FileScan" not in retrieval.fts_topk(docs, "the of", 5)._jdf.queryExecution().executedPlan().toString()
