@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _S = r"(?U)\s+"
+# Fixed value: the characters that (?U)\s matches.
+_WHITE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -22,7 +24,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Looks at the ends only; an expression would be tried at every blank inside."""
+    return F.btrim(c, F.lit(_WHITE))
 
 
 def words(c: Column) -> Column:
@@ -35,7 +38,7 @@ def word_count(c: Column) -> Column:
 
 
 def nletters(c: Column) -> Column:
-    return F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
+    return F.length(F.regexp_replace(c, r"[^\p{L}]+", ""))
 
 
 def alpha_ratio(c: Column) -> Column:
@@ -82,17 +85,19 @@ def strip_gutenberg(c: Column) -> Column:
 
 def is_noise_line(stripped: Column, repeated: Column | None = None, short: int = 15) -> Column:
     """A repeated header, a Roman page number, or too short a line."""
-    noise = (F.length(stripped) < short) | (stripped.rlike("(?i)^[ivxlcdm]+$") & (F.length(stripped) < 10))
+    noise = (F.length(stripped) < short) | ((F.length(stripped) < 10) & stripped.rlike("(?i)^[ivxlcdm]+$"))
     return noise if repeated is None else noise | F.array_contains(repeated, stripped)
 
 
 def repeated_lines(lines: Column, least: int = 30, above: int = 5, below: int = 100) -> Column:
     """Stripped lines of a length between the bounds that occur ``least`` times or more in one text.
 
-    In sorted order such a line equals the one ``least - 1`` places on: n log n, whatever the text.
+    In sorted order such a line equals the one ``least - 1`` places on: n log n, whatever the text. Fewer
+    than ``least`` lines are not sorted.
     """
     short = F.filter(F.transform(lines, strip), lambda s: (F.length(s) > above) & (F.length(s) < below))
-    return let(F.array_sort(short), lambda a: F.array_distinct(F.filter(a, lambda x, i: F.coalesce(F.get(a, i + least - 1) == x, F.lit(False)))))
+    found = lambda a: F.array_distinct(F.filter(a, lambda x, i: F.coalesce(F.get(a, i + least - 1) == x, F.lit(False))))
+    return let(short, lambda s: F.when(F.size(s) >= least, let(F.sort_array(s), found)).when(s.isNotNull(), F.array().cast("array<string>")))
 
 
 @dataclass(frozen=True)
@@ -144,7 +149,7 @@ def clean(c: Column, profile: CleanProfile = DJVU) -> Column:
 
             return let(strip(line), test)
 
-        shown = F.transform(F.filter(lines, good), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x if profile.keep_indent else strip(x)))
+        shown = F.transform(F.filter(lines, good), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x) if profile.keep_indent else strip(x))
         once = let(shown, lambda a: F.filter(a, lambda x, i: (x != "") | ((i > 0) & (F.get(a, i - 1) != ""))))
         return F.array_join(once, "\n")
 

@@ -135,3 +135,12 @@ def test_small_formats(spark):
     assert one(spark, "Al-Kamil fi al-Tarikh (vol. 1), the complete history", G.source_slug) == "al_kamil_fi_al_tarikh__vol__1___the_comp"
     assert [G.clamp_n(n) for n in (None, 0, -3, 7, 99)] == [5, 5, 1, 7, 20]
     assert one(spark, '<b data-stat="x">1</b>', lambda c: G.inject_stats(c, {"x": F.lit("$1\\")})) == '<b data-stat="x">$1\\</b>'
+
+
+def test_strip_agrees_with_the_expression_on_every_character(spark):
+    """All characters of the basic plane at both ends and inside, without an expression that tries each blank in between."""
+    df = spark.range(1, 0x10000).where("id not between 55296 and 57343").selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c").select(F.concat("c", F.lit(" a"), "c", F.lit("\nb "), "c").alias("t"))
+    assert df.where(T.strip(F.col("t")) != F.regexp_replace("t", r"(?U)^\s+|\s+$", "")).count() == 0
+    assert df.where(F.length(T.strip(F.col("t"))) < 8).count() == 25
+    assert "regexp" not in str(T.strip(F.col("t"))).lower()
+    assert spark.range(3).select(F.when(F.col("id") == 0, " \n").when(F.col("id") == 1, "").alias("t")).select(T.strip(F.col("t"))).collect() == [("",), ("",), (None,)]
