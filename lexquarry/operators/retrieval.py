@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from lexquarry.functions.text import let
 from lexquarry.operators.ingest import written
 
+#: Repeated ids up to which they are broadcast.
+BROADCAST_ROWS = 200_000
 #: Reciprocal rank constant (Cormack, Clarke and Buettcher, 2009); BM25 parameters (Robertson and Zaragoza, 2009).
 RRF_K, BM25_K1, BM25_B = 60, 1.2, 0.75
 # Ranks of account types and transmission grades; anything else ranks as 5.
@@ -151,9 +154,30 @@ def tokens(text: Column) -> Column:
 
 
 def postings(chunks: DataFrame, id_col: str = "id", text_col: str = "content") -> DataFrame:
-    """(id, term, tf, dl): term counts with the length of the text."""
-    words = chunks.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("w"))
-    return words.select("id", F.size("w").alias("dl"), F.explode("w").alias("term")).groupBy("id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(id, dl, term, tf): term counts with the length of the text.
+
+    A row's words are counted in place, as runs of its sorted words; only rows that share their id meet, so
+    where ids are unique nothing is shuffled.
+    """
+    own = chunks.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    again = written(own.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_again")))
+    n = again.count()
+
+    def runs(w: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+        size = lambda i, end: (end - i).cast("long")
+        return let(first, lambda f: F.transform(f, lambda i, k: F.struct(F.size(w).alias("dl"), F.get(w, i).alias("term"), size(i, F.coalesce(F.get(f, k + 1), F.size(w))).alias("tf"))))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        """Words are named once, or the plan would find them again for each use."""
+        return rows.select("id", F.inline(let(F.sort_array(tokens(F.col("text"))), lambda w: F.when(F.size(w) > 0, runs(w)))))
+
+    if not n:
+        return counted(own)
+    hint = F.broadcast(again) if n <= BROADCAST_ROWS else again
+    same = own["id"].eqNullSafe(hint["_again"])
+    met = counted(own.join(hint, same, "left_semi")).groupBy("id", "dl", "term").agg(F.sum("tf").alias("tf"))
+    return counted(own.join(hint, same, "left_anti")).unionByName(met)
 
 
 def fts_topk(chunks: DataFrame, query: str, n: int, id_col: str = "id", text_col: str = "content") -> DataFrame:

@@ -92,3 +92,30 @@ def test_frontier_reaches_every_largest_weight():
             own = np.flatnonzero(term == t)
             assert not len(own) or w(own, mean).max() == w(best[term[best] == t], mean).max()
     assert len(X.frontiers(term[:0], tf[:0], dl[:0])) == 0
+
+
+def test_postings_count_in_place_and_rows_of_one_id_meet(spark, monkeypatch):
+    from collections import Counter
+
+    from lexquarry.operators import retrieval as R
+
+    rows = [(1, "b a b"), (2, "a"), (3, None), (4, ""), (5, "...")]
+    again = [*rows, (2, "a"), (2, "a b"), (None, "x"), (None, "x"), (1, "c")]
+
+    def want(rows):
+        out = Counter()
+        for i, text in rows:
+            words = re.findall(r"\w+", text or "")
+            for w in words:
+                out[i, len(words), w] += 1
+        return sorted(str((*k, n)) for k, n in out.items())
+
+    def got(df):
+        return sorted(str((r["id"], r["dl"], r["term"], r["tf"])) for r in df.collect())
+
+    one = R.postings(spark.createDataFrame(rows, "id int, content string"))
+    assert got(one) == want(rows)
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    for most in (R.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(R, "BROADCAST_ROWS", most)
+        assert got(R.postings(spark.createDataFrame(again, "id int, content string"))) == want(again)
