@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -229,12 +229,21 @@ def split_chunks(text: str, target: int = 500, overlap: int = 50, min_words: int
     return out
 
 
+#: Texts that are chunked before their chunks are passed on.
+SLICE = 64
+
+
 def chunk_sentences(target: int = 500, overlap: int = 50, min_words: int = 100):
-    """An Arrow-batched function of a text column that gives its chunks; the fold over sentences has no built-in form of linear cost."""
+    """An Arrow-batched function of a text column that gives its chunks; the fold over sentences has no built-in form of linear cost.
+
+    A batch's texts and chunks become Python's own ``SLICE`` at a time, so a worker holds little beside the batch.
+    """
 
-    @F.pandas_udf("array<string>")
-    def chunks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in texts:
-            yield s.map(lambda t: split_chunks(t or "", target, overlap, min_words))
+    @F.arrow_udf("array<string>")
+    def chunks(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            for i in range(0, len(batch), SLICE):
+                cut = [split_chunks(t or "", target, overlap, min_words) for t in batch.slice(i, SLICE).to_pylist()]
+                yield pa.array(cut, pa.list_(pa.string()))
 
     return chunks

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -144,3 +145,13 @@ def test_strip_agrees_with_the_expression_on_every_character(spark):
     assert df.where(F.length(T.strip(F.col("t"))) < 8).count() == 25
     assert "regexp" not in str(T.strip(F.col("t"))).lower()
     assert spark.range(3).select(F.when(F.col("id") == 0, " \n").when(F.col("id") == 1, "").alias("t")).select(T.strip(F.col("t"))).collect() == [("",), ("",), (None,)]
+
+
+def test_chunker_holds_few_texts_at_a_time(spark):
+    """A batch is passed on in slices; of nulls, empty texts and a last short slice there is one result each."""
+    texts = [(i, None if i % 50 == 0 else "" if i % 50 == 1 else f"Word {i} and more. " * (i % 7 * 40)) for i in range(3 * T.SLICE + 5)]
+    df = spark.createDataFrame(texts, "id int, t string").coalesce(1)
+    got = {r["id"]: r["c"] for r in df.select("id", T.chunk_sentences()(F.col("t")).alias("c")).collect()}
+    assert got == {i: T.split_chunks(t or "") for i, t in texts}
+    sizes = [len(a) for a in T.chunk_sentences().func(iter([pa.array([t for _, t in texts])]))]
+    assert max(sizes) == T.SLICE and sum(sizes) == len(texts)
