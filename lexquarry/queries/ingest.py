@@ -190,25 +190,28 @@ def crawl_pages(spark, d):
 @query("archive_books", "SELECT concat('book ', id % 40) AS book, id AS number, content AS text, source_type AS grade FROM docs WHERE content IS NOT NULL", "docs")
 def archive_books(spark, d):
     """Documents as books of JSON in zip archives, read back member by member."""
-    entry = F.struct(F.col("id").alias("hadith_number"), F.col("content").alias("text_en"), F.col("source_type").alias("grade_en"))
-    each = role(spark, d, "docs").where("content is not null").withColumn("book", F.concat(F.lit("book "), F.col("id") % 40))
-    books = each.groupBy("book", F.expr("id div 400").alias("part")).agg(F.to_json(F.struct(F.array(F.struct(F.first("book").alias("name_en"), F.collect_list(entry).alias("hadiths"))).alias("books"))).alias("json"))
+    each = role(spark, d, "docs").where("content is not null").selectExpr("concat('book ', id % 40) AS book", "id div 400 AS part", "id", "content", "source_type")
 
     def pack(batches):
+        """An archive is written when the next one's first document comes, so a task holds one."""
         import io
+        import json
         import zipfile
+        from itertools import groupby
 
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            for book, part, json in zip(pdf["book"], pdf["part"], pdf["json"]):
-                out = io.BytesIO()
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr(f"{book}/{part}.json", json)
-                    z.writestr("README", "no book")
-                yield pd.DataFrame({"path": [f"{book}-{part}.zip"], "content": [out.getvalue()]})
+        rows = (tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows))
+        for (book, part), entries in groupby(rows, lambda r: r[:2]):
+            text = json.dumps({"books": [{"name_en": book, "hadiths": [{"hadith_number": r[2], "text_en": r[3], "grade_en": r[4]} for r in entries]}]}, ensure_ascii=False)
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(f"{book}/{part}.json", text)
+                z.writestr("README", "no book")
+            yield pa.RecordBatch.from_arrays([pa.array([f"{book}-{part}.zip"]), pa.array([out.getvalue()], pa.binary())], ["path", "content"])
 
-    archives = written(books.mapInPandas(pack, "path string, content binary"))
+    books = each.repartition("book", "part").sortWithinPartitions("book", "part")
+    archives = written(books.mapInArrow(pack, "path string, content binary"))
     shape = "books array<struct<name_en:string,hadiths:array<struct<hadith_number:bigint,text_en:string,grade_en:string>>>>"
     return readers.collection_rows(readers.members(archives).select(F.from_json("text", shape).alias("j")).select("j.*"))
 

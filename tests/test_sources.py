@@ -77,3 +77,17 @@ def test_batches_are_halved_and_tried_again_in_tasks(spark):
     docs = spark.range(50).select("id", F.expr("repeat('x', cast(id % 7 AS int))").alias("content")).union(spark.sql("SELECT 99L, CAST(NULL AS STRING)"))
     got = {r["id"]: r["embedding"] for r in P.embed(docs, Moody(), batch=10).collect()}
     assert got == {**{i: [float(i % 7)] for i in range(50)}, 99: [0.0]}
+
+
+def test_unpacked_texts_are_passed_on_before_a_batch_ends(spark):
+    import zlib
+
+    import pyarrow as pa
+
+    texts = ["x" * readers.UNPACKED, "a", "", "é" * (readers.UNPACKED - 1), "b", "last"]
+    pack = zlib.compressobj
+    packed = [(z := pack(9, zlib.DEFLATED, -15)).compress(t.encode()) + z.flush() for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(["p"] * 6), pa.array(list("abcdef")), pa.array([True] * 6), pa.array(packed, pa.binary())], ["path", "member", "deflated", "packed"])
+    out = list(readers._unpack(iter([batch])))
+    assert [b.num_rows for b in out] == [1, 3, 2]
+    assert [(r["member"], r["text"]) for b in out for r in b.to_pylist()] == list(zip("abcdef", texts))
