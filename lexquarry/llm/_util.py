@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,44 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of frames that are made within are deleted when their job ends, not when the driver next collects its garbage.
+
+    For frames that are written or checkpointed once; a lost executor's part of a running job is still repeated.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+class Kept:
+    """Parquet tables between jobs in the shared folder; what isn't deleted before goes at the end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+
+    def write(self, name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+        """The frame as written, in row groups that are small also where single values are large; ``by``: a folder for each value."""
+        path = f"{self.folder}/{name}"
+        df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path, partitionBy=by)
+        return self.spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+    def delete(self, name: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Kept:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.delete()
+
+
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint for a frame whose counted ``rows`` are few, else the frame itself."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

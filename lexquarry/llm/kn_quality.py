@@ -22,6 +22,9 @@ same result.
 Shards grow with the trusted text and with the documents. Where they would hold more than
 ``SALT_BYTES`` of the documents each, batches of documents are dealt to several copies of a shard.
 So a task reads one shard of the model and a bounded share of the documents, whatever their number.
+Documents are scored in ``TURNS``, each a share of them by a hash against the whole model, and what a turn
+shuffled is deleted when it ends: their trigrams take more room than their texts do in Parquet, and only
+a turn's lie on disk at a time. Tables between the jobs go as soon as nothing reads them.
 
 Of each language a tenth of the trusted documents is held out, more (up to half) where that would be
 under ``HELD_DOCS`` documents. A document is rejected if its perplexity exceeds a quantile of the
@@ -43,6 +46,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +57,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lexquarry.llm._util import materialise, small_or_shuffled
+from lexquarry.llm._util import Kept, materialise, shuffles_freed, small_or_shuffled
 
 VOCABULARY, QUANTILE, LEAST_HELD = 16_000, 0.999, 40
 #: Held out of a language: this share of its trusted documents, or so many, but no more than that share.
@@ -64,6 +68,8 @@ SHARD_TOKENS, LEAST_SHARDS, BATCH_TOKENS, BATCH_DOCS, ROW_KEYS = 16_000_000, 36,
 #: Bytes of documents that a shard is made for, the most shards made for their sake, and the bytes from
 #: which a shard has several copies.
 SHARD_BYTES, MOST_BY_BYTES, SALT_BYTES = 128 << 20, 4096, 512 << 20
+#: Turns in which documents are scored.
+TURNS = 4
 #: Bits of a segment of the filter, words that it is made for, and the most segments (32 MB).
 SEGMENT_BITS, SEGMENT_WORDS, FILTER_SEGMENTS = 1 << 19, 40_000, 512
 #: Length classes by tokens; short documents have widely spread perplexities.
@@ -378,8 +384,8 @@ def filter_of(numbers: DataFrame, count: int) -> Filter:
     return Filter(out)
 
 
-def train(texts: DataFrame, words: list[str], share: np.ndarray, shards: Shards, id_kind: str, id_type: pa.DataType) -> tuple[DataFrame, dict, dict, Filter]:
-    """(model rows by shard, unigram probabilities of listed words and figures of the others, discounts by order, the filter of other words) from a column of trusted texts."""
+def train(texts: DataFrame, words: list[str], share: np.ndarray, shards: Shards, id_kind: str, id_type: pa.DataType, kept: Kept) -> tuple[DataFrame, dict, dict, Filter]:
+    """(model rows by shard, which lie in ``kept``, unigram probabilities of listed words and figures of the others, discounts by order, the filter of other words) from a column of trusted texts."""
     rows, coder = _Rows(id_type), Coder(words)
     schema = _SCHEMA.format(kind=id_kind)
 
@@ -403,8 +409,10 @@ def train(texts: DataFrame, words: list[str], share: np.ndarray, shards: Shards,
         yield rows.stats(2, c)
         yield rows.stats(1, n[~listed])
 
-    three = materialise(_together(texts.mapInArrow(_count_trigrams(coder, shards, rows), schema), shards.count).mapInArrow(_merge(rows, tri), schema))
-    two = materialise(_together(three.where(F.col("kind") == _MODEL2), shards.count).mapInArrow(_merge(rows, bi), schema))
+    three = kept.write("three", _together(texts.mapInArrow(_count_trigrams(coder, shards, rows), schema), shards.count).mapInArrow(_merge(rows, tri), schema), by="kind")
+    two = kept.write("two", _together(three.where(F.col("kind") == _MODEL2), shards.count).mapInArrow(_merge(rows, bi), schema))
+    kept.delete(f"three/kind={_MODEL2}")
+    three = three.where(F.col("kind") != _MODEL2)
 
     def loose(batches):
         for batch in batches:
@@ -439,7 +447,9 @@ def _place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _levels(parts: dict, d: dict) -> tuple[list[Level], tuple[np.ndarray, np.ndarray]]:
     """(trigrams and bigrams, words that aren't listed with their counts) of a shard."""
     none = np.zeros(0, np.int64)
-    (context, last), c = _sum_by_key(parts[_MODEL3][0] or [[none, none]], parts[_MODEL3][1] or [none])
+    # a shard's trigrams are summed already; in the order of their contexts, as they were written, they sort fast
+    rows = sorted(zip(*parts[_MODEL3]), key=lambda r: int(r[0][0].view(np.uint64)[0])) or [([none, none], none)]
+    context, last, c = [np.concatenate(x) for x in zip(*[(*k, n) for k, n in rows])]
     three = Level(trigram(context, last), c, d[3], context)
     (two, ends), c = [np.concatenate(x) for x in zip(*(parts[_MODEL2][0] or [[none, none]]))], np.concatenate(parts[_MODEL2][1] or [none])
     level = Level(two, c, d[2], halves(two)[0])
@@ -568,6 +578,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
     """
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
+    spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs[id_col].alias("id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"), (F.lit(None).cast("binary") if key is None else key).alias("key"))
     own = [] if key is None else ["key"]
     good = labels.groupBy(labels["doc_id"].alias("good")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("good")
@@ -597,22 +608,28 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_c
                     seen.clear()
         yield send()
 
-    counted = materialise(texts.mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    if total == 0:
-        return rows.select(F.col("id").alias(id_col), "lang", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"), *own)
-    top = _most_frequent(counted, VOCABULARY).collect()
-    words = [r["w"] for r in top]
-    share = np.r_[0.02, np.array([r["n"] for r in top]) / total]
-    shards = Shards(max(LEAST_SHARDS, -(-total // SHARD_TOKENS), min(MOST_BY_BYTES, n_bytes // SHARD_BYTES)), share)
-    salts = max(1, -(-n_bytes // (shards.count * SALT_BYTES)))
-    model, base, d, known = train(texts, words, share, shards, kind, id_type)
-    scored = score(rows, model, base, d, known, shards, salts, words, kind, id_type)
     length = F.lit(0)
     for at in LENGTHS:
         length = length + (F.col("n") >= at).cast("int")
-    scored = scored.select("id", "lang", "n", "key", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-")).alias("_lang"))
-    scored = materialise(scored)
+    turn = F.pmod(F.xxhash64("id", "text"), F.lit(TURNS))
+    with shuffles_freed(spark), Kept(spark) as kept:
+        counted = kept.write("words", texts.mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")))
+        total = counted.agg(F.sum("n")).first()[0] or 0
+        if total:
+            top = _most_frequent(counted, VOCABULARY).collect()
+            kept.delete("words")
+            words = [r["w"] for r in top]
+            share = np.r_[0.02, np.array([r["n"] for r in top]) / total]
+            shards = Shards(max(LEAST_SHARDS, -(-total // SHARD_TOKENS), min(MOST_BY_BYTES, n_bytes // SHARD_BYTES)), share)
+            salts = max(1, -(-n_bytes // (TURNS * shards.count * SALT_BYTES)))
+            model, base, d, known = train(texts, words, share, shards, kind, id_type, kept)
+            turns = []
+            for k in range(TURNS):
+                scored = score(rows.where(turn == k), model, base, d, known, shards, salts, words, kind, id_type)
+                turns.append(materialise(scored.select("id", "lang", "n", "key", F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"), length.alias("length"), F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-")).alias("_lang"))))
+    if not total:
+        return rows.select(F.col("id").alias(id_col), "lang", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"), *own)
+    scored = reduce(DataFrame.unionByName, turns)
     sure = held(trusted(scored.where("n > 0"))).where("held")
     wide = F.sqrt(F.least("n", F.lit(LENGTHS[1])) / F.lit(LENGTHS[1]))
     top = lambda c: F.percentile_approx(c, quantile, 10_000)

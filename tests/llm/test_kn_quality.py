@@ -231,3 +231,38 @@ def test_a_language_with_little_held_out_text_has_its_own_threshold(spark):
     kept = {r["doc_id"] for r in K.quality(docs, labels).where("kept").collect()}
     assert not kept & set(range(3000, 3020)) and set(range(4000, 4020)) <= kept
     assert len(kept & set(range(1500))) >= 1490
+
+
+def test_what_a_turn_shuffled_is_gone_when_the_next_begins(spark, monkeypatch):
+    """One turn's trigrams at a time are on disk; at the end no table is left in the shared folder, and turns change no result."""
+    import os
+    import time
+
+    from lexquarry.llm._util import shared_folder
+
+    rng = np.random.default_rng(7)
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 200)), "en") for i in range(400)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 400, 2)], LABELS)
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in files.getAllFiles().mkString(",").split(",") if "/shuffle_" in x and x.endswith(".data")}
+    before, left, turns, score = shuffled(), [], [], K.score
+
+    def watched(*args):
+        for _ in range(100):  # files are deleted in the background
+            if not (now := shuffled() - before):
+                break
+            time.sleep(0.1)
+        left.append(now)
+        turns.append(args[0])
+        return score(*args)
+
+    monkeypatch.setattr(K, "score", watched)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    got = {r["doc_id"]: r["perplexity"] for r in K.quality(docs, labels).collect()}
+    assert len(turns) == K.TURNS > 1 and sum(t.count() for t in turns) == 400
+    assert left == [set()] * K.TURNS
+    assert not [x for x in os.listdir(shared_folder(spark).removeprefix("file:")) if x.startswith("kept-")]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    monkeypatch.setattr(K, "TURNS", 1)
+    once = {r["doc_id"]: r["perplexity"] for r in K.quality(docs, labels).collect()}
+    assert got == pytest.approx(once, rel=1e-6)
