@@ -136,6 +136,16 @@ def trigram(context: np.ndarray, last: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each distinct value, in ascending order; which of them each value is)."""
+    order = np.argsort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[order[1:]] != x[order[:-1]]
+    back = np.empty(len(x), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back
+
+
 class Shards:
     """Where trigrams go: by middle word; of frequent ones, by the left word too."""
 
@@ -485,7 +495,7 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, known_: Filter
         def asked(kind, shard, key, others, doc, first):
             shard = shard + shards.count * (xxhash.xxh3_64_intdigest(str(first).encode()) % salts)
             order = np.argsort(key.view(np.uint64), kind="stable")
-            order = order[np.argsort(shard[order].astype(np.int32), kind="stable")]
+            order = order[np.argsort(shard[order].astype(np.min_scalar_type(shards.count * salts)), kind="stable")]  # narrow numbers are sorted by their digits
             of, starts = np.unique(shard[order], return_index=True)
             yield rows.batch([(int(s), kind, pack_all(key[i], *[x[i] for x in others]), pack(doc[i], False), first, *[None] * 6) for s, i in zip(of, np.split(order, starts[1:]))])
 
@@ -524,7 +534,7 @@ def score(docs: DataFrame, model: DataFrame, base: dict, d: dict, known_: Filter
                     there, i = _place(own[0], asked_[0])
                     logs = np.log(unigrams(np.where(there, own[1][i], 0), **rare))
                 else:
-                    _, at, back = np.unique(trigram(*asked_), return_index=True, return_inverse=True)
+                    at, back = distinct(trigram(*asked_))
                     context, last = asked_[0][at], asked_[1][at]
                     mid, _ = halves(context)
                     two = pair(mid, last)

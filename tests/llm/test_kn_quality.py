@@ -16,6 +16,12 @@ def test_packing():
         assert (K.unpack(K.pack(x)) == x).all()
 
 
+def test_distinct_values():
+    for x in (np.zeros(0, np.int64), np.array([7]), np.random.default_rng(1).integers(-50, 50, 1000)):
+        at, back = K.distinct(x)
+        assert (x[at] == np.unique(x)).all() and (x[at][back] == x).all()
+
+
 def test_frequent_middle_words_are_spread_and_found_again():
     share = np.full(1000, 1e-4)
     share[7] = 0.5
